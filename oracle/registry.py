@@ -1,0 +1,29 @@
+"""Oracle SQL per query name (DuckDB; base tables pre-registered as views)."""
+
+from __future__ import annotations
+
+from oracle import reports_sql as R
+from oracle.fixtures_sql import with_fixtures
+
+REPORT_SQL: dict[str, str] = {
+    "report_api_practices_allscripts": R.r1_api_practices(["AllScriptsAPI"]),
+    "report_api_practices_athena": R.r1_api_practices(["Athena", "AthenaAPI"]),
+    "report_api_practices_prognocis": R.r1_api_practices(["CAPI_PrognoCIS"]),
+    "report_active_locations_denticon": R.r2_active_locations("2024-03-01", "p.app = 'Denticon'", "day"),
+    "report_active_locations_denticon_early": R.r2_active_locations("2024-01-01", "p.app = 'Denticon'", "day"),
+    "report_active_locations_eaglesoft": R.r2_active_locations("2024-03-01", "p.pms_id in (11, 12)", "day"),
+    "report_active_locations_nextech": R.r2_active_locations("2024-03-01", "p.pms_id = 10", "month"),
+    "report_synced_addresses": R.r3_synced_addresses("2023-12-01", "2023-12-31", ["Dentrix", "DentrixG5"]),
+    "report_provider_roster": R.r4_provider_roster("is_bookable_legacy", with_npi=False),
+    "report_provider_roster_npi": R.r4_provider_roster("is_bookable", with_npi=True),
+    "report_parent_entities": R.r5_parent_entities(["CernerMillenniumAPI", "CernerMillenniumR4"]),
+    "report_bookings_np": R.r6_bookings("2024-01-01", "2024-02-01", "%raintree%"),
+    "report_bookings_ep": R.r6_bookings("2024-01-01", "2024-01-31", "%raintree%"),
+    "report_no_availability": R.r7_no_availability("2023-12-01", "%raintree%", [""]),
+}
+
+
+def all_sql() -> dict[str, str]:
+    out = {}
+    out.update(REPORT_SQL)
+    return {k: with_fixtures(v) for k, v in out.items()}
