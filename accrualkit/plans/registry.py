@@ -11,29 +11,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from accrualkit.params import DateWindow, PmsSelector
 from accrualkit.plans import reports as RP
+from accrualkit.plans.composite_queries import COMPOSITES
+from accrualkit.plans.registry_params import (
+    ACTIVE_MONTH,
+    ACTIVE_MONTH_EARLY,
+    ADDRESS_WINDOW,
+    ALLSCRIPTS_APPS,
+    ATHENA_APPS,
+    BOOKING_END_LAST_DAY,
+    BOOKING_END_NEXT_MONTH,
+    BOOKING_START,
+    DENTICON,
+    EAGLESOFT,
+    NEXTECH,
+    NO_AVAILABILITY_EXCLUDED,
+    NO_AVAILABILITY_SINCE,
+    PROGNOCIS_APPS,
+)
 from accrualkit.sources.catalog import SourceCatalog
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
-# Report runs (PMS lists, selectors, months) per script family.
-ALLSCRIPTS_APPS = ("AllScriptsAPI",)
-ATHENA_APPS = ("Athena", "AthenaAPI")
-PROGNOCIS_APPS = ("CAPI_PrognoCIS",)
-DENTICON = PmsSelector.by_name("Denticon")
-EAGLESOFT = PmsSelector.by_id(11, 12)
-NEXTECH = PmsSelector.by_id(10)
-ACTIVE_MONTH = "2024-03-01"
-ACTIVE_MONTH_EARLY = "2024-01-01"
-ADDRESS_WINDOW = DateWindow.of("2023-12-01", "2023-12-31")
-BOOKING_START = "2024-01-01"
-BOOKING_END_NEXT_MONTH = "2024-02-01"
-BOOKING_END_LAST_DAY = "2024-01-31"
-NO_AVAILABILITY_SINCE = "2023-12-01"
-NO_AVAILABILITY_EXCLUDED = ("",)
-
-
 def _cat(spark: SparkSession, sf_dir: str) -> SourceCatalog:
     return SourceCatalog.from_testdata(spark, sf_dir)
 
@@ -63,4 +62,5 @@ REPORTS: dict[str, QueryFn] = {
 def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     out.update(REPORTS)
+    out.update(COMPOSITES)
     return out

@@ -15,6 +15,7 @@ Both are lazy: a DataFrame is only a plan until an action runs.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,6 +86,7 @@ class SourceCatalog:
         self._loader = loader
         self._cache: dict[str, DataFrame] = {}
         self.base = base
+        self._token = uuid.uuid4().hex[:8]
 
     def __call__(self, name: str) -> DataFrame:
         return self.table(name)
@@ -103,6 +105,17 @@ class SourceCatalog:
             self._cache[key] = normalise_flags(key, self._loader(key))
         return self._cache[key]
 
+    def view(self, name: str) -> str:
+        """Register relation ``name`` as a session temp view for SQL text.
+
+        Returns the (catalog-unique) view name to use in ``spark.sql``.
+        """
+        df = self.table(name)
+        key = name.replace('"', "").split(".")[-1].lower()
+        view = f"{key}_{self._token}"
+        df.createOrReplaceTempView(view)
+        return view
+
     @classmethod
     def from_tables(cls, spark: SparkSession, locations: Mapping[str, str] | None = None, fmt: str = "parquet"):
         """Production catalog.

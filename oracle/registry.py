@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracle import reports_sql as R
+from oracle.composites_sql import COMPOSITE_SQL
 from oracle.fixtures_sql import with_fixtures
 
 REPORT_SQL: dict[str, str] = {
@@ -26,4 +27,5 @@ REPORT_SQL: dict[str, str] = {
 def all_sql() -> dict[str, str]:
     out = {}
     out.update(REPORT_SQL)
+    out.update(COMPOSITE_SQL)
     return {k: with_fixtures(v) for k, v in out.items()}
