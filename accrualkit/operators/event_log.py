@@ -49,6 +49,24 @@ def latest_setting(
     so a busy entity is spread over tasks by timestamp — and a join to the
     small PMS dimension.
     """
+    at_latest = rows_at_latest(setting, key_id, latest_types).select(
+        ENTITY, F.col(VALUE).try_cast(value_type).alias("_pms_key")
+    )
+    return (
+        at_latest.join(pms, pms["pms_id"] == F.col("_pms_key"))
+        .select(try_bigint(ENTITY).alias("sync_db_id"), pms["pms_application"], pms["pms_id"])
+        .distinct()
+    )
+
+
+def rows_at_latest(
+    setting: DataFrame, key_id: int = PMS_SETTING_KEY, latest_types: Sequence[str] = (ADDED, UPDATED)
+) -> DataFrame:
+    """Rows of ``key_id`` stamped with their entity's latest ``latest_types`` time.
+
+    Group-wise latest by MAX + join back; ties are kept.  The join is on
+    (entity, timestamp), so a busy entity is spread over tasks by timestamp.
+    """
     rows = setting.filter(F.col("setting_key_id") == key_id).select(ENTITY, VALUE, "event_type", TS)
     latest = (
         rows.filter(F.col("event_type").isin(*latest_types))
@@ -56,14 +74,9 @@ def latest_setting(
         .agg(F.max(TS).alias("_latest_ts"))
         .withColumnRenamed(ENTITY, "_latest_entity")
     )
-    at_latest = rows.join(
+    return rows.join(
         latest, (F.col(ENTITY) == F.col("_latest_entity")) & (F.col(TS) == F.col("_latest_ts"))
-    ).select(ENTITY, F.col(VALUE).try_cast(value_type).alias("_pms_key"))
-    return (
-        at_latest.join(pms, pms["pms_id"] == F.col("_pms_key"))
-        .select(try_bigint(ENTITY).alias("sync_db_id"), pms["pms_application"], pms["pms_id"])
-        .distinct()
-    )
+    ).select(ENTITY, VALUE, "event_type", TS)
 
 
 def mapping_events(setting: DataFrame, event_types: Sequence[str], key_id: int = LOCATION_SETTING_KEY) -> DataFrame:
@@ -86,6 +99,16 @@ def mapping_history_flat(
     delete.  Pairing is by ordinal only, so a delete may predate its create.
     A NULL sync DB (malformed value) never pairs.
     """
+    return paired_occurrences(setting, created_types, deleted_types, bucket_unit).drop("occurrence")
+
+
+def paired_occurrences(
+    setting: DataFrame,
+    created_types: Sequence[str] = (ADDED,),
+    deleted_types: Sequence[str] = (DELETED,),
+    bucket_unit: str = DEFAULT_BUCKET,
+) -> DataFrame:
+    """``mapping_history_flat`` keeping the pairing ordinal as ``occurrence``."""
     keys = ["sync_db_id", "location_id"]
     created = occurrence_number(mapping_events(setting, created_types), keys, "ts", "_n", bucket_unit)
     deleted = occurrence_number(mapping_events(setting, deleted_types), keys, "ts", "_n", bucket_unit).select(
@@ -101,7 +124,13 @@ def mapping_history_flat(
         & (F.col("_n") == F.col("_d_n")),
         "left",
     )
-    return paired.select("sync_db_id", "location_id", F.col("ts").alias("created_date_utc"), "deleted_date_utc")
+    return paired.select(
+        "sync_db_id",
+        "location_id",
+        F.col("_n").alias("occurrence"),
+        F.col("ts").alias("created_date_utc"),
+        "deleted_date_utc",
+    )
 
 
 def mapping_history_collapsed(setting: DataFrame, bucket_unit: str = DEFAULT_BUCKET) -> DataFrame:

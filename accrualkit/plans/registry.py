@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from accrualkit.plans import reports as RP
 from accrualkit.plans.composite_queries import COMPOSITES
+from accrualkit.plans.operator_queries import OPERATOR_QUERIES
 from accrualkit.plans.registry_params import (
     ACTIVE_MONTH,
     ACTIVE_MONTH_EARLY,
@@ -63,4 +64,5 @@ def all_queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     out.update(REPORTS)
     out.update(COMPOSITES)
+    out.update(OPERATOR_QUERIES)
     return out

@@ -86,7 +86,7 @@ class SourceCatalog:
         self._loader = loader
         self._cache: dict[str, DataFrame] = {}
         self.base = base
-        self._token = uuid.uuid4().hex[:8]
+        self.token = uuid.uuid4().hex[:8]
 
     def __call__(self, name: str) -> DataFrame:
         return self.table(name)
@@ -112,7 +112,7 @@ class SourceCatalog:
         """
         df = self.table(name)
         key = name.replace('"', "").split(".")[-1].lower()
-        view = f"{key}_{self._token}"
+        view = f"{key}_{self.token}"
         df.createOrReplaceTempView(view)
         return view
 

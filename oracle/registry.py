@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracle import reports_sql as R
 from oracle.composites_sql import COMPOSITE_SQL
+from oracle.operators_sql import OPERATOR_SQL
 from oracle.fixtures_sql import with_fixtures
 
 REPORT_SQL: dict[str, str] = {
@@ -28,4 +29,5 @@ def all_sql() -> dict[str, str]:
     out = {}
     out.update(REPORT_SQL)
     out.update(COMPOSITE_SQL)
+    out.update(OPERATOR_SQL)
     return {k: with_fixtures(v) for k, v in out.items()}
