@@ -8,11 +8,15 @@ third of the log.
 
 Here the key is split by time bucket:
 
-1. ``local``  = row number within (key, bucket)          — many tasks per key
-2. ``counts`` = rows per (key, bucket)                    — max(local), no new shuffle
+1. ``local``  = row number within (key, bucket)          — the one big shuffle,
+   hash-partitioned by (key, bucket), so a hot key spans many tasks
+2. ``counts`` = rows per (key, bucket)                    — partial aggregation
+   straight from the scan: only per-bucket counts cross the network
 3. ``offset`` = running sum of earlier buckets per key    — window over the
    small counts table (one row per bucket, not per event)
-4. ``n = offset + local``                                 — join back on (key, bucket)
+4. ``n = offset + local``                                 — join back on (key, bucket);
+   the numbered side is already partitioned by that key, so only the small
+   offsets side moves (or is broadcast when AQE measures it small)
 
 Rows tied on the timestamp fall into the same bucket, so the result is a
 valid ROW_NUMBER.  Tied rows carry identical (key, timestamp) values, so
@@ -52,7 +56,7 @@ def occurrence_number(
     local_w = Window.partitionBy(gb).orderBy(F.col(order_col).asc_nulls_last())
     numbered = staged.withColumn("_occ_local", F.row_number().over(local_w))
 
-    per_bucket = numbered.groupBy(gb).agg(F.max("_occ_local").alias("_occ_rows"))
+    per_bucket = staged.groupBy(gb).agg(F.count(F.lit(1)).alias("_occ_rows"))
     before = (
         Window.partitionBy(F.col(f"{gb}.k"))
         .orderBy(F.col(f"{gb}.b").asc_nulls_last())

@@ -22,6 +22,20 @@ def temp_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def reuse(df: DataFrame) -> DataFrame:
+    """Materialise a small intermediate that a plan reads several times.
+
+    Each use of a shared sub-plan would otherwise be recomputed (column
+    pruning gives every use a different projection, so exchange reuse does
+    not apply).  A reliable checkpoint computes it once, writes it to the
+    shared checkpoint folder and cuts the lineage, so later stages — and any
+    retry after a lost executor — read the files instead of re-deriving them
+    from the event log.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def write_result(df: DataFrame, name: str, root: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Write ``df`` under ``root`` (default: the shared checkpoint folder)."""
     spark = df.sparkSession

@@ -23,6 +23,7 @@ from accrualkit.operators.temporal import currently_active, valid_at
 from accrualkit.params import DateWindow, PmsSelector, ReportMonth, as_date
 from accrualkit.plans import roster as R
 from accrualkit.plans import syncs as S
+from accrualkit.plans.materialize import reuse
 from accrualkit.sources.catalog import SourceCatalog
 
 # Constant labels and default selectors of the reports.
@@ -54,7 +55,13 @@ def report_api_practices(cat: SourceCatalog, pms_applications: Sequence[str]) ->
         .distinct()
     )
     history = mapping_history_collapsed(setting)
-    mapped = history.join(dbs, history["sync_db_id"] == dbs["_db"])
+    # Mapping rows of the selected PMS: read twice (rows to report and the
+    # still-synced location set), so materialised once.
+    mapped = reuse(
+        history.join(dbs, history["sync_db_id"] == dbs["_db"]).select(
+            "sync_db_id", "location_id", "created_date_utc", "deleted_date_utc", "pms_application"
+        )
+    )
     loc = cat("location").select(
         F.col("monolith_provider_location_id").alias("_mono"), F.col("practice_id").alias("_loc_practice")
     )
@@ -62,7 +69,7 @@ def report_api_practices(cat: SourceCatalog, pms_applications: Sequence[str]) ->
         "practice_id", F.col("monolith_provider_id").alias("monolith_practice_id"), F.col("name").alias("practice_name")
     )
     base = mapped.join(loc, mapped["location_id"] == loc["_mono"]).join(pt, F.col("_loc_practice") == pt["practice_id"])
-    still = S.still_synced_locations(history, dbs.select(F.col("_db").alias("sync_db_id")))
+    still = mapped.filter(F.col("deleted_date_utc").isNull()).select("location_id")
     marked = mark_members(base, still, "location_id", "location_id", "_still_loc")
     per_practice = marked.groupBy("practice_id", "monolith_practice_id", "practice_name", "pms_application").agg(
         F.min("created_date_utc").alias("initial_synced_date"),
@@ -101,7 +108,9 @@ def report_active_locations(
     """
     m = ReportMonth.of(month)
     boundary = at_midnight(m.next_start)
-    syncs = S.active_syncs_as_of(cat, mapping_history_flat(cat("setting")), pms, boundary)
+    # Read three times (report rows, live aggregate mappings, primary
+    # location), so materialised once.
+    syncs = reuse(S.active_syncs_as_of(cat, mapping_history_flat(cat("setting")), pms, boundary))
     practices = S.active_practices(cat, m, activity)
     live = S.live_aggregate_mappings(cat, syncs)
     per_location = S.providers_per_location(S.active_provider_locations(cat, m, live))
