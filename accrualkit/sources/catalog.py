@@ -134,6 +134,12 @@ class SourceCatalog:
 
         return cls(spark, load)
 
+    @classmethod
+    def from_frames(cls, spark: SparkSession, frames: Mapping[str, DataFrame]) -> "SourceCatalog":
+        """Catalog over DataFrames already in hand (keyed by logical name)."""
+        frames = dict(frames)
+        return cls(spark, lambda name: frames[name])
+
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "SourceCatalog":
         base = BaseTables(spark, sf_dir)
