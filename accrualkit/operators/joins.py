@@ -42,6 +42,28 @@ def mark_members(df: DataFrame, members: DataFrame, left_key: str, member_key: s
     return df.join(keys, df[left_key] == keys[out], "left")
 
 
+def fanout_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """LEFT JOIN for a right side that may pile many rows onto one key.
+
+    Adaptive execution can split a skewed key of either side of an *inner*
+    join, but never the non-preserved side of a LEFT join (a split task
+    could not tell whether a left row matched elsewhere).  So the join is
+    written as
+
+        matched   = left ⋈ right                       (inner: hot key split by AQE)
+        unmatched = left ▷ DISTINCT right keys        (anti: one row per key)
+
+    and the two are unioned, with NULLs for the right columns of unmatched
+    rows — exactly the rows of ``left LEFT JOIN right``.  ``left`` is read
+    twice, so pass a materialised or cheap left side.
+    """
+    matched = left.join(right, left[left_key] == right[right_key], "inner")
+    keys = right.select(F.col(right_key).alias("_fanout_key")).distinct()
+    unmatched = left.join(keys, left[left_key] == keys["_fanout_key"], "left_anti")
+    pad = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
+    return matched.unionByName(unmatched.select("*", *pad))
+
+
 def union_distinct(*frames: DataFrame) -> DataFrame:
     """SQL ``UNION``: union by column name, then remove duplicates."""
     return reduce(lambda a, b: a.unionByName(b), frames).distinct()

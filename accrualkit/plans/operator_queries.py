@@ -30,7 +30,7 @@ from accrualkit.operators.event_log import (
     paired_occurrences,
     rows_at_latest,
 )
-from accrualkit.operators.joins import mark_members, not_superseded, union_distinct
+from accrualkit.operators.joins import fanout_left_join, mark_members, not_superseded, union_distinct
 from accrualkit.operators.ordinal import occurrence_number
 from accrualkit.operators.temporal import as_of, currently_active
 from accrualkit.params import DateWindow
@@ -417,7 +417,7 @@ def join_left_equi(spark, d):
     cat = _cat(spark, d)
     pv = cat("provider").select("provider_id", "monolith_professional_id")
     c = cat("contact_vw").select("professional_id__c", "email")
-    return pv.join(c, pv["monolith_professional_id"] == c["professional_id__c"], "left").select("provider_id", "email")
+    return fanout_left_join(pv, c, "monolith_professional_id", "professional_id__c").select("provider_id", "email")
 
 
 @query("join_left_on_filter")

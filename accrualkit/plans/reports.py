@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from accrualkit.functions.dates import at_midnight, date_lit
 from accrualkit.operators.dedupe import top1_per_group
 from accrualkit.operators.event_log import latest_setting, mapping_history_collapsed, mapping_history_flat
-from accrualkit.operators.joins import mark_members
+from accrualkit.operators.joins import fanout_left_join, mark_members
 from accrualkit.operators.temporal import currently_active, valid_at
 from accrualkit.params import DateWindow, PmsSelector, ReportMonth, as_date
 from accrualkit.plans import roster as R
@@ -205,12 +205,14 @@ def report_provider_roster(
 ) -> DataFrame:
     """Bookable provider roster with segment, opportunity and CRM contacts.
 
-    Contacts are a left join (several contacts per professional fan out);
-    ``with_npi`` adds NPI and practice name through an *inner* lookup.
+    Contacts are a left join (several contacts per professional fan out;
+    written fan-out-safe, see ``fanout_left_join``); ``with_npi`` adds NPI
+    and practice name through an *inner* lookup.
     """
-    enriched = R.provider_enrichment(cat, R.bookable_provider_roster(cat, bookable_flag))
-    contacts = R.crm_contacts(cat)
-    joined = enriched.join(contacts, enriched["docter_id"] == contacts["professional_id__c"], "left")
+    # One row per roster provider: materialised once, read by both halves of
+    # the fan-out-safe contact join.
+    enriched = reuse(R.provider_enrichment(cat, R.bookable_provider_roster(cat, bookable_flag)))
+    joined = fanout_left_join(enriched, R.crm_contacts(cat), "docter_id", "professional_id__c")
     cols = [
         "c_docter_id",
         "docter_id",

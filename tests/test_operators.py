@@ -9,7 +9,7 @@ from accrualkit.functions.casts import as_boolean
 from accrualkit.functions.dates import at_midnight
 from accrualkit.functions.labels import resolve_pms, sync_type_label
 from accrualkit.operators.dedupe import top1_per_group
-from accrualkit.operators.joins import mark_members, not_superseded, union_distinct
+from accrualkit.operators.joins import fanout_left_join, mark_members, not_superseded, union_distinct
 from accrualkit.operators.temporal import currently_active, valid_at
 from accrualkit.params import ReportMonth, add_months
 from accrualkit.sources.catalog import SourceCatalog, normalise_flags
@@ -143,3 +143,14 @@ def test_month_parameters():
     m = ReportMonth.of("2024-02-01")
     assert (m.next_start, m.last_day, m.days) == (dt.date(2024, 3, 1), dt.date(2024, 2, 29), 29)
     assert add_months(dt.date(2024, 1, 31), 1) == dt.date(2024, 2, 29)
+
+
+def test_fanout_left_join_equals_left_join(spark):
+    rnd = random.Random(11)
+    left = spark.createDataFrame([(i, rnd.choice([1, 2, 3, None])) for i in range(50)], "id int, k int")
+    right = spark.createDataFrame(
+        [(rnd.choice([1, 1, 1, 2, 4, None]), f"r{j}") for j in range(80)], "rk int, payload string"
+    )
+    mine = fanout_left_join(left, right, "k", "rk")
+    plain = left.join(right, left.k == right.rk, "left")
+    assert rows(mine, "id", "k", "rk", "payload") == rows(plain, "id", "k", "rk", "payload")
