@@ -1,0 +1 @@
+"""Report plans, their building blocks, and the named-query registry."""

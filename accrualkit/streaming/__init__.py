@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reports read their change log as a static table; they define no
+watermarks, event-time windows, state or late-data handling, so there is no
+streaming operator to provide.  See README, "Not built".
+"""
