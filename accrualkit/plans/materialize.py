@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from accrualkit.session import checkpoint_dir
@@ -31,9 +32,17 @@ def reuse(df: DataFrame) -> DataFrame:
     shared checkpoint folder and cuts the lineage, so later stages — and any
     retry after a lost executor — read the files instead of re-deriving them
     from the event log.
+
+    Writing a checkpoint re-runs the plan unless it is cached, so the rows
+    are held in the cache only while the checkpoint is written and released
+    right after; from then on the files are the only copy.
     """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def write_result(df: DataFrame, name: str, root: str | None = None, fmt: str = "parquet") -> DataFrame:

@@ -15,6 +15,8 @@ Both are lazy: a DataFrame is only a plan until an action runs.
 
 from __future__ import annotations
 
+import hashlib
+import os
 import uuid
 from collections.abc import Mapping
 
@@ -22,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accrualkit.functions.casts import as_boolean
+from accrualkit.session import checkpoint_dir
 from accrualkit.sources.fixtures import FIXTURES
 from accrualkit.sources.testdata import BaseTables
 
@@ -69,6 +72,10 @@ BOOLEAN_FLAGS = {
 }
 
 
+# Stand-in tables written once per application and scale-factor directory.
+_STORED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
 def normalise_flags(name: str, df: DataFrame) -> DataFrame:
     """Cast text-typed boolean flags of relation ``name`` to BOOLEAN."""
     fields = {f.name.lower(): f for f in df.schema.fields}
@@ -141,12 +148,32 @@ class SourceCatalog:
         return cls(spark, lambda name: frames[name])
 
     @classmethod
-    def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "SourceCatalog":
+    def from_testdata(cls, spark: SparkSession, sf_dir: str, store: bool = True) -> "SourceCatalog":
+        """Catalog of the stand-ins derived from the test tables in ``sf_dir``.
+
+        With ``store=True`` each stand-in is derived once per Spark
+        application, written as Parquet under the shared checkpoint folder
+        and read from there afterwards — the way the warehouse relations it
+        stands for exist as stored tables — so reports are measured on their
+        own plans rather than on re-deriving their inputs.
+        """
         base = BaseTables(spark, sf_dir)
+        app = spark.sparkContext.applicationId
+        sf_key = os.path.abspath(sf_dir)
+        stored = _STORED.setdefault((app, sf_key), {}) if store else None
         cat: SourceCatalog
 
         def load(name: str) -> DataFrame:
-            return FIXTURES[name](base, cat.table)
+            if stored is not None and name in stored:
+                return stored[name]
+            df = FIXTURES[name](base, cat.table)
+            if stored is not None:
+                digest = hashlib.sha1(sf_key.encode()).hexdigest()[:10]
+                path = f"{checkpoint_dir(spark).rstrip('/')}/accrualkit-standins/{app}/{digest}/{name}"
+                df.write.mode("overwrite").parquet(path)
+                df = spark.read.parquet(path)
+                stored[name] = df
+            return df
 
         cat = cls(spark, load, base)
         return cat
