@@ -84,7 +84,7 @@ from provider group by practice_id
 """,
     "lateral_alias_window": """
 select provider_id as c_docter_id, snapshot_date_eastern,
-       row_number() over (partition by provider_id order by snapshot_date_eastern desc) as rownum
+       cast(row_number() over (partition by provider_id order by snapshot_date_eastern desc) as integer) as rownum
 from provider_explorer_day_week_vw
 """,
     "unqualified_resolution": """
@@ -280,7 +280,7 @@ select db as sync_db_id, loc as location_id, ts, cast(k as integer) as occurrenc
 """,
     "win_row_number_desc": """
 select provider_id, snapshot_date_est,
-       row_number() over (partition by provider_id order by snapshot_date_est desc) as rownum
+       cast(row_number() over (partition by provider_id order by snapshot_date_est desc) as integer) as rownum
 from opportunity_index
 """,
     "qualify_inline": "with "
@@ -290,7 +290,7 @@ from opportunity_index
 select * from (
   select snapshot_date_eastern, provider_id as c_docter_id, sync_type, account_segment, current_account_segment,
          bookable_status, provider_tenure_months, bookable_status_beginning_of_week, was_ever_previously_mp_bookable,
-         row_number() over (partition by provider_id order by snapshot_date_eastern desc) as rownum
+         cast(row_number() over (partition by provider_id order by snapshot_date_eastern desc) as integer) as rownum
   from provider_explorer_day_week_vw) z
 where rownum = 1
 """,
@@ -300,14 +300,14 @@ select * from (
          is_active, is_currently_synced, latest_activation_start_timestamp_utc,
          latest_activation_end_timestamp_utc is null as activation_open, sync_id, sync_type,
          practice_management_system_listed_on_dsp, synced_practice_management_system,
-         row_number() over (partition by provider_id order by snapshot_date_est desc) as rownum
+         cast(row_number() over (partition by provider_id order by snapshot_date_est desc) as integer) as rownum
   from opportunity_index) z
 where rownum = 1 and is_active
 """,
     "qualify_distinct": """
 select distinct c_docter_id, account_segment, rownum from (
   select provider_id as c_docter_id, account_segment,
-         row_number() over (partition by provider_id order by snapshot_date_eastern desc) as rownum
+         cast(row_number() over (partition by provider_id order by snapshot_date_eastern desc) as integer) as rownum
   from provider_explorer_day_week_vw) z
 where rownum = 1
 """,
