@@ -34,6 +34,21 @@ from pyspark.sql import functions as F
 
 DEFAULT_BUCKET = "hour"
 
+_BUCKET_FIELDS = {
+    "day": (),
+    "hour": (F.hour,),
+    "minute": (F.hour, F.minute),
+}
+
+
+def time_bucket(ts: str, unit: str = DEFAULT_BUCKET):
+    """(date, hour[, minute]) of ``ts`` — monotone in ``ts`` and computed from
+    its own fields, so it does not depend on the session time zone."""
+    if unit not in _BUCKET_FIELDS:
+        raise ValueError(f"bucket_unit must be one of {sorted(_BUCKET_FIELDS)}")
+    c = F.col(ts)
+    return F.struct(F.to_date(c).alias("d"), *[f(c).alias(f.__name__) for f in _BUCKET_FIELDS[unit]])
+
 
 def occurrence_number(
     df: DataFrame,
@@ -44,14 +59,14 @@ def occurrence_number(
 ) -> DataFrame:
     """Append ``out`` = 1, 2, ... per ``keys`` in ascending ``order_col``.
 
-    ``bucket_unit`` is a ``date_trunc`` unit ('day', 'hour', 'minute', ...):
+    ``bucket_unit`` is 'day', 'hour' or 'minute':
     finer buckets spread a hot key over more tasks at the cost of a larger
     (still per-bucket, not per-row) offsets table.
     """
     gk = "_occ_key"
     gb = "_occ_bucket_key"
     staged = df.withColumn(gk, F.struct(*[F.col(k) for k in keys])).withColumn(
-        gb, F.struct(F.col(gk).alias("k"), F.date_trunc(bucket_unit, F.col(order_col)).alias("b"))
+        gb, F.struct(F.col(gk).alias("k"), time_bucket(order_col, bucket_unit).alias("b"))
     )
     local_w = Window.partitionBy(gb).orderBy(F.col(order_col).asc_nulls_last())
     numbered = staged.withColumn("_occ_local", F.row_number().over(local_w))

@@ -105,3 +105,17 @@ def test_occurrence_number_matches_row_number_on_hot_key(spark):
     # ties share (k, t), so compare the multiset of (k, t, n)
     assert rows(mine, "k", "t", "n") == rows(plain, "k", "t", "n")
     assert mine.count() == 3000
+
+
+def test_occurrence_number_independent_of_session_time_zone(spark):
+    data = [("k", ts(d, h)) for d in (9, 10, 11) for h in (0, 1, 2, 3, 23)]
+    df = spark.createDataFrame(data, "k string, t timestamp_ntz")
+    before = rows(occurrence_number(df, ["k"], "t", "n"), "t", "n")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        after = rows(occurrence_number(df, ["k"], "t", "n"), "t", "n")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert before == after
+    assert [n for _, n in sorted(before)] == list(range(1, 16))

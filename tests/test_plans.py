@@ -21,9 +21,13 @@ def test_no_python_udfs_anywhere(plans):
     assert offenders == []
 
 
-def test_top1_uses_window_group_limit(plans):
-    assert "WindowGroupLimit" in plans["top1_per_group"]
-    assert "WindowGroupLimit" in plans["qualify_alias"]
+def test_top1_limits_before_the_shuffle(plans):
+    # a partial WindowGroupLimit below the Exchange keeps one row per key
+    # per map task, so a hot key never ships all its rows to one reducer
+    for name in ("top1_per_group", "qualify_alias", "qualify_and_predicate"):
+        tree = [ln for ln in plans[name].split("\n\n")[0].splitlines() if "+-" in ln]
+        exchange = next(i for i, ln in enumerate(tree) if "Exchange" in ln)
+        assert any("WindowGroupLimit" in ln for ln in tree[exchange + 1 :]), name
 
 
 def test_superseded_mappings_use_left_anti(plans):
