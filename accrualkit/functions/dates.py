@@ -22,8 +22,9 @@ def at_midnight(value: dt.date | str) -> Column:
     promotes the bound to midnight; an upper bound therefore excludes the
     rest of that day.  This keeps that meaning explicit and typed.
     """
-    d = as_date(value)
-    return F.lit(dt.datetime(d.year, d.month, d.day)).cast("timestamp_ntz")
+    # Built from text: a Python datetime literal would be read in the
+    # driver's time zone and shifted by the session time zone on the cast.
+    return F.lit(f"{as_date(value).isoformat()} 00:00:00").cast("timestamp_ntz")
 
 
 def next_month(c: Column) -> Column:

@@ -41,3 +41,18 @@ def test_report_matches_oracle_sf001(spark, duck_check, name):
     ok, msg = compare(name, sdf, odf)
     assert ok, msg
     assert len(sdf) > 0
+
+
+TZ_SENSITIVE = ["filter_between", "param_tuple", "active_syncs_as_of", "report_bookings_ep", "filter_as_of_interval"]
+
+
+@pytest.mark.parametrize("name", TZ_SENSITIVE)
+def test_results_do_not_depend_on_session_time_zone(spark, duck_check, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        sdf = QUERIES[name](spark, SF_CHECK).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    ok, msg = compare(name, sdf, duck_check.execute(SQL[name]).df())
+    assert ok, msg
