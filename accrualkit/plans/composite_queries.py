@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from accrualkit.functions.dates import at_midnight
 from accrualkit.operators.dedupe import top1_per_group
 from accrualkit.operators.event_log import latest_setting, mapping_history_collapsed, mapping_history_flat
-from accrualkit.params import ReportMonth
+from accrualkit.params import PmsSelector, ReportMonth
 from accrualkit.plans import reports as RP
 from accrualkit.plans import roster as R
 from accrualkit.plans import syncs as S
@@ -83,7 +83,7 @@ def q_primary_location_contact(spark, sf_dir):
 
 
 def _athena_dbs(cat: SourceCatalog) -> DataFrame:
-    return S.selected_sync_dbs(cat, S.PmsSelector.by_name(*ATHENA_APPS)).select("sync_db_id").distinct()
+    return S.selected_sync_dbs(cat, PmsSelector.by_name(*ATHENA_APPS)).select("sync_db_id").distinct()
 
 
 def q_still_synced_locations(spark, sf_dir):

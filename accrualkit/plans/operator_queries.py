@@ -33,7 +33,7 @@ from accrualkit.operators.event_log import (
 from accrualkit.operators.joins import fanout_left_join, mark_members, not_superseded, union_distinct
 from accrualkit.operators.ordinal import occurrence_number
 from accrualkit.operators.temporal import as_of, currently_active
-from accrualkit.params import DateWindow
+from accrualkit.params import DateWindow, PmsSelector
 from accrualkit.plans import reports as RP
 from accrualkit.plans import roster as R
 from accrualkit.plans import syncs as S
@@ -113,7 +113,7 @@ def cte_shared(spark, d):
     """The collapsed history is read twice: as rows and as the still-synced set."""
     cat = _cat(spark, d)
     history = mapping_history_collapsed(cat("setting"))
-    dbs = S.selected_sync_dbs(cat, S.PmsSelector.by_name(*ATHENA_APPS)).select("sync_db_id").distinct()
+    dbs = S.selected_sync_dbs(cat, PmsSelector.by_name(*ATHENA_APPS)).select("sync_db_id").distinct()
     rows = history.join(dbs.withColumnRenamed("sync_db_id", "_db"), F.col("sync_db_id") == F.col("_db"), "left_semi")
     marked = mark_members(rows, S.still_synced_locations(history, dbs), "location_id", "location_id", "_still")
     return marked.select(

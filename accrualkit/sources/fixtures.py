@@ -8,8 +8,12 @@ deletes before creates, superseded mappings, NULL sync types, several
 contacts per professional, ...).  ``oracle/fixtures_sql.py`` holds the
 same derivations as portable SQL for the DuckDB cross-check.
 
-Every derivation is a narrow projection/filter/aggregate over a base
-table, so its size grows with the scale factor like the real tables.
+Every derivation is a narrow projection/filter/aggregate over a whole base
+table, so its size grows with the scale factor like the real tables.  The
+modulo expressions derive attributes and decide which synthetic rows exist
+(e.g. only every other user gets an aggregate-location mapping, every
+97th setting value is malformed) — they shape the data model, they are not
+row caps; no stand-in samples or truncates its base table.
 Snapshot tables are fanned out over a handful of snapshot dates with
 ``explode`` (a generator, not a join).
 """
