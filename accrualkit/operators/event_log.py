@@ -108,28 +108,41 @@ def paired_occurrences(
     deleted_types: Sequence[str] = (DELETED,),
     bucket_unit: str = DEFAULT_BUCKET,
 ) -> DataFrame:
-    """``mapping_history_flat`` keeping the pairing ordinal as ``occurrence``."""
+    """``mapping_history_flat`` keeping the pairing ordinal as ``occurrence``.
+
+    Creates and deletes are numbered in one pass (the event kind is part of
+    the numbering key), and the n-th create meets the n-th delete in one
+    aggregation on (sync DB, location, n) — each such group holds at most
+    one create and one delete — instead of a join between two separately
+    numbered streams.  Equality never matches a NULL sync DB or location,
+    so those creates keep a NULL delete, as in the equi-join formulation.
+    """
+    if set(created_types) & set(deleted_types):
+        raise ValueError("created and deleted event types must be disjoint")
     keys = ["sync_db_id", "location_id"]
-    created = occurrence_number(mapping_events(setting, created_types), keys, "ts", "_n", bucket_unit)
-    deleted = occurrence_number(mapping_events(setting, deleted_types), keys, "ts", "_n", bucket_unit).select(
-        F.col("sync_db_id").alias("_d_db"),
-        F.col("location_id").alias("_d_loc"),
-        F.col("ts").alias("deleted_date_utc"),
-        F.col("_n").alias("_d_n"),
+    events = setting.filter(
+        (F.col("setting_key_id") == LOCATION_SETTING_KEY)
+        & F.col("event_type").isin(*created_types, *deleted_types)
+    ).select(
+        try_bigint(VALUE).alias("sync_db_id"),
+        F.col(ENTITY).alias("location_id"),
+        F.col(TS).alias("ts"),
+        F.col("event_type").isin(*created_types).alias("_is_create"),
     )
-    paired = created.join(
-        deleted,
-        (F.col("sync_db_id") == F.col("_d_db"))
-        & (F.col("location_id") == F.col("_d_loc"))
-        & (F.col("_n") == F.col("_d_n")),
-        "left",
+    numbered = occurrence_number(events, ["_is_create", *keys], "ts", "occurrence", bucket_unit)
+    create, delete = F.col("_is_create"), ~F.col("_is_create")
+    paired = numbered.groupBy(*keys, "occurrence").agg(
+        F.count(F.when(create, F.lit(1))).alias("_creates"),
+        F.max(F.when(create, F.col("ts"))).alias("created_date_utc"),
+        F.max(F.when(delete, F.col("ts"))).alias("_deleted"),
     )
-    return paired.select(
+    matchable = F.col("sync_db_id").isNotNull() & F.col("location_id").isNotNull()
+    return paired.filter(F.col("_creates") > 0).select(
         "sync_db_id",
         "location_id",
-        F.col("_n").alias("occurrence"),
-        F.col("ts").alias("created_date_utc"),
-        "deleted_date_utc",
+        "occurrence",
+        "created_date_utc",
+        F.when(matchable, F.col("_deleted")).alias("deleted_date_utc"),
     )
 
 

@@ -119,3 +119,29 @@ def test_occurrence_number_independent_of_session_time_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert before == after
     assert [n for _, n in sorted(before)] == list(range(1, 16))
+
+
+def test_pairing_matches_naive_join_formulation(spark):
+    rnd = random.Random(5)
+    data = []
+    for _ in range(600):
+        loc = rnd.choice(["L1", "L2", "L3", None])
+        db = rnd.choice(["7", "8", "n/a", None])
+        kind = rnd.choice(["Added", "Updated", "Deleted", "Deleted"])
+        data.append((16, loc, db, kind, ts(rnd.randint(1, 5), rnd.randint(0, 3))))
+    log = setting_df(spark, data)
+    mine = mapping_history_flat(log, created_types=("Added", "Updated"))
+
+    def numbered(types, p):
+        ev = log.filter(F.col("event_type").isin(*types)).select(
+            F.col("setting_value").try_cast("bigint").alias(f"{p}db"),
+            F.col("entity_id").alias(f"{p}loc"),
+            F.col("event_timestamp_utc").alias(f"{p}ts"),
+        )
+        w = Window.partitionBy(f"{p}db", f"{p}loc").orderBy(f"{p}ts")
+        return ev.withColumn(f"{p}n", F.row_number().over(w))
+
+    c, d = numbered(("Added", "Updated"), "c_"), numbered(("Deleted",), "d_")
+    cond = (F.col("c_db") == F.col("d_db")) & (F.col("c_loc") == F.col("d_loc")) & (F.col("c_n") == F.col("d_n"))
+    naive = c.join(d, cond, "left").select("c_db", "c_loc", "c_ts", "d_ts")
+    assert rows(mine) == rows(naive)
