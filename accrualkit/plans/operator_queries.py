@@ -79,7 +79,7 @@ def scan_table(spark, d):
 
 @query("scan_qualified_quoted")
 def scan_qualified_quoted(spark, d):
-    return _cat(spark, d).table('"CISTERN"."PROVIDER"."PROVIDER"')
+    return _cat(spark, d).table('"WAREHOUSE"."PROVIDER"."PROVIDER"')
 
 
 @query("scan_view")

@@ -127,7 +127,7 @@ def test_text_flags_normalised_at_load(spark):
 def test_catalog_resolves_qualified_and_quoted_names(spark):
     cat = SourceCatalog.from_testdata(spark, "/root/testdata/sf0.001")
     a = cat.table("provider.provider")
-    b = cat.table('"CISTERN"."PROVIDER"."PROVIDER"')
+    b = cat.table('"WAREHOUSE"."PROVIDER"."PROVIDER"')
     c = cat.table("provider")
     assert a is b is c
 
