@@ -6,17 +6,26 @@ A plain ``row_number() over (partition by key order by ts)`` sends a whole
 key to one task; if one key holds a third of the log, one task sorts a
 third of the log.
 
-Here the key is split by time bucket:
-
-1. ``local``  = row number within (key, bucket)          — the one big shuffle,
-   hash-partitioned by (key, bucket), so a hot key spans many tasks
-2. ``counts`` = rows per (key, bucket)                    — partial aggregation
-   straight from the scan: only per-bucket counts cross the network
-3. ``offset`` = running sum of earlier buckets per key    — window over the
-   small counts table (one row per bucket, not per event)
-4. ``n = offset + local``                                 — join back on (key, bucket);
-   the numbered side is already partitioned by that key, so only the small
-   offsets side moves (or is broadcast when AQE measures it small)
+Keys are therefore split in two classes:
+
+* **cold** keys — at most ``threshold`` rows — are numbered by a plain
+  window in one task each (a bounded amount of work);
+* **hot** keys — more rows than that — are split by time bucket:
+
+  1. ``local``  = row number within (key, bucket)        — the one big shuffle,
+     hash-partitioned by (key, bucket), so a hot key spans many tasks
+  2. ``counts`` = rows per (hot key, bucket)              — partial aggregation
+  3. ``offset`` = running sum of earlier buckets per key  — window over the
+     counts table (one row per bucket, not per event)
+  4. ``n = offset + local``                               — join back on (key, bucket);
+     the numbered side is already partitioned by that key, so only the
+     offsets side moves
+
+``threshold = max(min_hot_rows, total_rows / max_hot_keys)``, so at most
+``max_hot_keys`` keys can be hot: the hot-key list has a proven size bound
+and is broadcast, which flags rows without shuffling them.  Both classes go
+through the same single big shuffle (a cold key is one bucket), and the
+offsets branch only ever sees hot rows.
 
 Rows tied on the timestamp fall into the same bucket, so the result is a
 valid ROW_NUMBER.  Tied rows carry identical (key, timestamp) values, so
@@ -33,6 +42,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET = "hour"
+MIN_HOT_ROWS = 100_000
+MAX_HOT_KEYS = 10_000
 
 _BUCKET_FIELDS = {
     "day": (),
@@ -50,28 +61,51 @@ def time_bucket(ts: str, unit: str = DEFAULT_BUCKET):
     return F.struct(F.to_date(c).alias("d"), *[f(c).alias(f.__name__) for f in _BUCKET_FIELDS[unit]])
 
 
+def hot_key_threshold(total_rows: int, min_hot_rows: int = MIN_HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS) -> int:
+    """Row count above which a key is hot; at most ``max_hot_keys`` keys exceed it."""
+    return max(min_hot_rows, -(-total_rows // max_hot_keys))
+
+
 def occurrence_number(
     df: DataFrame,
     keys: Sequence[str],
     order_col: str,
     out: str = "occurrence",
     bucket_unit: str = DEFAULT_BUCKET,
+    min_hot_rows: int = MIN_HOT_ROWS,
+    max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """Append ``out`` = 1, 2, ... per ``keys`` in ascending ``order_col``.
 
-    ``bucket_unit`` is 'day', 'hour' or 'minute':
-    finer buckets spread a hot key over more tasks at the cost of a larger
-    (still per-bucket, not per-row) offsets table.
+    ``bucket_unit`` ('day', 'hour' or 'minute') is the time slice a hot key
+    is split into: finer buckets spread it over more tasks at the cost of a
+    larger (per-bucket, not per-row) offsets table.
+
+    Runs one small job eagerly (the input row count, to fix the hot-key
+    threshold); everything else stays lazy.
     """
     gk = "_occ_key"
     gb = "_occ_bucket_key"
-    staged = df.withColumn(gk, F.struct(*[F.col(k) for k in keys])).withColumn(
-        gb, F.struct(F.col(gk).alias("k"), time_bucket(order_col, bucket_unit).alias("b"))
+    staged = df.withColumn(gk, F.struct(*[F.col(k) for k in keys]))
+
+    threshold = hot_key_threshold(staged.count(), min_hot_rows, max_hot_keys)
+    hot = (
+        staged.groupBy(gk)
+        .agg(F.count(F.lit(1)).alias("_occ_rows"))
+        .filter(F.col("_occ_rows") > threshold)
+        .select(F.col(gk).alias("_occ_hot"))
     )
+    # at most total / threshold <= max_hot_keys rows: a proven bound
+    flagged = staged.join(F.broadcast(hot), staged[gk] == F.col("_occ_hot"), "left").withColumn(
+        "_occ_is_hot", F.col("_occ_hot").isNotNull()
+    )
+    bucket = F.when(F.col("_occ_is_hot"), time_bucket(order_col, bucket_unit))
+    staged = flagged.drop("_occ_hot").withColumn(gb, F.struct(F.col(gk).alias("k"), bucket.alias("b")))
+
     local_w = Window.partitionBy(gb).orderBy(F.col(order_col).asc_nulls_last())
     numbered = staged.withColumn("_occ_local", F.row_number().over(local_w))
 
-    per_bucket = staged.groupBy(gb).agg(F.count(F.lit(1)).alias("_occ_rows"))
+    per_bucket = staged.filter(F.col("_occ_is_hot")).groupBy(gb).agg(F.count(F.lit(1)).alias("_occ_rows"))
     before = (
         Window.partitionBy(F.col(f"{gb}.k"))
         .orderBy(F.col(f"{gb}.b").asc_nulls_last())
@@ -80,7 +114,7 @@ def occurrence_number(
     offsets = per_bucket.select(gb, F.coalesce(F.sum("_occ_rows").over(before), F.lit(0)).alias("_occ_offset"))
 
     return (
-        numbered.join(offsets, gb)
-        .withColumn(out, (F.col("_occ_offset") + F.col("_occ_local")).cast("int"))
-        .drop(gk, gb, "_occ_local", "_occ_offset")
+        numbered.join(offsets, gb, "left")
+        .withColumn(out, (F.coalesce(F.col("_occ_offset"), F.lit(0)) + F.col("_occ_local")).cast("int"))
+        .drop(gk, gb, "_occ_is_hot", "_occ_local", "_occ_offset")
     )

@@ -99,7 +99,9 @@ def test_occurrence_number_matches_row_number_on_hot_key(spark):
         day, hour = rnd.randint(1, 28), rnd.randint(0, 23)
         data.append((key if rnd.random() > 0.02 else None, ts(day, hour), i))
     df = spark.createDataFrame(data, "k string, t timestamp_ntz, id long")
-    mine = occurrence_number(df, ["k"], "t", "n", bucket_unit="hour")
+    # 'hot' holds 60% of the rows: with a threshold of 100 rows it is split
+    # by hour, the other keys (and the NULL key) stay cold
+    mine = occurrence_number(df, ["k"], "t", "n", bucket_unit="hour", min_hot_rows=100)
     w = Window.partitionBy("k").orderBy("t")
     plain = df.withColumn("n", F.row_number().over(w).cast("int"))
     # ties share (k, t), so compare the multiset of (k, t, n)
@@ -110,11 +112,11 @@ def test_occurrence_number_matches_row_number_on_hot_key(spark):
 def test_occurrence_number_independent_of_session_time_zone(spark):
     data = [("k", ts(d, h)) for d in (9, 10, 11) for h in (0, 1, 2, 3, 23)]
     df = spark.createDataFrame(data, "k string, t timestamp_ntz")
-    before = rows(occurrence_number(df, ["k"], "t", "n"), "t", "n")
+    before = rows(occurrence_number(df, ["k"], "t", "n", min_hot_rows=2), "t", "n")
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-        after = rows(occurrence_number(df, ["k"], "t", "n"), "t", "n")
+        after = rows(occurrence_number(df, ["k"], "t", "n", min_hot_rows=2), "t", "n")
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert before == after
@@ -145,3 +147,13 @@ def test_pairing_matches_naive_join_formulation(spark):
     cond = (F.col("c_db") == F.col("d_db")) & (F.col("c_loc") == F.col("d_loc")) & (F.col("c_n") == F.col("d_n"))
     naive = c.join(d, cond, "left").select("c_db", "c_loc", "c_ts", "d_ts")
     assert rows(mine) == rows(naive)
+
+
+def test_hot_key_threshold_bounds_the_hot_set():
+    from accrualkit.operators.ordinal import hot_key_threshold
+
+    assert hot_key_threshold(1_000, 100, 10) == 100
+    assert hot_key_threshold(10**12, 100_000, 10_000) == 10**8
+    # no more than max_hot_keys keys can exceed the threshold
+    total, t = 10**9 + 7, hot_key_threshold(10**9 + 7, 10, 1000)
+    assert total // (t + 1) <= 1000
