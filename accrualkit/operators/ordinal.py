@@ -54,11 +54,14 @@ _BUCKET_FIELDS = {
 
 def time_bucket(ts: str, unit: str = DEFAULT_BUCKET):
     """(date, hour[, minute]) of ``ts`` — monotone in ``ts`` and computed from
-    its own fields, so it does not depend on the session time zone."""
+    its own fields, so it does not depend on the session time zone.  A DATE
+    column only has the date part."""
     if unit not in _BUCKET_FIELDS:
         raise ValueError(f"bucket_unit must be one of {sorted(_BUCKET_FIELDS)}")
     c = F.col(ts)
-    return F.struct(F.to_date(c).alias("d"), *[f(c).alias(f.__name__) for f in _BUCKET_FIELDS[unit]])
+    # NULL (not a struct of NULLs) for a NULL timestamp, so that NULLs-last
+    # ordering of the buckets agrees with NULLs-last ordering of the rows
+    return F.when(c.isNotNull(), F.struct(F.to_date(c).alias("d"), *[f(c).alias(f.__name__) for f in _BUCKET_FIELDS[unit]]))
 
 
 def hot_key_threshold(total_rows: int, min_hot_rows: int = MIN_HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS) -> int:
@@ -74,8 +77,10 @@ def occurrence_number(
     bucket_unit: str = DEFAULT_BUCKET,
     min_hot_rows: int = MIN_HOT_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
+    descending: bool = False,
 ) -> DataFrame:
-    """Append ``out`` = 1, 2, ... per ``keys`` in ascending ``order_col``.
+    """Append ``out`` = 1, 2, ... per ``keys`` in ascending ``order_col``
+    (newest first with ``descending=True``; NULLs last either way).
 
     ``bucket_unit`` ('day', 'hour' or 'minute') is the time slice a hot key
     is split into: finer buckets spread it over more tasks at the cost of a
@@ -102,13 +107,18 @@ def occurrence_number(
     bucket = F.when(F.col("_occ_is_hot"), time_bucket(order_col, bucket_unit))
     staged = flagged.drop("_occ_hot").withColumn(gb, F.struct(F.col(gk).alias("k"), bucket.alias("b")))
 
-    local_w = Window.partitionBy(gb).orderBy(F.col(order_col).asc_nulls_last())
+    # buckets are monotone in the order column, so descending numbering just
+    # walks the buckets, and the rows inside each bucket, the other way round
+    def direction(c):
+        return c.desc_nulls_last() if descending else c.asc_nulls_last()
+
+    local_w = Window.partitionBy(gb).orderBy(direction(F.col(order_col)))
     numbered = staged.withColumn("_occ_local", F.row_number().over(local_w))
 
     per_bucket = staged.filter(F.col("_occ_is_hot")).groupBy(gb).agg(F.count(F.lit(1)).alias("_occ_rows"))
     before = (
         Window.partitionBy(F.col(f"{gb}.k"))
-        .orderBy(F.col(f"{gb}.b").asc_nulls_last())
+        .orderBy(direction(F.col(f"{gb}.b")))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = per_bucket.select(gb, F.coalesce(F.sum("_occ_rows").over(before), F.lit(0)).alias("_occ_offset"))

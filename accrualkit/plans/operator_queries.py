@@ -224,16 +224,12 @@ def lateral_alias_agg(spark, d):
 
 @query("lateral_alias_window")
 def lateral_alias_window(spark, d):
-    """Window partitioned by the source column of an output alias.
-
-    One provider's explorer rows are bounded by the calendar (one per day),
-    so a plain window per provider is safe here.
-    """
-    ex = _cat(spark, d)("provider_explorer_day_week_vw")
-    w = Window.partitionBy("provider_id").orderBy(F.col("snapshot_date_eastern").desc())
-    return ex.select(
-        F.col("provider_id").alias("c_docter_id"), "snapshot_date_eastern", F.row_number().over(w).alias("rownum")
+    """Window partitioned by the source column of an output alias (Spark
+    rejects an alias there), numbered newest first without a hot-key task."""
+    ex = _cat(spark, d)("provider_explorer_day_week_vw").select(
+        F.col("provider_id").alias("c_docter_id"), "snapshot_date_eastern"
     )
+    return occurrence_number(ex, ["c_docter_id"], "snapshot_date_eastern", "rownum", bucket_unit="day", descending=True)
 
 
 @query("unqualified_resolution")
@@ -642,10 +638,9 @@ def win_partition_expr(spark, d):
 
 @query("win_row_number_desc")
 def win_row_number_desc(spark, d):
-    """Rank each provider's opportunity snapshots, newest first (a few rows per provider)."""
-    oi = _cat(spark, d)("opportunity_index")
-    w = Window.partitionBy("provider_id").orderBy(F.col("snapshot_date_est").desc())
-    return oi.select("provider_id", "snapshot_date_est", F.row_number().over(w).alias("rownum"))
+    """Rank each provider's opportunity snapshots, newest first."""
+    oi = _cat(spark, d)("opportunity_index").select("provider_id", "snapshot_date_est")
+    return occurrence_number(oi, ["provider_id"], "snapshot_date_est", "rownum", bucket_unit="day", descending=True)
 
 
 @query("qualify_inline")

@@ -157,3 +157,22 @@ def test_hot_key_threshold_bounds_the_hot_set():
     # no more than max_hot_keys keys can exceed the threshold
     total, t = 10**9 + 7, hot_key_threshold(10**9 + 7, 10, 1000)
     assert total // (t + 1) <= 1000
+
+
+def test_occurrence_number_descending_matches_row_number_desc(spark):
+    rnd = random.Random(9)
+    data = [("hot" if rnd.random() < 0.7 else f"k{rnd.randint(0, 5)}", ts(rnd.randint(1, 28), rnd.randint(0, 23))) for _ in range(2000)]
+    df = spark.createDataFrame(data, "k string, t timestamp_ntz")
+    mine = occurrence_number(df, ["k"], "t", "n", min_hot_rows=50, descending=True)
+    plain = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(F.col("t").desc())).cast("int"))
+    assert rows(mine, "k", "t", "n") == rows(plain, "k", "t", "n")
+
+
+def test_occurrence_number_null_timestamps_in_hot_key_sort_last(spark):
+    data = [("hot", ts(d, h)) for d in range(1, 6) for h in range(0, 4)] + [("hot", None)] * 3 + [("cold", None), ("cold", ts(1))]
+    df = spark.createDataFrame(data, "k string, t timestamp_ntz")
+    for desc in (False, True):
+        order = F.col("t").desc_nulls_last() if desc else F.col("t").asc_nulls_last()
+        mine = occurrence_number(df, ["k"], "t", "n", min_hot_rows=5, descending=desc)
+        plain = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(order)).cast("int"))
+        assert rows(mine, "k", "t", "n") == rows(plain, "k", "t", "n"), desc
