@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Sync-type labels of the roster report (must match the
-# reference output exactly).
-TWO_WAY_SYNC_TYPES = ("Read/Write", "Read/Write/Track")
-ONE_WAY_SYNC_TYPE = "Read Only"
-TWO_WAY_LABEL = "Two Way"
-ONE_WAY_LABEL = "One Way"
-MANUAL_LABEL = "Manual"
+from accrualkit.constants import (
+    MANUAL_LABEL,
+    ONE_WAY_LABEL,
+    ONE_WAY_SYNC_TYPE,
+    TWO_WAY_LABEL,
+    TWO_WAY_SYNC_TYPES,
+)
 
 
 def resolve_pms(sync_id: Column, sync_type: Column, synced_pms: Column, listed_pms: Column) -> Column:

@@ -16,16 +16,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from accrualkit.constants import ADDED, DELETED, LOCATION_SETTING_KEY, PMS_SETTING_KEY, UPDATED  # noqa: F401
 from accrualkit.functions.casts import try_bigint
 from accrualkit.operators.ordinal import DEFAULT_BUCKET, occurrence_number
 
-# Setting keys and event types of the sync settings log.
-PMS_SETTING_KEY = 18
-LOCATION_SETTING_KEY = 16
-ADDED = "Added"
-UPDATED = "Updated"
-DELETED = "Deleted"
-
 ENTITY = "entity_id"
 VALUE = "setting_value"
 TS = "event_timestamp_utc"

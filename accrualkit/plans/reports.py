@@ -15,6 +15,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from accrualkit.constants import (  # noqa: F401  (re-exported for callers)
+    APPROVED,
+    BOOKING_BUCKET,
+    CERNER_APPLICATIONS,
+    DENTRIX_PMS,
+    MANUAL_SYNC,
+    NO_AVAILABILITY_BUCKET,
+    RAINTREE_PATTERN,
+)
 from accrualkit.functions.dates import at_midnight, date_lit
 from accrualkit.operators.dedupe import top1_per_group
 from accrualkit.operators.event_log import latest_setting, mapping_history_collapsed, mapping_history_flat
@@ -26,15 +35,6 @@ from accrualkit.plans import syncs as S
 from accrualkit.plans.materialize import reuse
 from accrualkit.sources.catalog import SourceCatalog
 
-# Constant labels and default selectors of the reports.
-BOOKING_BUCKET = "HadNPBooking"
-NO_AVAILABILITY_BUCKET = "IntegratedButNoAvailability"
-CERNER_APPLICATIONS = ("CernerMillenniumAPI", "CernerMillenniumR4")
-DENTRIX_PMS = ("Dentrix", "DentrixG5")
-RAINTREE_PATTERN = "%raintree%"
-MANUAL_SYNC = "Manual"
-APPROVED = "Approved"
-
 
 # --------------------------------------------------------------------- R1
 def report_api_practices(cat: SourceCatalog, pms_applications: Sequence[str]) -> DataFrame:

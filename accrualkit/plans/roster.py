@@ -5,15 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from accrualkit.constants import APPROVED_STATUSES, FULL_PROFILE
 from accrualkit.functions.labels import resolve_pms, sync_type_label
 from accrualkit.operators.dedupe import top1_per_group
 from accrualkit.operators.temporal import currently_active
 from accrualkit.sources.catalog import SourceCatalog
 
-# Roster eligibility.
-FULL_PROFILE = "FullProfile"
-APPROVED_STATUSES = ("Approved Application",)
-
 
 def bookable_provider_roster(cat: SourceCatalog, bookable_flag: str = "is_bookable_legacy") -> DataFrame:
     """Active, non-resource, non-test, full-profile, approved, bookable providers.

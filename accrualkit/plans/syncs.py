@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from accrualkit.constants import AGG_CREATE_TYPES, AGG_UPDATE_TYPES
 from accrualkit.functions.dates import date_lit
 from accrualkit.operators.event_log import latest_setting
 from accrualkit.operators.joins import not_superseded, union_distinct
@@ -12,11 +13,6 @@ from accrualkit.operators.temporal import in_period, valid_at
 from accrualkit.params import PmsSelector, ReportMonth
 from accrualkit.sources.catalog import SourceCatalog
 
-# Event names of the aggregate-location mapping log, including
-# the one-off back-fill names that must be treated like the normal ones.
-AGG_CREATE_TYPES = ("create", "PROD_manual_backfill_20201119_create")
-AGG_UPDATE_TYPES = ("update", "PROD_manual_backfill_20201119_update")
-
 
 def selected_sync_dbs(cat: SourceCatalog, pms: PmsSelector, value_type: str = "bigint") -> DataFrame:
     """Latest PMS per sync DB, restricted to the selected PMS."""

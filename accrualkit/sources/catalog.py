@@ -23,36 +23,12 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from accrualkit.constants import WAREHOUSE_NAMES
 from accrualkit.functions.casts import as_boolean
 from accrualkit.session import checkpoint_dir
 from accrualkit.sources.fixtures import FIXTURES
 from accrualkit.sources.testdata import BaseTables
 
-# The warehouse relation each logical name stands for
-# (schema-qualified as the report scripts name them).
-WAREHOUSE_NAMES = {
-    "setting": "sync.setting",
-    "practice_management_software": "sync.practice_management_software",
-    "sync_overview_vw": "sync.sync_overview_vw",
-    "location": "provider.location",
-    "practice": "provider.practice",
-    "provider": "provider.provider",
-    "provider_location_mapping": "provider.provider_location_mapping",
-    "practice_derived_metrics": "provider.practice_derived_metrics",
-    "practice_snapshot_summary_day": "provider_analytics.practice_snapshot_summary_day",
-    "practice_snapshot_summary_month": "provider_analytics.practice_snapshot_summary_month",
-    "provider_location_snapshot_summary_month": "provider_analytics.provider_location_snapshot_summary_month",
-    "practice_parent_entity_mapping_vw": "provider_analytics.practice_parent_entity_mapping_vw",
-    "opportunity_index": "provider_analytics.opportunity_index",
-    "provider_location_availability_summary_day": "provider_analytics.provider_location_availability_summary_day",
-    "provider_location_sync_summary_day_vw": "provider_analytics.provider_location_sync_summary_day_vw",
-    "aggregate_location_mapping_update": "provider_raw.aggregate_location_mapping_update",
-    "provider_explorer_day_week_vw": "visualization.provider_explorer_day_week_vw",
-    "contact_vw": "salesforce.contact_vw",
-    "appointment_summary": "appointment.appointment_summary",
-    "provider_location_sync_snapshot_day_new": "experimental.provider_location_sync_snapshot_day_new",
-}
-
 # Flags that are BOOLEAN in some warehouse views and 'TRUE'/'False' text in
 # others; normalised to BOOLEAN at load.
 BOOLEAN_FLAGS = {
