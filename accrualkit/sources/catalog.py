@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 import uuid
 from collections.abc import Mapping
 
@@ -50,6 +51,7 @@ BOOLEAN_FLAGS = {
 
 # Stand-in tables written once per application and scale-factor directory.
 _STORED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_STORE_LOCK = threading.RLock()
 
 
 def normalise_flags(name: str, df: DataFrame) -> DataFrame:
@@ -140,16 +142,19 @@ class SourceCatalog:
         cat: SourceCatalog
 
         def load(name: str) -> DataFrame:
-            if stored is not None and name in stored:
+            if stored is None:
+                return FIXTURES[name](base, cat.table)
+            # one writer per stand-in, also when queries run in parallel threads
+            with _STORE_LOCK:
+                if name not in stored:
+                    digest = hashlib.sha1(sf_key.encode()).hexdigest()[:10]
+                    path = (
+                        f"{checkpoint_dir(spark).rstrip('/')}/accrualkit-standins/{app}/{digest}/"
+                        f"{name}-{uuid.uuid4().hex[:8]}"
+                    )
+                    FIXTURES[name](base, cat.table).write.parquet(path)
+                    stored[name] = spark.read.parquet(path)
                 return stored[name]
-            df = FIXTURES[name](base, cat.table)
-            if stored is not None:
-                digest = hashlib.sha1(sf_key.encode()).hexdigest()[:10]
-                path = f"{checkpoint_dir(spark).rstrip('/')}/accrualkit-standins/{app}/{digest}/{name}"
-                df.write.mode("overwrite").parquet(path)
-                df = spark.read.parquet(path)
-                stored[name] = df
-            return df
 
         cat = cls(spark, load, base)
         return cat
