@@ -25,9 +25,50 @@ REPORT_SQL: dict[str, str] = {
 }
 
 
-def all_sql() -> dict[str, str]:
+# DATE-typed output columns per query.  The driver contract delivers them as
+# midnight TIMESTAMPs on both sides (see __spark_entry__); a test checks this
+# list against the Spark schemas.
+DATE_COLUMNS: dict[str, tuple[str, ...]] = {
+    "latest_snapshot_per_key": ("snapshot_date_est",),
+    "param_from_query": ("snapshot_month_eastern", "last_day_of_month"),
+    "project_predicate": ("snapshot_date_est",),
+    "lateral_alias_window": ("snapshot_date_eastern",),
+    "filter_not_in": ("snapshot_date_eastern",),
+    "filter_not_equal": ("snapshot_date_eastern",),
+    "filter_numeric_gt": ("snapshot_month_eastern",),
+    "filter_period_eq": ("snapshot_month_eastern",),
+    "filter_open_range": ("snapshot_date_eastern",),
+    "filter_and_or": ("snapshot_date_est",),
+    "filter_null_rejecting_after_outer": ("snapshot_date_est",),
+    "join_inner_multikey": ("snapshot_month_eastern",),
+    "win_row_number_desc": ("snapshot_date_est",),
+    "qualify_alias": ("snapshot_date_eastern",),
+    "qualify_and_predicate": ("snapshot_date_est",),
+    "sort_multi_mixed": ("snapshot_date_eastern",),
+    "fn_cast_date": ("event_date",),
+    "fn_last_day": ("month_end",),
+    "fn_day": ("month_start",),
+    "fn_add_months": ("snapshot_month_eastern", "next_month"),
+    "fn_dateadd_day": ("snapshot_date_est", "next_day"),
+    "fn_case_pms": ("snapshot_date_est",),
+    "fn_case_sync_type": ("snapshot_date_est",),
+}
+
+
+def dates_as_timestamps(name: str, sql: str) -> str:
+    cols = DATE_COLUMNS.get(name)
+    if not cols:
+        return sql
+    replace = ", ".join(f"cast({c} as timestamp) as {c}" for c in cols)
+    return f"select * replace ({replace}) from (\n{sql}\n) as q"
+
+
+def all_sql(raw_dates: bool = False) -> dict[str, str]:
     out = {}
     out.update(REPORT_SQL)
     out.update(COMPOSITE_SQL)
     out.update(OPERATOR_SQL)
-    return {k: with_fixtures(v) for k, v in out.items()}
+    full = {k: with_fixtures(v) for k, v in out.items()}
+    if raw_dates:
+        return full
+    return {k: dates_as_timestamps(k, v) for k, v in full.items()}

@@ -14,3 +14,18 @@ def test_contract_keys():
     assert set(q) == set(s)
     for name, sql in s.items():
         assert sql.strip().lower().startswith(("with", "select")), name
+
+
+def test_date_outputs_are_listed_and_delivered_as_timestamps(spark):
+    from accrualkit.plans.registry import all_queries
+    from oracle.registry import DATE_COLUMNS
+
+    raw = all_queries()
+    found = {}
+    for name, fn in raw.items():
+        cols = tuple(f.name for f in fn(spark, "/root/testdata/sf0.001").schema.fields if f.dataType.typeName() == "date")
+        if cols:
+            found[name] = cols
+    assert found == DATE_COLUMNS
+    delivered = E.queries()["fn_add_months"](spark, "/root/testdata/sf0.001")
+    assert dict(delivered.dtypes)["next_month"] == "timestamp_ntz"
