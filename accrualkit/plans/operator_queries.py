@@ -276,7 +276,7 @@ def filter_not_in(spark, d):
     """Exclusion list given as a DataFrame (providers who had appointments): anti join."""
     cat = _cat(spark, d)
     asd = cat("provider_location_availability_summary_day").select("provider_id", "practice_id", "snapshot_date_eastern")
-    booked = cat("appointment_summary").select(F.col("provider_id").alias("_booked"))
+    booked = cat("appointment_summary").select(F.col("provider_id").alias("_booked")).distinct()
     return asd.join(booked, asd["provider_id"] == booked["_booked"], "left_anti")
 
 

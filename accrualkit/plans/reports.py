@@ -376,7 +376,9 @@ def report_no_availability(
     )
     rows = asd.join(pp, asd["provider_id"] == pp["_pp"]).join(ssd, asd["provider_id"] == ssd["_ssd"])
     if isinstance(excluded_provider_ids, DataFrame):
-        ex = excluded_provider_ids.select(F.col("provider_id").alias("_ex"))
+        # distinct keys first: a partial aggregation shrinks the excluded side
+        # (e.g. one row per booked provider, not per booking) before the shuffle
+        ex = excluded_provider_ids.select(F.col("provider_id").alias("_ex")).distinct()
         rows = rows.join(ex, rows["provider_id"] == ex["_ex"], "left_anti")
     elif len(excluded_provider_ids):
         rows = rows.filter(~F.col("provider_id").isin(*excluded_provider_ids))
