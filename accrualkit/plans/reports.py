@@ -361,8 +361,11 @@ def report_no_availability(
         .select("provider_id", "practice_id", "main_specialty")
         .distinct()
     )
-    practices = cat("location").filter(F.col("software").ilike(software_pattern)).select(
-        F.col("practice_id").alias("_pl_practice")
+    practices = (
+        cat("location")
+        .filter(F.col("software").ilike(software_pattern))
+        .select(F.col("practice_id").alias("_pl_practice"))
+        .distinct()
     )
     asd = asd.join(practices, asd["practice_id"] == practices["_pl_practice"], "left_semi")
     pp = cat("provider").select(
