@@ -16,6 +16,7 @@ import argparse
 import json
 
 from accrualkit.params import DateWindow, PmsSelector
+from accrualkit.plans import monthly
 from accrualkit.plans import reports as R
 from accrualkit.session import build_session
 from accrualkit.sources.catalog import SourceCatalog
@@ -74,6 +75,9 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--since", required=True)
     s.add_argument("--pattern", default=R.RAINTREE_PATTERN)
     s.add_argument("--exclude", nargs="*", default=[""], help="provider ids to leave out")
+    s = sub.add_parser("month-end", help="every report of a month; shared event-log work done once")
+    s.add_argument("--month", required=True)
+    s.add_argument("--only", nargs="*", help="subset of the month-end report names")
     return p
 
 
@@ -85,6 +89,12 @@ def main(argv: list[str] | None = None) -> int:
     else:
         locations = json.load(open(args.tables)) if args.tables else None
         cat = SourceCatalog.from_tables(spark, locations)
+    if args.report == "month-end":
+        if not args.out:
+            raise SystemExit("month-end needs --out")
+        for name, path in monthly.run_month_end(cat, args.month, args.out, args.format, args.only).items():
+            print(f"{name}\t{path}")
+        return 0
     df = REPORTS[args.report](cat, args)
     if args.out:
         writer = df.write.mode("overwrite")

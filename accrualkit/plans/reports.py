@@ -37,7 +37,12 @@ from accrualkit.sources.catalog import SourceCatalog
 
 
 # --------------------------------------------------------------------- R1
-def report_api_practices(cat: SourceCatalog, pms_applications: Sequence[str]) -> DataFrame:
+def report_api_practices(
+    cat: SourceCatalog,
+    pms_applications: Sequence[str],
+    history: DataFrame | None = None,
+    pms_latest: DataFrame | None = None,
+) -> DataFrame:
     """Practices synced through the given API PMS applications.
 
     One row per (practice, PMS application): active providers, first sync,
@@ -45,16 +50,20 @@ def report_api_practices(cat: SourceCatalog, pms_applications: Sequence[str]) ->
 
     The provider count is computed per practice on its own and joined to
     the per-practice aggregate, instead of joining every provider to every
-    mapping row before counting.
+    mapping row before counting.  ``history`` (collapsed mapping history)
+    and ``pms_latest`` (``latest_setting`` with BIGINT values) may be passed
+    precomputed, e.g. shared by all runs of a month.
     """
     setting = cat("setting")
+    if pms_latest is None:
+        pms_latest = latest_setting(setting, cat("practice_management_software"), value_type="bigint")
     dbs = (
-        latest_setting(setting, cat("practice_management_software"), value_type="bigint")
-        .filter(F.col("pms_application").isin(*pms_applications))
+        pms_latest.filter(F.col("pms_application").isin(*pms_applications))
         .select(F.col("sync_db_id").alias("_db"), "pms_application")
         .distinct()
     )
-    history = mapping_history_collapsed(setting)
+    if history is None:
+        history = mapping_history_collapsed(setting)
     # Mapping rows of the selected PMS: read twice (rows to report and the
     # still-synced location set), so materialised once.
     mapped = reuse(
@@ -97,7 +106,12 @@ def report_api_practices(cat: SourceCatalog, pms_applications: Sequence[str]) ->
 
 # --------------------------------------------------------------------- R2
 def report_active_locations(
-    cat: SourceCatalog, month: dt.date | str, pms: PmsSelector, activity: str = "day"
+    cat: SourceCatalog,
+    month: dt.date | str,
+    pms: PmsSelector,
+    activity: str = "day",
+    history: DataFrame | None = None,
+    pms_latest: DataFrame | None = None,
 ) -> DataFrame:
     """Actively synced, non-virtual locations of active practices for a month.
 
@@ -105,12 +119,16 @@ def report_active_locations(
     activity at the start of the next month.  One row per practice and
     location address, with phone/fax of the practice's primary location,
     the first sync date and the number of active providers at the location.
+    ``history`` (flat mapping history) and ``pms_latest`` (``latest_setting``
+    with INT values) may be passed precomputed.
     """
     m = ReportMonth.of(month)
     boundary = at_midnight(m.next_start)
+    if history is None:
+        history = mapping_history_flat(cat("setting"))
     # Read three times (report rows, live aggregate mappings, primary
     # location), so materialised once.
-    syncs = reuse(S.active_syncs_as_of(cat, mapping_history_flat(cat("setting")), pms, boundary))
+    syncs = reuse(S.active_syncs_as_of(cat, history, pms, boundary, pms_latest=pms_latest))
     practices = S.active_practices(cat, m, activity)
     live = S.live_aggregate_mappings(cat, syncs)
     per_location = S.providers_per_location(S.active_provider_locations(cat, m, live))

@@ -27,7 +27,12 @@ def pms_predicate(pms: PmsSelector) -> Column:
 
 
 def active_syncs_as_of(
-    cat: SourceCatalog, history: DataFrame, pms: PmsSelector, boundary: Column, value_type: str = "int"
+    cat: SourceCatalog,
+    history: DataFrame,
+    pms: PmsSelector,
+    boundary: Column,
+    value_type: str = "int",
+    pms_latest: DataFrame | None = None,
 ) -> DataFrame:
     """Sync DB ↔ location mappings of the selected PMS valid at ``boundary``.
 
@@ -35,8 +40,11 @@ def active_syncs_as_of(
     monolith_practice_id, created_date_utc, deleted_date_utc)`` — both the
     monolith location id of the log and the cloud ids of the dimensions.
     The PMS condition is a semi join: it filters, it never multiplies rows.
+    ``pms_latest`` may pass a precomputed ``latest_setting`` table.
     """
-    dbs = selected_sync_dbs(cat, pms, value_type).select(F.col("sync_db_id").alias("_sel_db"))
+    if pms_latest is None:
+        pms_latest = latest_setting(cat("setting"), cat("practice_management_software"), value_type=value_type)
+    dbs = pms_latest.filter(pms_predicate(pms)).select(F.col("sync_db_id").alias("_sel_db"))
     live = history.filter(valid_at("created_date_utc", "deleted_date_utc", boundary))
     live = live.join(dbs, live["sync_db_id"] == dbs["_sel_db"], "left_semi")
     loc = cat("location").select(
