@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 DEFAULT_BUCKET = "hour"
 MIN_HOT_ROWS = 100_000
-MAX_HOT_KEYS = 10_000
+MAX_HOT_KEYS = 100_000
 
 _BUCKET_FIELDS = {
     "day": (),
