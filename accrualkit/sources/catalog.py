@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from accrualkit.constants import WAREHOUSE_NAMES
 from accrualkit.functions.casts import as_boolean
-from accrualkit.session import checkpoint_dir
+from accrualkit.session import application_id, checkpoint_dir
 from accrualkit.sources.fixtures import FIXTURES
 from accrualkit.sources.testdata import BaseTables
 
@@ -136,7 +136,7 @@ class SourceCatalog:
         own plans rather than on re-deriving their inputs.
         """
         base = BaseTables(spark, sf_dir)
-        app = spark.sparkContext.applicationId
+        app = application_id(spark)
         sf_key = os.path.abspath(sf_dir)
         stored = _STORED.setdefault((app, sf_key), {}) if store else None
         cat: SourceCatalog
