@@ -1,18 +1,19 @@
 """The month-end run: every report of the accrual process for one month.
 
-Seven of the runs (API practices ×3, active locations ×4) read the same
+Six of the runs (API practices ×3, active locations ×3) read the same
 event-log derivations: the mapping history (flat and collapsed) and the
 latest PMS per sync database.  Run one by one, each re-numbers the whole
-location-mapping log.  Here those four intermediates are derived once,
-written as reliable checkpoints, and handed to every run, so the log is
-scanned and shuffled once per month instead of once per report.
+location-mapping log.  The two roster runs both reduce the whole explorer
+and opportunity snapshot history to the latest row per provider.  Here
+those intermediates are derived once, written as reliable checkpoints, and
+handed to every run that needs them.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -20,6 +21,7 @@ from accrualkit.constants import CERNER_APPLICATIONS, DENTRIX_PMS
 from accrualkit.operators.event_log import latest_setting, mapping_history_collapsed, mapping_history_flat
 from accrualkit.params import DateWindow, PmsSelector, ReportMonth
 from accrualkit.plans import reports as R
+from accrualkit.plans import roster as RO
 from accrualkit.plans.materialize import reuse
 from accrualkit.sources.catalog import SourceCatalog
 
@@ -36,51 +38,58 @@ ACTIVE_LOCATION_RUNS = {
 }
 
 
-@dataclass(frozen=True)
 class Shared:
-    """Event-log derivations shared by the runs of one month."""
-
-    history_flat: DataFrame
-    history_collapsed: DataFrame
-    pms_latest_int: DataFrame
-    pms_latest_bigint: DataFrame
-
-    @classmethod
-    def derive(cls, cat: SourceCatalog) -> "Shared":
-        setting, pms = cat("setting"), cat("practice_management_software")
-        return cls(
-            history_flat=reuse(mapping_history_flat(setting)),
-            history_collapsed=reuse(mapping_history_collapsed(setting)),
-            pms_latest_int=reuse(latest_setting(setting, pms, value_type="int")),
-            pms_latest_bigint=reuse(latest_setting(setting, pms, value_type="bigint")),
-        )
+    """Intermediates shared by the runs of one month, each derived (and
+    checkpointed) on first use only."""
 
+    def __init__(self, cat: SourceCatalog):
+        self.cat = cat
 
-def month_end_runs(cat: SourceCatalog, month: dt.date | str) -> dict[str, Callable[[], DataFrame]]:
-    """Named report builders for ``month`` (each returns a lazy DataFrame).
+    @cached_property
+    def history_flat(self) -> DataFrame:
+        return reuse(mapping_history_flat(self.cat("setting")))
 
-    The shared intermediates are derived on first use.
-    """
-    m = ReportMonth.of(month)
-    shared: list[Shared] = []
+    @cached_property
+    def history_collapsed(self) -> DataFrame:
+        return reuse(mapping_history_collapsed(self.cat("setting")))
+
+    @cached_property
+    def pms_latest_int(self) -> DataFrame:
+        return reuse(latest_setting(self.cat("setting"), self.cat("practice_management_software"), value_type="int"))
+
+    @cached_property
+    def pms_latest_bigint(self) -> DataFrame:
+        return reuse(latest_setting(self.cat("setting"), self.cat("practice_management_software"), value_type="bigint"))
 
-    def sh() -> Shared:
-        if not shared:
-            shared.append(Shared.derive(cat))
-        return shared[0]
+    @cached_property
+    def explorer_latest(self) -> DataFrame:
+        return reuse(RO.latest_explorer_row(self.cat))
 
+    @cached_property
+    def opportunity_latest(self) -> DataFrame:
+        return reuse(RO.latest_active_opportunity_row(self.cat))
+
+
+def month_end_runs(cat: SourceCatalog, month: dt.date | str) -> dict[str, Callable[[], DataFrame]]:
+    """Named report builders for ``month`` (each returns a lazy DataFrame)."""
+    m = ReportMonth.of(month)
+    sh = Shared(cat)
     runs: dict[str, Callable[[], DataFrame]] = {}
     for name, apps in API_PRACTICE_RUNS.items():
         runs[name] = lambda apps=apps: R.report_api_practices(
-            cat, apps, history=sh().history_collapsed, pms_latest=sh().pms_latest_bigint
+            cat, apps, history=sh.history_collapsed, pms_latest=sh.pms_latest_bigint
         )
     for name, (sel, activity) in ACTIVE_LOCATION_RUNS.items():
         runs[name] = lambda sel=sel, activity=activity: R.report_active_locations(
-            cat, m.start, sel, activity, history=sh().history_flat, pms_latest=sh().pms_latest_int
+            cat, m.start, sel, activity, history=sh.history_flat, pms_latest=sh.pms_latest_int
         )
     runs["synced_addresses"] = lambda: R.report_synced_addresses(cat, DateWindow(m.start, m.last_day), DENTRIX_PMS)
-    runs["provider_roster"] = lambda: R.report_provider_roster(cat, "is_bookable_legacy", with_npi=False)
-    runs["provider_roster_npi"] = lambda: R.report_provider_roster(cat, "is_bookable", with_npi=True)
+    runs["provider_roster"] = lambda: R.report_provider_roster(
+        cat, "is_bookable_legacy", False, sh.explorer_latest, sh.opportunity_latest
+    )
+    runs["provider_roster_npi"] = lambda: R.report_provider_roster(
+        cat, "is_bookable", True, sh.explorer_latest, sh.opportunity_latest
+    )
     runs["parent_entities"] = lambda: R.report_parent_entities(cat, CERNER_APPLICATIONS)
     runs["bookings_np"] = lambda: R.report_bookings(cat, m.start, m.next_start)
     runs["bookings_ep"] = lambda: R.report_bookings(cat, m.start, m.last_day)

@@ -219,17 +219,24 @@ def report_synced_addresses(
 
 # --------------------------------------------------------------------- R4
 def report_provider_roster(
-    cat: SourceCatalog, bookable_flag: str = "is_bookable_legacy", with_npi: bool = False
+    cat: SourceCatalog,
+    bookable_flag: str = "is_bookable_legacy",
+    with_npi: bool = False,
+    explorer: DataFrame | None = None,
+    opportunity: DataFrame | None = None,
 ) -> DataFrame:
     """Bookable provider roster with segment, opportunity and CRM contacts.
 
     Contacts are a left join (several contacts per professional fan out;
     written fan-out-safe, see ``fanout_left_join``); ``with_npi`` adds NPI
-    and practice name through an *inner* lookup.
+    and practice name through an *inner* lookup.  ``explorer`` /
+    ``opportunity`` may pass the precomputed latest snapshot rows.
     """
     # One row per roster provider: materialised once, read by both halves of
     # the fan-out-safe contact join.
-    enriched = reuse(R.provider_enrichment(cat, R.bookable_provider_roster(cat, bookable_flag)))
+    enriched = reuse(
+        R.provider_enrichment(cat, R.bookable_provider_roster(cat, bookable_flag), explorer, opportunity)
+    )
     joined = fanout_left_join(enriched, R.crm_contacts(cat), "docter_id", "professional_id__c")
     cols = [
         "c_docter_id",

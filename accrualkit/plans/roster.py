@@ -84,9 +84,16 @@ def latest_active_opportunity_row(cat: SourceCatalog) -> DataFrame:
     return latest.filter(F.col("is_active"))
 
 
-def provider_enrichment(cat: SourceCatalog, roster: DataFrame) -> DataFrame:
-    """Roster ⟕ latest explorer row ⟕ latest active opportunity row (DISTINCT)."""
-    ex = latest_explorer_row(cat)
+def provider_enrichment(
+    cat: SourceCatalog, roster: DataFrame, explorer: DataFrame | None = None, opportunity: DataFrame | None = None
+) -> DataFrame:
+    """Roster ⟕ latest explorer row ⟕ latest active opportunity row (DISTINCT).
+
+    ``explorer`` / ``opportunity`` may pass precomputed results of
+    ``latest_explorer_row`` / ``latest_active_opportunity_row`` (one row per
+    provider), e.g. shared by both roster runs of a month.
+    """
+    ex = explorer if explorer is not None else latest_explorer_row(cat)
     with_segment = roster.join(ex, "c_docter_id", "left").select(
         "c_docter_id",
         "docter_id",
@@ -102,7 +109,7 @@ def provider_enrichment(cat: SourceCatalog, roster: DataFrame) -> DataFrame:
         "bookable_status_beginning_of_week",
         "was_ever_previously_mp_bookable",
     ).distinct()
-    ov = latest_active_opportunity_row(cat)
+    ov = opportunity if opportunity is not None else latest_active_opportunity_row(cat)
     return (
         with_segment.join(ov, with_segment["c_docter_id"] == ov["provider_id"], "left")
         .select(

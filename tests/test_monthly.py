@@ -18,6 +18,7 @@ def test_month_end_shared_runs_equal_individual_reports(spark):
     assert rows(runs["active_locations_eaglesoft"]()) == rows(
         R.report_active_locations(cat, MONTH, PmsSelector.by_id(11, 12), "day")
     )
+    assert rows(runs["provider_roster_npi"]()) == rows(R.report_provider_roster(cat, "is_bookable", with_npi=True))
     assert len(runs) == 13
 
 
