@@ -17,12 +17,6 @@ from pyspark.sql import DataFrame
 from accrualkit.session import checkpoint_dir
 
 
-def temp_table(df: DataFrame, name: str) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    df.checkpoint(eager=True).createOrReplaceTempView(name)
-    return df.sparkSession.table(name)
-
-
 def reuse(df: DataFrame) -> DataFrame:
     """Materialise a small intermediate that a plan reads several times.
 
@@ -45,6 +39,11 @@ def reuse(df: DataFrame) -> DataFrame:
         df.unpersist()
 
 
+def temp_table(df: DataFrame, name: str) -> DataFrame:
+    reuse(df).createOrReplaceTempView(name)
+    return df.sparkSession.table(name)
+
+
 def write_result(df: DataFrame, name: str, root: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Write ``df`` under ``root`` (default: the shared checkpoint folder)."""
     spark = df.sparkSession
