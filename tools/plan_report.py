@@ -13,7 +13,10 @@ import sys
 
 sys.path.insert(0, ".")
 
+from accrualkit.operators.event_log import mapping_history_flat  # noqa: E402
 from accrualkit.plans.registry import REPORTS  # noqa: E402
+from accrualkit.plans.roster import latest_explorer_row  # noqa: E402
+from accrualkit.sources.catalog import SourceCatalog  # noqa: E402
 from accrualkit.session import build_session  # noqa: E402
 
 NODES = [
@@ -96,6 +99,25 @@ def main() -> None:
     ]
     for name, filters in pushed.items():
         out.append(f"* `{name}`: " + "; ".join(f"`[{f}]`" for f in sorted(filters)))
+    out += [
+        "",
+        "## Key operators with broadcasts disabled",
+        "",
+        "The same operators as a large cluster would run them: no side is small enough to broadcast, so "
+        "every join is a sort-merge join. `mapping_history_flat` shuffles the events once (Exchange under "
+        "the Window), feeds the pairing aggregate without another shuffle of the raw events, and prunes "
+        "the offsets branch when no key is hot. `latest_explorer_row` limits to one row per key on each "
+        "map task (WindowGroupLimit) before its only shuffle.",
+    ]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    cat = SourceCatalog.from_testdata(spark, args.sf)
+    for title, df in (
+        ("mapping_history_flat", mapping_history_flat(cat("setting"))),
+        ("latest_explorer_row", latest_explorer_row(cat)),
+    ):
+        tree = "\n".join(tree_of(final_plan(df)))
+        out += ["", f"### `{title}`", "", "```", tree, "```"]
     print("\n".join(out))
 
 
