@@ -12,6 +12,7 @@ from accrualkit.params import PmsSelector, ReportMonth
 from accrualkit.plans import reports as RP
 from accrualkit.plans import roster as R
 from accrualkit.plans import syncs as S
+from accrualkit.plans.materialize import reuse
 from accrualkit.plans.registry_params import (
     ACTIVE_MONTH,
     ATHENA_APPS,
@@ -121,8 +122,10 @@ def q_bookable_provider_roster(spark, sf_dir):
 
 
 def q_provider_enrichment(spark, sf_dir):
+    """Roster ⟕ latest explorer ⟕ latest active opportunity ⟕ CRM contacts."""
     cat = _cat(spark, sf_dir)
-    return R.provider_enrichment(cat, R.bookable_provider_roster(cat, "is_bookable"))
+    enriched = reuse(R.provider_enrichment(cat, R.bookable_provider_roster(cat, "is_bookable")))
+    return R.with_contacts(cat, enriched)
 
 
 def q_npi_lookup(spark, sf_dir):

@@ -27,7 +27,7 @@ from accrualkit.constants import (  # noqa: F401  (re-exported for callers)
 from accrualkit.functions.dates import at_midnight, date_lit
 from accrualkit.operators.dedupe import top1_per_group
 from accrualkit.operators.event_log import latest_setting, mapping_history_collapsed, mapping_history_flat
-from accrualkit.operators.joins import fanout_left_join, mark_members
+from accrualkit.operators.joins import mark_members
 from accrualkit.operators.temporal import currently_active, valid_at
 from accrualkit.params import DateWindow, PmsSelector, ReportMonth, as_date
 from accrualkit.plans import roster as R
@@ -237,40 +237,11 @@ def report_provider_roster(
     enriched = reuse(
         R.provider_enrichment(cat, R.bookable_provider_roster(cat, bookable_flag), explorer, opportunity)
     )
-    joined = fanout_left_join(enriched, R.crm_contacts(cat), "docter_id", "professional_id__c")
-    cols = [
-        "c_docter_id",
-        "docter_id",
-        "d_practice_id",
-        "c_practice_id",
-        "first_name",
-        "last_name",
-        "title",
-        "email",
-        "phone",
-        "mobilephone",
-    ]
-    if with_npi:
-        cols.append("provider_id__c")
-    cols += [
-        "current_account_segment",
-        "main_specialty",
-        "is_active",
-        "is_currently_synced",
-        "sync_id",
-        "sync_type",
-        "practice_management_system_listed_on_dsp",
-        "synced_practice_management_system",
-        "bookable_status",
-        "provider_tenure_months",
-        "bookable_status_beginning_of_week",
-        "was_ever_previously_mp_bookable",
-    ]
+    rows = R.with_contacts(cat, enriched, include_crm_practice_id=with_npi)
     if with_npi:
         npi = R.npi_lookup(cat)
-        joined = joined.join(npi, joined["docter_id"] == npi["_npi_prof"])
-        cols += ["npi", "practice_name"]
-    return R.roster_labels(joined.select(*cols).distinct())
+        rows = rows.join(npi, rows["docter_id"] == npi["_npi_prof"]).drop("_npi_prof").distinct()
+    return R.roster_labels(rows)
 
 
 # --------------------------------------------------------------------- R5

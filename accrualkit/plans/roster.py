@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from accrualkit.constants import APPROVED_STATUSES, FULL_PROFILE
 from accrualkit.functions.labels import resolve_pms, sync_type_label
 from accrualkit.operators.dedupe import top1_per_group
+from accrualkit.operators.joins import fanout_left_join
 from accrualkit.operators.temporal import currently_active
 from accrualkit.sources.catalog import SourceCatalog
 
@@ -150,6 +151,47 @@ def crm_contacts(cat: SourceCatalog) -> DataFrame:
     )
 
 
+CONTACT_ROW_HEAD = (
+    "c_docter_id",
+    "docter_id",
+    "d_practice_id",
+    "c_practice_id",
+    "first_name",
+    "last_name",
+    "title",
+    "email",
+    "phone",
+    "mobilephone",
+)
+CONTACT_ROW_TAIL = (
+    "current_account_segment",
+    "main_specialty",
+    "is_active",
+    "is_currently_synced",
+    "sync_id",
+    "sync_type",
+    "practice_management_system_listed_on_dsp",
+    "synced_practice_management_system",
+    "bookable_status",
+    "provider_tenure_months",
+    "bookable_status_beginning_of_week",
+    "was_ever_previously_mp_bookable",
+)
+
+
+def with_contacts(cat: SourceCatalog, enriched: DataFrame, include_crm_practice_id: bool = False) -> DataFrame:
+    """Enriched roster ⟕ CRM contacts by professional id, DISTINCT.
+
+    Several contacts per professional fan out (one row each).  The join is
+    fan-out-safe (``fanout_left_join``), so a professional with a huge
+    number of contacts does not land on one task.  ``enriched`` is read
+    twice by that join: pass a materialised one.
+    """
+    joined = fanout_left_join(enriched, crm_contacts(cat), "docter_id", "professional_id__c")
+    middle = ("provider_id__c",) if include_crm_practice_id else ()
+    return joined.select(*CONTACT_ROW_HEAD, *middle, *CONTACT_ROW_TAIL).distinct()
+
+
 def npi_lookup(cat: SourceCatalog) -> DataFrame:
     """NPI and practice name by monolith professional id."""
     return cat("provider").select(

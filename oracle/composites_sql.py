@@ -85,7 +85,7 @@ where latest_activation_start_timestamp_utc is not null and latest_activation_en
   and not is_resource and not is_test and profile_type = 'FullProfile' and status = 'Approved Application'
   and is_bookable_legacy
 """,
-    "provider_enrichment": "with " + R.r4_roster_ctes("is_bookable") + "\nselect * from enriched",
+    "provider_enrichment": R.r4_contact_rows("is_bookable"),
     "npi_lookup": "with "
     + R.r4_roster_ctes("is_bookable")
     + """
