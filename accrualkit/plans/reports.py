@@ -338,7 +338,7 @@ def report_no_availability(
     cat: SourceCatalog,
     since: dt.date | str,
     software_pattern: str = RAINTREE_PATTERN,
-    excluded_provider_ids: Sequence[str] | DataFrame = ("",),
+    excluded_provider_ids: Sequence[str] | DataFrame | None = ("",),
 ) -> DataFrame:
     """Integrated (non-manual sync) providers without availability.
 
@@ -379,7 +379,7 @@ def report_no_availability(
         # (e.g. one row per booked provider, not per booking) before the shuffle
         ex = excluded_provider_ids.select(F.col("provider_id").alias("_ex")).distinct()
         rows = rows.join(ex, rows["provider_id"] == ex["_ex"], "left_anti")
-    elif len(excluded_provider_ids):
+    elif excluded_provider_ids:
         rows = rows.filter(~F.col("provider_id").isin(*excluded_provider_ids))
     return rows.select(
         "provider_id",

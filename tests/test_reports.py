@@ -36,6 +36,7 @@ def test_no_availability_exclusions(spark):
     cat = SourceCatalog.from_testdata(spark, "/root/testdata/sf0.001")
     base = RP.report_no_availability(cat, "2023-12-01", excluded_provider_ids=())
     same = RP.report_no_availability(cat, "2023-12-01", excluded_provider_ids=("",))
+    assert RP.report_no_availability(cat, "2023-12-01", excluded_provider_ids=None).count() == base.count()
     ids = [r.provider_id for r in base.select("provider_id").distinct().limit(2).collect()]
     fewer = RP.report_no_availability(cat, "2023-12-01", excluded_provider_ids=tuple(ids))
     assert base.count() == same.count() > 0
