@@ -62,3 +62,12 @@ def test_reports_prune_unused_columns(plans):
                 checked += 1
                 assert not any(f"{c}:" in line for c in unused), (name, line)
     assert checked >= 2
+
+
+def test_snapshot_period_filters_reach_the_scan(plans):
+    # the one-month / one-day snapshot picks are pushed into the Parquet
+    # scans, which is what lets a date-partitioned table skip partitions
+    p = plans["report_active_locations_nextech"]
+    assert "EqualTo(snapshot_month_eastern,2024-04-01)" in p
+    assert "EqualTo(snapshot_month_eastern,2024-03-01)" in p
+    assert "EqualTo(snapshot_date_eastern,2024-03-01)" in plans["report_active_locations_denticon"]
