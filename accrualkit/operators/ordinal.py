@@ -10,7 +10,7 @@ Keys are therefore split in two classes:
 
 * **cold** keys — at most ``threshold`` rows — are numbered by a plain
   window in one task each (a bounded amount of work);
-* **hot** keys — more rows than that — are split by time bucket:
+* **hot** keys — more rows than that — are split into time buckets:
 
   1. ``local``  = row number within (key, bucket)        — the one big shuffle,
      hash-partitioned by (key, bucket), so a hot key spans many tasks
@@ -27,6 +27,14 @@ and is broadcast, which flags rows without shuffling them.  Both classes go
 through the same single big shuffle (a cold key is one bucket), and the
 offsets branch only ever sees hot rows.
 
+Bucket width (``bucket_unit='auto'``, the default) adapts per hot key: the
+hot-key aggregate also yields the key's first and last timestamp, and the
+key's span is cut into about sqrt(rows) equal slices.  So both the offsets
+window of a key (one row per bucket) and each local window (the rows of one
+bucket, when they are spread over time) hold about sqrt(rows) rows instead
+of one of them growing with the key.  Fixed units ('day', 'hour', 'minute')
+are available too.
+
 Rows tied on the timestamp fall into the same bucket, so the result is a
 valid ROW_NUMBER.  Tied rows carry identical (key, timestamp) values, so
 which of them gets which number never changes a report.  NULL keys form
@@ -36,12 +44,13 @@ struct, which compares NULL fields as equal; NULL timestamps sort last.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET = "hour"
+DEFAULT_BUCKET = "auto"
 MIN_HOT_ROWS = 100_000
 MAX_HOT_KEYS = 100_000
 
@@ -52,18 +61,35 @@ _BUCKET_FIELDS = {
 }
 
 
-def time_bucket(ts: str, unit: str = DEFAULT_BUCKET):
+def time_bucket(ts: str, unit: str = "hour"):
     """(date, hour[, minute]) of ``ts`` — monotone in ``ts`` and computed from
     its own fields, so it does not depend on the session time zone.  A DATE
     column only has the date part."""
     if unit not in _BUCKET_FIELDS:
-        raise ValueError(f"bucket_unit must be one of {sorted(_BUCKET_FIELDS)}")
+        raise ValueError(f"bucket_unit must be 'auto' or one of {sorted(_BUCKET_FIELDS)}")
     c = F.col(ts)
     # NULL (not a struct of NULLs) for a NULL timestamp, so that NULLs-last
     # ordering of the buckets agrees with NULLs-last ordering of the rows
     return F.when(c.isNotNull(), F.struct(F.to_date(c).alias("d"), *[f(c).alias(f.__name__) for f in _BUCKET_FIELDS[unit]]))
 
 
+def order_micros(ts: str) -> Column:
+    """Microseconds since 1970-01-01 of the wall-clock value of ``ts``.
+
+    Built from the value's own fields (date, hour, minute, second, fraction),
+    so it is monotone in ``ts`` and independent of the session time zone.
+    """
+    c = F.col(ts)
+    days = F.datediff(F.to_date(c), F.lit(dt.date(1970, 1, 1))).cast("long")
+    return (
+        days * F.lit(86_400_000_000)
+        + F.hour(c).cast("long") * F.lit(3_600_000_000)
+        + F.minute(c).cast("long") * F.lit(60_000_000)
+        + F.second(c).cast("long") * F.lit(1_000_000)
+        + F.date_format(c, "SSSSSS").cast("long")
+    )
+
+
 def hot_key_threshold(total_rows: int, min_hot_rows: int = MIN_HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS) -> int:
     """Row count above which a key is hot; at most ``max_hot_keys`` keys exceed it."""
     return max(min_hot_rows, -(-total_rows // max_hot_keys))
@@ -82,30 +108,43 @@ def occurrence_number(
     """Append ``out`` = 1, 2, ... per ``keys`` in ascending ``order_col``
     (newest first with ``descending=True``; NULLs last either way).
 
-    ``bucket_unit`` ('day', 'hour' or 'minute') is the time slice a hot key
-    is split into: finer buckets spread it over more tasks at the cost of a
-    larger (per-bucket, not per-row) offsets table.
+    ``bucket_unit``: 'auto' (about sqrt(rows) buckets per hot key) or a fixed
+    'day', 'hour' or 'minute' slice.
 
     Runs one small job eagerly (the input row count, to fix the hot-key
     threshold); everything else stays lazy.
     """
     gk = "_occ_key"
     gb = "_occ_bucket_key"
+    auto = bucket_unit == "auto"
     staged = df.withColumn(gk, F.struct(*[F.col(k) for k in keys]))
+    if auto:
+        staged = staged.withColumn("_occ_v", order_micros(order_col))
 
     threshold = hot_key_threshold(staged.count(), min_hot_rows, max_hot_keys)
-    hot = (
-        staged.groupBy(gk)
-        .agg(F.count(F.lit(1)).alias("_occ_rows"))
-        .filter(F.col("_occ_rows") > threshold)
-        .select(F.col(gk).alias("_occ_hot"))
-    )
+    stats = [F.count(F.lit(1)).alias("_occ_rows")]
+    if auto:
+        stats += [F.min("_occ_v").alias("_occ_first"), F.max("_occ_v").alias("_occ_last")]
+    hot = staged.groupBy(gk).agg(*stats).filter(F.col("_occ_rows") > threshold)
+    if auto:
+        slices = F.ceil(F.sqrt(F.col("_occ_rows").cast("double"))).cast("long")
+        span = F.col("_occ_last") - F.col("_occ_first") + F.lit(1)
+        width = F.greatest(F.lit(1).cast("long"), F.ceil(span / slices).cast("long"))
+        hot = hot.select(F.col(gk).alias("_occ_hot"), "_occ_first", width.alias("_occ_width"))
+    else:
+        hot = hot.select(F.col(gk).alias("_occ_hot"))
     # at most total / threshold <= max_hot_keys rows: a proven bound
     flagged = staged.join(F.broadcast(hot), staged[gk] == F.col("_occ_hot"), "left").withColumn(
         "_occ_is_hot", F.col("_occ_hot").isNotNull()
     )
-    bucket = F.when(F.col("_occ_is_hot"), time_bucket(order_col, bucket_unit))
-    staged = flagged.drop("_occ_hot").withColumn(gb, F.struct(F.col(gk).alias("k"), bucket.alias("b")))
+    if auto:
+        offset_in_key = F.col("_occ_v") - F.col("_occ_first")
+        bucket = F.when(F.col("_occ_is_hot"), F.floor(offset_in_key / F.col("_occ_width")).cast("long"))
+        helpers = ["_occ_hot", "_occ_v", "_occ_first", "_occ_width"]
+    else:
+        bucket = F.when(F.col("_occ_is_hot"), time_bucket(order_col, bucket_unit))
+        helpers = ["_occ_hot"]
+    staged = flagged.withColumn(gb, F.struct(F.col(gk).alias("k"), bucket.alias("b"))).drop(*helpers)
 
     # buckets are monotone in the order column, so descending numbering just
     # walks the buckets, and the rows inside each bucket, the other way round

@@ -1,5 +1,6 @@
 """Edge cases of the event-log operators on tiny hand-written logs."""
 
+import datetime as dt
 import random
 
 from pyspark.sql import Window
@@ -176,3 +177,18 @@ def test_occurrence_number_null_timestamps_in_hot_key_sort_last(spark):
         mine = occurrence_number(df, ["k"], "t", "n", min_hot_rows=5, descending=desc)
         plain = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(order)).cast("int"))
         assert rows(mine, "k", "t", "n") == rows(plain, "k", "t", "n"), desc
+
+
+def test_adaptive_buckets_match_row_number_on_hot_key(spark):
+    rnd = random.Random(17)
+    data = []
+    for i in range(4000):
+        key = "hot" if rnd.random() < 0.5 else f"k{rnd.randint(0, 9)}"
+        t = None if rnd.random() < 0.01 else dt.datetime(2024, 1, 1) + dt.timedelta(seconds=rnd.randint(0, 86_400 * 60))
+        data.append((key, t, i))
+    df = spark.createDataFrame(data, "k string, t timestamp_ntz, id long")
+    for desc in (False, True):
+        order = F.col("t").desc_nulls_last() if desc else F.col("t").asc_nulls_last()
+        mine = occurrence_number(df, ["k"], "t", "n", min_hot_rows=100, descending=desc)
+        plain = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(order)).cast("int"))
+        assert rows(mine, "k", "t", "n") == rows(plain, "k", "t", "n"), desc
