@@ -35,8 +35,16 @@ bucket, when they are spread over time) hold about sqrt(rows) rows instead
 of one of them growing with the key.  Fixed units ('day', 'hour', 'minute')
 are available too.
 
-Rows tied on the timestamp fall into the same bucket, so the result is a
-valid ROW_NUMBER.  Tied rows carry identical (key, timestamp) values, so
+A group of copies — one instant of a hot key holding more than ``threshold``
+rows — is split too: its rows are spread over ceil(rows / threshold) runs
+that sit exactly where the instant sorts in the key.  Tied rows are
+interchangeable in a ROW_NUMBER, so any spread is valid, but the numbering
+and the run counts must agree; since the spread comes from each row's
+position, those rows are salted once and written as a reliable checkpoint
+(only when such an instant exists).
+
+Rows tied on the timestamp otherwise fall into the same bucket, so the
+result is a valid ROW_NUMBER.  Tied rows carry identical (key, timestamp) values, so
 which of them gets which number never changes a report.  NULL keys form
 their own group (as in ``PARTITION BY``) because the key is wrapped in a
 struct, which compares NULL fields as equal; NULL timestamps sort last.
@@ -50,9 +58,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from accrualkit.plans.materialize import reuse
+
 DEFAULT_BUCKET = "auto"
 MIN_HOT_ROWS = 100_000
 MAX_HOT_KEYS = 100_000
+_LONG_MAX = 2**63 - 1
+_LONG_MIN = -(2**63)
 
 _BUCKET_FIELDS = {
     "day": (),
@@ -118,32 +130,83 @@ def occurrence_number(
     gb = "_occ_bucket_key"
     auto = bucket_unit == "auto"
     staged = df.withColumn(gk, F.struct(*[F.col(k) for k in keys]))
+    # NULL timestamps sort last in either direction: give them the extreme value
+    last = _LONG_MIN if descending else _LONG_MAX
     if auto:
-        staged = staged.withColumn("_occ_v", order_micros(order_col))
+        staged = staged.withColumn("_occ_v", F.coalesce(order_micros(order_col), F.lit(last)))
 
     threshold = hot_key_threshold(staged.count(), min_hot_rows, max_hot_keys)
     stats = [F.count(F.lit(1)).alias("_occ_rows")]
     if auto:
-        stats += [F.min("_occ_v").alias("_occ_first"), F.max("_occ_v").alias("_occ_last")]
+        real = F.when(F.col(order_col).isNotNull(), F.col("_occ_v"))
+        stats += [F.min(real).alias("_occ_first"), F.max(real).alias("_occ_last")]
     hot = staged.groupBy(gk).agg(*stats).filter(F.col("_occ_rows") > threshold)
     if auto:
         slices = F.ceil(F.sqrt(F.col("_occ_rows").cast("double"))).cast("long")
         span = F.col("_occ_last") - F.col("_occ_first") + F.lit(1)
         width = F.greatest(F.lit(1).cast("long"), F.ceil(span / slices).cast("long"))
-        hot = hot.select(F.col(gk).alias("_occ_hot"), "_occ_first", width.alias("_occ_width"))
+        hot = hot.select(F.col(gk).alias("_occ_hot"), "_occ_first", F.coalesce(width, F.lit(1).cast("long")).alias("_occ_width"))
+        # instants of a hot key holding more than `threshold` tied rows (at most
+        # total / threshold of them): each is split into ceil(rows / threshold) runs
+        hot_rows = staged.join(F.broadcast(hot.select("_occ_hot")), staged[gk] == F.col("_occ_hot"), "left_semi")
+        flat_instants = (
+            hot_rows.groupBy(gk, "_occ_v")
+            .agg(F.count(F.lit(1)).alias("_occ_tied"))
+            .filter(F.col("_occ_tied") > threshold)
+            .select(
+                F.col(gk).alias("_occ_ikey"),
+                F.col("_occ_v").alias("_occ_iv"),
+                F.ceil(F.col("_occ_tied") / F.lit(threshold)).cast("long").alias("_occ_runs"),
+            )
+        )
+        per_key = flat_instants.groupBy("_occ_ikey").agg(
+            F.collect_list(F.struct(F.col("_occ_iv").alias("v"), F.col("_occ_runs").alias("s"))).alias("_occ_instants")
+        )
+        hot = hot.join(per_key, F.col("_occ_hot") == F.col("_occ_ikey"), "left").drop("_occ_ikey")
+        has_instants = bool(flat_instants.limit(1).count())
     else:
         hot = hot.select(F.col(gk).alias("_occ_hot"))
-    # at most total / threshold <= max_hot_keys rows: a proven bound
+        has_instants = False
+    # hot keys and hot instants each number at most total / threshold <= max_hot_keys: a proven bound
     flagged = staged.join(F.broadcast(hot), staged[gk] == F.col("_occ_hot"), "left").withColumn(
         "_occ_is_hot", F.col("_occ_hot").isNotNull()
     )
+    if has_instants:
+        # Tied rows are interchangeable in a ROW_NUMBER, so any spread over the
+        # runs is valid — but the numbering and the run counts must see the
+        # same spread.  The spread comes from each row's position, so the tied
+        # rows are salted once and written as a reliable checkpoint.
+        marked = flagged.join(
+            F.broadcast(flat_instants),
+            (flagged[gk] == F.col("_occ_ikey")) & (F.col("_occ_v") == F.col("_occ_iv")),
+            "left",
+        ).drop("_occ_ikey", "_occ_iv")
+        tied_rows = marked.filter(F.col("_occ_runs").isNotNull()).withColumn(
+            "_occ_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_occ_runs"))
+        )
+        rest = marked.filter(F.col("_occ_runs").isNull()).withColumn("_occ_salt", F.lit(0).cast("long"))
+        flagged = rest.unionByName(reuse(tied_rows)).drop("_occ_runs")
+    else:
+        flagged = flagged.withColumn("_occ_salt", F.lit(0).cast("long"))
     if auto:
-        offset_in_key = F.col("_occ_v") - F.col("_occ_first")
-        bucket = F.when(F.col("_occ_is_hot"), F.floor(offset_in_key / F.col("_occ_width")).cast("long"))
-        helpers = ["_occ_hot", "_occ_v", "_occ_first", "_occ_width"]
+        v = F.col("_occ_v")
+        tied = F.coalesce(F.col("_occ_instants"), F.array().cast("array<struct<v:bigint,s:bigint>>"))
+        slice_no = F.when(F.col(order_col).isNull(), F.lit(last)).otherwise(
+            F.floor((v - F.col("_occ_first")) / F.col("_occ_width")).cast("long")
+        )
+        bucket = F.when(
+            F.col("_occ_is_hot"),
+            F.struct(
+                slice_no.alias("slice"),
+                F.size(F.filter(tied, lambda x: x["v"] < v)).alias("before"),
+                F.exists(tied, lambda x: x["v"] == v).alias("at"),
+                F.col("_occ_salt").alias("salt"),
+            ),
+        )
+        helpers = ["_occ_hot", "_occ_v", "_occ_first", "_occ_width", "_occ_instants", "_occ_salt"]
     else:
         bucket = F.when(F.col("_occ_is_hot"), time_bucket(order_col, bucket_unit))
-        helpers = ["_occ_hot"]
+        helpers = ["_occ_hot", "_occ_salt"]
     staged = flagged.withColumn(gb, F.struct(F.col(gk).alias("k"), bucket.alias("b"))).drop(*helpers)
 
     # buckets are monotone in the order column, so descending numbering just

@@ -192,3 +192,17 @@ def test_adaptive_buckets_match_row_number_on_hot_key(spark):
         mine = occurrence_number(df, ["k"], "t", "n", min_hot_rows=100, descending=desc)
         plain = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(order)).cast("int"))
         assert rows(mine, "k", "t", "n") == rows(plain, "k", "t", "n"), desc
+
+
+def test_tied_copies_in_hot_key_match_row_number(spark):
+    burst = dt.datetime(2024, 1, 15, 12, 0)
+    data = [("hot", burst, i) for i in range(900)]  # 900 identical copies
+    data += [("hot", dt.datetime(2024, 1, 1) + dt.timedelta(hours=i), 10_000 + i) for i in range(400)]
+    data += [("hot", None, 20_000 + i) for i in range(150)] + [("cold", burst, 30_000), ("cold", None, 30_001)]
+    df = spark.createDataFrame(data, "k string, t timestamp_ntz, id long").repartition(7)
+    for desc in (False, True):
+        order = F.col("t").desc_nulls_last() if desc else F.col("t").asc_nulls_last()
+        # threshold 100: the burst (900 ties) and the NULL group (150) are split into runs
+        mine = occurrence_number(df, ["k"], "t", "n", min_hot_rows=100, descending=desc)
+        plain = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(order)).cast("int"))
+        assert rows(mine, "k", "t", "n") == rows(plain, "k", "t", "n"), desc

@@ -88,6 +88,14 @@ def main() -> None:
     split = run("occurrence_number", summary(occurrence_number(df, ["key"], "ts", "n")))
     same["occurrence_number"] = plain == split
 
+    # a group of copies: a third of all rows share one key *and* one timestamp
+    copies = df.withColumn(
+        "ts", F.when(F.col("key") == -1, F.lit("2024-02-01 12:00:00").cast("timestamp_ntz")).otherwise(F.col("ts"))
+    )
+    plain_c = run("row_number_copies_plain", summary(copies.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("ts")))))
+    split_c = run("occurrence_number_copies", summary(occurrence_number(copies, ["key"], "ts", "n")))
+    same["occurrence_number_copies"] = plain_c == split_c
+
     # top-1 per key (map-side WindowGroupLimit)
     top = run("top1_per_group", top1_per_group(df, ["key"], ["ts"], ["v"]).groupBy().agg(F.sum("v"), F.count("*")))
     ref = run("top1_reference", df.groupBy("key").agg(F.max(F.struct("ts", "v")).alias("t")).groupBy().agg(F.sum("t.v"), F.count("*")))
