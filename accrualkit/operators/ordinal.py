@@ -88,17 +88,17 @@ def time_bucket(ts: str, unit: str = "hour"):
 def order_micros(ts: str) -> Column:
     """Microseconds since 1970-01-01 of the wall-clock value of ``ts``.
 
-    Built from the value's own fields (date, hour, minute, second, fraction),
-    so it is monotone in ``ts`` and independent of the session time zone.
+    Built from the value's own fields (date, hour, minute, seconds with
+    fraction), so it is monotone in ``ts`` and independent of the session
+    time zone.  DATE values count from midnight.
     """
-    c = F.col(ts)
+    c = F.col(ts).cast("timestamp_ntz")
     days = F.datediff(F.to_date(c), F.lit(dt.date(1970, 1, 1))).cast("long")
     return (
         days * F.lit(86_400_000_000)
         + F.hour(c).cast("long") * F.lit(3_600_000_000)
         + F.minute(c).cast("long") * F.lit(60_000_000)
-        + F.second(c).cast("long") * F.lit(1_000_000)
-        + F.date_format(c, "SSSSSS").cast("long")
+        + (F.extract(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("long")
     )
 
 
@@ -123,19 +123,32 @@ def occurrence_number(
     ``bucket_unit``: 'auto' (about sqrt(rows) buckets per hot key) or a fixed
     'day', 'hour' or 'minute' slice.
 
-    Runs one small job eagerly (the input row count, to fix the hot-key
-    threshold); everything else stays lazy.
+    Runs one small job eagerly (rows per key, to fix the hot-key threshold
+    and to see whether any key is hot); with no hot key the result is a plain
+    window.  Everything else stays lazy.
     """
     gk = "_occ_key"
     gb = "_occ_bucket_key"
     auto = bucket_unit == "auto"
     staged = df.withColumn(gk, F.struct(*[F.col(k) for k in keys]))
+
+    def direction(c):
+        return c.desc_nulls_last() if descending else c.asc_nulls_last()
+
+    # One small job: rows per key (partial aggregation), then total and largest.
+    sizes = staged.groupBy(gk).agg(F.count(F.lit(1)).alias("_occ_rows"))
+    profile = sizes.agg(F.sum("_occ_rows").alias("total"), F.max("_occ_rows").alias("largest")).first()
+    threshold = hot_key_threshold(int(profile["total"] or 0), min_hot_rows, max_hot_keys)
+    if int(profile["largest"] or 0) <= threshold:
+        # no hot key: every key holds at most `threshold` rows, a bounded
+        # amount of work for one task — a plain window, one shuffle
+        w = Window.partitionBy(gk).orderBy(direction(F.col(order_col)))
+        return staged.withColumn(out, F.row_number().over(w).cast("int")).drop(gk)
+
     # NULL timestamps sort last in either direction: give them the extreme value
     last = _LONG_MIN if descending else _LONG_MAX
     if auto:
         staged = staged.withColumn("_occ_v", F.coalesce(order_micros(order_col), F.lit(last)))
-
-    threshold = hot_key_threshold(staged.count(), min_hot_rows, max_hot_keys)
     stats = [F.count(F.lit(1)).alias("_occ_rows")]
     if auto:
         real = F.when(F.col(order_col).isNotNull(), F.col("_occ_v"))
@@ -163,7 +176,7 @@ def occurrence_number(
             F.collect_list(F.struct(F.col("_occ_iv").alias("v"), F.col("_occ_runs").alias("s"))).alias("_occ_instants")
         )
         hot = hot.join(per_key, F.col("_occ_hot") == F.col("_occ_ikey"), "left").drop("_occ_ikey")
-        has_instants = bool(flat_instants.limit(1).count())
+        has_instants = bool(flat_instants.limit(1).count())  # hot keys only: rare path
     else:
         hot = hot.select(F.col(gk).alias("_occ_hot"))
         has_instants = False
@@ -211,9 +224,6 @@ def occurrence_number(
 
     # buckets are monotone in the order column, so descending numbering just
     # walks the buckets, and the rows inside each bucket, the other way round
-    def direction(c):
-        return c.desc_nulls_last() if descending else c.asc_nulls_last()
-
     local_w = Window.partitionBy(gb).orderBy(direction(F.col(order_col)))
     numbered = staged.withColumn("_occ_local", F.row_number().over(local_w))
 
