@@ -105,9 +105,10 @@ def main() -> None:
         "",
         "The same operators as a large cluster would run them: no side is small enough to broadcast, so "
         "every join is a sort-merge join. `mapping_history_flat` shuffles the events once (Exchange under "
-        "the Window), feeds the pairing aggregate without another shuffle of the raw events, and prunes "
-        "the offsets branch when no key is hot. `latest_explorer_row` limits to one row per key on each "
-        "map task (WindowGroupLimit) before its only shuffle.",
+        "the Window) and feeds the pairing aggregate without another shuffle of the raw events. No key of "
+        "this data is hot, so the numbering is a plain window: its profiling job found every key below the "
+        "threshold. `latest_explorer_row` limits to one row per key on each map task (WindowGroupLimit) "
+        "before its only shuffle.",
     ]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
