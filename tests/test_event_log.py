@@ -206,3 +206,28 @@ def test_tied_copies_in_hot_key_match_row_number(spark):
         mine = occurrence_number(df, ["k"], "t", "n", min_hot_rows=100, descending=desc)
         plain = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(order)).cast("int"))
         assert rows(mine, "k", "t", "n") == rows(plain, "k", "t", "n"), desc
+
+
+def test_order_micros_is_monotone_and_zone_free(spark):
+    from accrualkit.operators.ordinal import order_micros
+
+    stamps = [
+        dt.datetime(1969, 12, 31, 23, 59, 59, 999999),
+        dt.datetime(1970, 1, 1),
+        dt.datetime(2024, 3, 10, 2, 30, 0, 1),  # inside a US DST gap
+        dt.datetime(2024, 3, 10, 3, 15),
+        dt.datetime(2024, 11, 3, 1, 30, 0, 500000),
+    ]
+    df = spark.createDataFrame([(t, t.date()) for t in stamps], "t timestamp_ntz, d date")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        results = []
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            results.append([(r.v, r.dv) for r in df.select(order_micros("t").alias("v"), order_micros("d").alias("dv")).collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert results[0] == results[1]
+    epoch = dt.datetime(1970, 1, 1)
+    assert [v for v, _ in results[0]] == [(t - epoch) // dt.timedelta(microseconds=1) for t in stamps]
+    assert [dv for _, dv in results[0]] == [(dt.datetime.combine(t.date(), dt.time()) - epoch) // dt.timedelta(microseconds=1) for t in stamps]
