@@ -71,3 +71,13 @@ def test_snapshot_period_filters_reach_the_scan(plans):
     assert "EqualTo(snapshot_month_eastern,2024-04-01)" in p
     assert "EqualTo(snapshot_month_eastern,2024-03-01)" in p
     assert "EqualTo(snapshot_date_eastern,2024-03-01)" in plans["report_active_locations_denticon"]
+
+
+def test_numbering_without_hot_keys_is_one_plain_window(spark):
+    from accrualkit.operators.event_log import mapping_history_flat
+
+    setting = SourceCatalog.from_testdata(spark, SF)("setting")
+    plan = plan_text(mapping_history_flat(setting))
+    tree = plan.split("\n\n")[0]
+    assert tree.count("Window (") == 1
+    assert "BroadcastExchange" not in tree and "BroadcastHashJoin" not in tree
