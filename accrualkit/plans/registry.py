@@ -1,8 +1,8 @@
 """Named queries: every report variant, composite and elementary operator.
 
 Each entry is ``(spark, sf_dir) -> DataFrame`` over the test-data catalog.
-The parameter values below are the report runs the scripts encode, moved to
-the months the generated data covers.
+Report-run parameters live in ``registry_params.py``; the composite and
+elementary queries in ``composite_queries.py`` and ``operator_queries.py``.
 """
 
 from __future__ import annotations
