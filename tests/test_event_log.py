@@ -101,7 +101,7 @@ def test_occurrence_number_matches_row_number_on_hot_key(spark):
         data.append((key if rnd.random() > 0.02 else None, ts(day, hour), i))
     df = spark.createDataFrame(data, "k string, t timestamp_ntz, id long")
     # 'hot' holds 60% of the rows: with a threshold of 100 rows it is split
-    # by hour, the other keys (and the NULL key) stay cold
+    # into fixed hour buckets here, the other keys (and the NULL key) stay cold
     mine = occurrence_number(df, ["k"], "t", "n", bucket_unit="hour", min_hot_rows=100)
     w = Window.partitionBy("k").orderBy("t")
     plain = df.withColumn("n", F.row_number().over(w).cast("int"))
