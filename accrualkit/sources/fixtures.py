@@ -5,7 +5,7 @@ snapshots).  Those are not available here, so each one is derived with
 DataFrame code from the generated TPC-H-ish tables, deterministically and
 with the edge cases the reports must handle (malformed setting values,
 deletes before creates, superseded mappings, NULL sync types, several
-contacts per professional, ...).  ``oracle/fixtures_sql.py`` holds the
+contacts per professional, ...).  ``accrualkit_oracle/fixtures_sql.py`` holds the
 same derivations as portable SQL for the DuckDB cross-check.
 
 Every derivation is a narrow projection/filter/aggregate over a whole base

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle import reports_sql as R
+from accrualkit_oracle import reports_sql as R
 
 DENTICON_SEL = "p.app = 'Denticon'"
 MONTH = "2024-03-01"

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from oracle import reports_sql as R
-from oracle.composites_sql import COMPOSITE_SQL
-from oracle.operators_sql import OPERATOR_SQL
-from oracle.fixtures_sql import with_fixtures
+from accrualkit_oracle import reports_sql as R
+from accrualkit_oracle.composites_sql import COMPOSITE_SQL
+from accrualkit_oracle.operators_sql import OPERATOR_SQL
+from accrualkit_oracle.fixtures_sql import with_fixtures
 
 REPORT_SQL: dict[str, str] = {
     "report_api_practices_allscripts": R.r1_api_practices(["AllScriptsAPI"]),

@@ -18,7 +18,7 @@ def test_contract_keys():
 
 def test_date_outputs_are_listed_and_delivered_as_timestamps(spark):
     from accrualkit.plans.registry import all_queries
-    from oracle.registry import DATE_COLUMNS
+    from accrualkit_oracle.registry import DATE_COLUMNS
 
     raw = all_queries()
     found = {}
