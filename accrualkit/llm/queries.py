@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accrualkit.llm import mixing, sharding, simhash
-from accrualkit.llm.common import documents
+from accrualkit.llm import chat, decontaminate, mixing, sharding, simhash
+from accrualkit.llm.common import documents, stored, table
 
 SHARDS = 8
+#: A conversation of control strings, beside the table's own.
+CONTROL_ID = -7
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+CONTROL_TURNS = [{"role": role, "content": CONTROL_TEXT} for role in ("user", "assistant")]
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +29,20 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.turns_from_table(table(spark, sf_dir, "conversations"))
+    extra = chat.turns_from_json(
+        spark.createDataFrame([(CONTROL_ID, json.dumps({"messages": CONTROL_TURNS}))], "id long, record string"), "id", "record"
+    ).drop("layout")
+    pieces = stored(chat.format_turns(turns.unionByName(extra)), "formatted")
+    return chat.read_back(pieces).withColumnRenamed("conv", "conv_id")
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contained_items(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select(
@@ -43,8 +62,48 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op3_chat": op3_chat,
+    "op5_decontamination": op5_decontamination,
     "op6_simhash": op6_simhash,
     "op9_sharding": op9_sharding,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_chat": rf"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT {CONTROL_ID}, 0, 'user', '{CONTROL_TEXT}'
+            UNION ALL SELECT {CONTROL_ID}, 1, 'assistant', '{CONTROL_TEXT}'
+        ), escaped AS (
+            SELECT *, replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>') AS body FROM turns
+        )
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            CAST(sum(length('### ') + length(role) + length(':') + 1 + length(body) + length('</turn>') + 1) AS BIGINT) AS formatted_chars
+        FROM escaped GROUP BY conv_id
+    """,
+    "op5_decontamination": r"""
+        WITH items AS (
+            SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM benchmark
+        ), sized AS (
+            SELECT item_id, w, least(5, len(w)) AS k FROM items WHERE len(w) > 0
+        ), item_shingles AS (
+            SELECT DISTINCT item_id, k, array_to_string(w[i : i + k - 1], ' ') AS s
+            FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM sized)
+        ), words AS (
+            SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents
+        ), doc_shingles AS (
+            SELECT DISTINCT doc_id, k, array_to_string(w[i : i + k - 1], ' ') AS s
+            FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+                  FROM words, (SELECT DISTINCT k FROM sized) ks WHERE len(w) >= k)
+        ), sizes AS (
+            SELECT item_id, count(*) AS shingles FROM item_shingles GROUP BY item_id
+        )
+        SELECT doc_id, item_id, count(*) AS shared, any_value(shingles) AS shingles,
+            count(*) / any_value(shingles) AS containment
+        FROM doc_shingles JOIN item_shingles USING (k, s) JOIN sizes USING (item_id)
+        GROUP BY doc_id, item_id HAVING count(*) >= 0.8 * any_value(shingles)
+    """,
+}
