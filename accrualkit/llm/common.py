@@ -75,3 +75,27 @@ def mix64(x: int) -> int:
     x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & MASK64
     x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & MASK64
     return x ^ (x >> 31)
+
+
+def bounded_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
+    """About ``rows`` rows of ``df`` (all, if fewer), picked by a hash of ``key``; reruns agree."""
+    n = df.count()
+    if n <= rows:
+        return df
+    grain = 1 << 30
+    return df.filter(F.pmod(F.xxhash64(key, F.lit(7)), F.lit(grain)) < int(grain * (rows / n)))
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, divisor: int, held_out: int, rows: int) -> DataFrame:
+    """id, text, y of a bounded sample of labelled documents outside the held-out remainder.
+
+    The label is 0 or 1; rows with another, without a document or with two
+    different labels are left out.  The sample of ids is of a fixed size at most, so it is broadcast.
+    """
+    y = F.col(label).cast("int")
+    usable = labels.filter(F.col("doc_id").isNotNull() & y.isin(0, 1) & (remainder(F.col("doc_id"), divisor) != held_out))
+    single = usable.groupBy(F.col("doc_id").cast("long").alias("label_id")).agg(F.min(y).alias("y"), F.max(y).alias("y2"))
+    single = single.filter(F.col("y") == F.col("y2")).select("label_id", "y")
+    sample = bounded_sample(stored(single, "labels"), F.col("label_id"), rows)
+    plain = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    return plain.join(F.broadcast(sample), F.col("id") == F.col("label_id")).select("id", "text", "y")

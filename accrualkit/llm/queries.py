@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accrualkit.llm import chat, decontaminate, mixing, sharding, simhash
-from accrualkit.llm.common import documents, stored, table
+from accrualkit.llm import chat, decontaminate, mixing, quality, sharding, simhash
+from accrualkit.llm.common import documents, remainder, stored, table
 
 SHARDS = 8
 #: A conversation of control strings, beside the table's own.
@@ -29,6 +29,13 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    score = quality.scorer(quality.train(docs, table(spark, sf_dir, "labels"), "quality", 4, 2))
+    scored = docs.select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), score(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat.turns_from_table(table(spark, sf_dir, "conversations"))
     extra = chat.turns_from_json(
@@ -62,6 +69,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_quality": op2_quality,
     "op3_chat": op3_chat,
     "op5_decontamination": op5_decontamination,
     "op6_simhash": op6_simhash,
