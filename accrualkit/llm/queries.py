@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accrualkit.llm import chat, decontaminate, mixing, quality, sharding, simhash
+from accrualkit.llm import chat, decontaminate, mixing, quality, sharding, simhash, toxicity
 from accrualkit.llm.common import documents, remainder, stored, table
 
 SHARDS = 8
@@ -58,6 +58,13 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    score = toxicity.scorer(toxicity.train(docs, table(spark, sf_dir, "labels"), "toxic", 5, 0))
+    scored = docs.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), score(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents(spark, sf_dir).select("doc_id", *sharding.shard_sizes(F.col("text")))
     placed = sharding.shard(rows, [F.col("doc_id"), F.col("text_crc32"), F.col("size")], SHARDS)
@@ -73,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat": op3_chat,
     "op5_decontamination": op5_decontamination,
     "op6_simhash": op6_simhash,
+    "op7_toxicity": op7_toxicity,
     "op9_sharding": op9_sharding,
 }
 
