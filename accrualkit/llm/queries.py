@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accrualkit.llm import chat, decontaminate, mixing, quality, sharding, simhash, toxicity
+from accrualkit.llm import chat, decontaminate, mixing, quality, sharding, simhash, substring, toxicity
 from accrualkit.llm.common import documents, remainder, stored, table
 
 SHARDS = 8
@@ -65,6 +65,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.without_repeats(documents(spark, sf_dir)).withColumnRenamed("doc", "doc_id")
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents(spark, sf_dir).select("doc_id", *sharding.shard_sizes(F.col("text")))
     placed = sharding.shard(rows, [F.col("doc_id"), F.col("text_crc32"), F.col("size")], SHARDS)
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op6_simhash": op6_simhash,
     "op7_toxicity": op7_toxicity,
+    "op8_substring": op8_substring,
     "op9_sharding": op9_sharding,
 }
 
