@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accrualkit.llm import chat, decontaminate, mixing, quality, sharding, simhash, substring, toxicity
+from accrualkit.llm import chat, decontaminate, langid, mixing, quality, sharding, simhash, substring, toxicity
 from accrualkit.llm.common import documents, remainder, stored, table
 
 SHARDS = 8
@@ -45,6 +45,14 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(pieces).withColumnRenamed("conv", "conv_id")
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    predict = langid.predictor(langid.train(docs.filter(~held_out)))
+    named = docs.select("doc_id", held_out.alias("held_out"), predict(F.col("text")).alias("p"))
+    return named.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), "p.score")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contained_items(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
     return found.withColumnRenamed("id", "doc_id")
@@ -82,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_quality": op2_quality,
     "op3_chat": op3_chat,
+    "op4_language": op4_language,
     "op5_decontamination": op5_decontamination,
     "op6_simhash": op6_simhash,
     "op7_toxicity": op7_toxicity,

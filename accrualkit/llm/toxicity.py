@@ -37,11 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from accrualkit.llm.common import fresh, labelled_texts
+from accrualkit.llm.grams import WordRows
+from accrualkit.llm.grams import char_grams as grams_of_words
 
 THRESHOLD = 0.5
 WINDOW, STRIDE = 32, 16
 HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION = 8, 6, 8, 8
-GRAM_BUCKETS = 1 << 15
+GRAM_BITS = 15
+GRAM_BUCKETS = 1 << GRAM_BITS
 #: Bounds of the training sample.
 TRAIN_ROWS, TRAIN_WINDOWS, VOCABULARY = 4_000, 256, 30_000
 EPOCHS, STEPS, BATCH, RATE = 24, 400, 128, 0.01  # so many epochs and steps at least
@@ -57,23 +60,7 @@ def words_of(text: str | None) -> list[str]:
 
 def char_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(bucket, index of its word) of every 3 to 5 byte gram of ``<word>``."""
-    if not words:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    raw = np.frombuffer("".join(f"<{w}>\n" for w in words).encode(), np.uint8)
-    breaks = raw == 10
-    owner = np.cumsum(breaks) - breaks
-    buckets, owners = [], []
-    code = raw.astype(np.uint32)
-    crossed = breaks.copy()
-    for n in range(2, 6):
-        code = code[:-1] * np.uint32(0x01000193) ^ raw[n - 1 :].astype(np.uint32)
-        crossed = crossed[:-1] | breaks[n - 1 :]
-        if n >= 3:
-            inside = np.flatnonzero(~crossed)
-            mixed = (code[inside] ^ np.uint32(n)) * np.uint32(0x9E3779B1)
-            buckets.append((mixed >> np.uint32(32 - GRAM_BUCKETS.bit_length() + 1)).astype(np.int64))
-            owners.append(owner[inside])
-    return np.concatenate(buckets), np.concatenate(owners)
+    return grams_of_words(words, 3, 5, GRAM_BITS)
 
 
 def window_starts(n: int) -> np.ndarray:
@@ -199,25 +186,13 @@ class Scorer:
     """Window log-odds of whole texts, with a bounded cache of projected words."""
 
     def __init__(self, net: Network):
-        self.net, self.row = net, {}
-        self.tables = [np.empty((CACHE_WORDS, 3 * HIDDEN), np.float32) for _ in range(2)]
-
-    def _rows(self, words: list[str]) -> np.ndarray:
-        row = self.row
-        new = [w for w in dict.fromkeys(words) if w not in row]
-        if len(row) + len(new) > CACHE_WORDS:
-            row.clear()
-            new = list(dict.fromkeys(words))
-        if new:
-            at = len(row)
-            for table, part in zip(self.tables, self.net.project(self.net.inputs(new)), strict=True):
-                table[at : at + len(new)] = part
-            row.update(zip(new, range(at, at + len(new)), strict=True))
-        return np.fromiter(map(row.__getitem__, words), np.int64, len(words))
+        self.net = net
+        self.rows = WordRows(lambda words: np.concatenate(net.project(net.inputs(words)), axis=1), 6 * HIDDEN, CACHE_WORDS)
 
     def windows(self, pieces: list[list[str]]) -> list[np.ndarray]:
         """Log-odds of the windows of each word list (up to ``CHUNK_WORDS`` words altogether)."""
-        flat = self._rows([w for p in pieces for w in p])
+        flat = self.rows.indices([w for p in pieces for w in p])
+        tables = self.rows.table[:, : 3 * HIDDEN], self.rows.table[:, 3 * HIDDEN :]
         begins = np.cumsum([0, *map(len, pieces)])
         starts = [window_starts(len(p)) for p in pieces]
         first = np.concatenate([s + b for s, b in zip(starts, begins[:-1], strict=True)]).astype(np.int64)
@@ -227,7 +202,7 @@ class Scorer:
             part = slice(low, low + CHUNK_WINDOWS)
             at = first[part, None] + np.arange(WINDOW)
             mask = at < last[part, None]
-            out[part] = self.net.forward(self.tables, flat[np.minimum(at, len(flat) - 1)], mask)
+            out[part] = self.net.forward(tables, flat[np.minimum(at, len(flat) - 1)], mask)
         return np.split(out, np.cumsum([len(s) for s in starts])[:-1])
 
     def worst(self, texts: Iterator[str | None]) -> np.ndarray:
