@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accrualkit.llm import chat, decontaminate, langid, mixing, quality, sharding, simhash, substring, toxicity
+from accrualkit.llm import ann, chat, decontaminate, langid, mixing, quality, sharding, simhash, substring, toxicity
 from accrualkit.llm.common import documents, remainder, stored, table
 
 SHARDS = 8
@@ -86,6 +86,12 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ann.usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    found = ann.search(rows, rows.filter(F.col("id") % 50 == 0))
+    return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_quality": op2_quality,
@@ -96,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity": op7_toxicity,
     "op8_substring": op8_substring,
     "op9_sharding": op9_sharding,
+    "op10_ann": op10_ann,
 }
 
 ORACLES: dict[str, str] = {
