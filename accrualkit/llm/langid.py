@@ -199,6 +199,9 @@ class Labeller:
 
     def predict(self, texts: Iterator[str | None]) -> tuple[list[str], list[float]]:
         names, scores = [], []
+        if not self.model.languages:
+            names = [UNKNOWN for _ in texts]
+            return names, [0.0] * len(names)
         waiting, held = [], 0
 
         def flush():
@@ -216,7 +219,7 @@ class Labeller:
                 scores.append(float(min(1.0, row[best] / n)) if n else 0.0)
 
         for text in texts:
-            words = words_of(text) if self.model.languages else []
+            words = words_of(text)
             if held + len(words) > CHUNK_WORDS:
                 flush()
                 waiting, held = [], 0
