@@ -15,15 +15,18 @@ multikey quicksort, and neighbours are compared: a stretch that also occurs in
 an earlier document is removed as it stands.  If an anchor has several
 different stretches, their first occurrences go on.
 
-Round 2 sorts the single windows of those by all their bytes (leading tokens
-of 8 bytes), again with sampled splitters, local multikey quicksort and
-comparison of neighbours: a window is removed if an earlier document has it.
-
-Splitters hold the document as the last token, so a passage that a third of
-all documents share is split between buckets like any other range.  Buckets
-are compared across their boundaries: anchors that a splitter cuts always go on
-to round 2, and the windows that a splitter cuts take their smallest document
-from all buckets involved.
+Round 2 takes the bytes of those stretches, range-partitioned by anchor, and
+sorts their single windows by all bytes (leading tokens of 8 bytes), again by
+local multikey quicksort and comparison of neighbours: a window is removed if
+an earlier document has it.  Stretches of an anchor too frequent for one
+bucket are taken apart first, and their windows range-partitioned by all
+tokens and the document.
+
+Splitters of round 1 and of single windows hold the document as the last
+token, so a passage that a third of all documents share is split between
+buckets like any other range.  Buckets are compared across their boundaries:
+anchors that a splitter cuts always go on to round 2, and the windows that a
+splitter cuts take their smallest document from all buckets involved.
 
 Hashes of 91 bits stand for stretches in round 1; round 2 compares bytes.
 
@@ -216,7 +219,7 @@ def _whole(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray] | None:
 
 
 def _compare_suffixes(cut_anchors: np.ndarray):
-    """Of a bucket: removed stretches (open false), and first occurrences of stretches that go on (open true)."""
+    """Of a bucket: removed stretches (no anchor), and first occurrences of stretches that go on (with their anchor)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = _whole(batches)
@@ -244,8 +247,8 @@ def _compare_suffixes(cut_anchors: np.ndarray):
         for i in range(0, len(keep), 1 << 18):
             s = slice(i, i + (1 << 18))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[keep[s]]), pa.array(uid[keep[s]]), pa.array(_signed(spans[s])), pa.array(further[keep[s]])],
-                names=["doc", "uid", "span", "open"],
+                [pa.array(doc[keep[s]]), pa.array(uid[keep[s]]), pa.array(_signed(spans[s])), pa.array(anchor[keep[s]].astype(np.int64), mask=removed[keep[s]])],
+                names=["doc", "uid", "span", "anchor"],
             )
 
     return run
@@ -268,21 +271,78 @@ def window_tokens(data: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _open_spans(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, span, anchor) of each open stretch: column 3 lists span and anchor."""
+    spans = batch.column(3)
+    values = spans.flatten()
+    row = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(spans.offsets)))
+    return row, *(values.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+
+
+def _stretch_rows(splitters: np.ndarray, with_uid: bool):
+    """Rows (bucket, stretch, begin, doc, uid if needed) of the open stretches; buckets are ranges of anchors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = _texts(batch, 2)
+            row, span, anchor = _open_spans(batch)
+            begin = span >> 5
+            start, length = begin + offsets[row], (span & 31) + LENGTH - 1
+            ends = np.cumsum(length)
+            picked = data[np.repeat(start - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)]
+            stretch = pa.Array.from_buffers(
+                pa.binary(), len(span), [None, pa.py_buffer(np.r_[0, ends].astype(np.int32)), pa.py_buffer(picked.tobytes())]
+            )
+            columns = {"bucket": pa.array(np.searchsorted(splitters, anchor, side="right").astype(np.int32)), "stretch": stretch, "begin": pa.array(begin)}
+            columns["doc"] = pa.array(batch.column(0).to_numpy(zero_copy_only=False)[row])
+            if with_uid:
+                columns["uid"] = pa.array(batch.column(1).to_numpy(zero_copy_only=False)[row])
+            yield pa.RecordBatch.from_pydict(columns)
+
+    return run
+
+
+_STRETCH_DDL = "bucket int, stretch binary, begin long, doc long"
+
+
+def _compare_stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a bucket with whole anchors: the windows that an earlier document has, as runs."""
+    got = [b for b in batches if b.num_rows]
+    if not got:
+        return
+    table = pa.Table.from_batches(got).combine_chunks().to_batches()[0]
+    data, offsets = _texts(table, 1)
+    begin, doc, uid = (table.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, table.num_columns - 1))
+    windows = np.diff(offsets) - LENGTH + 1
+    which = np.repeat(np.arange(len(windows)), windows)
+    nth = np.arange(len(which)) - np.repeat(np.cumsum(windows) - windows, windows)
+    tokens, own = window_tokens(data, offsets[which] + nth), doc[which]
+    order = multikey_quicksort([*tokens, own])
+    new = np.zeros(len(order), bool)
+    for t in tokens:
+        t = t[order]
+        new[1:] |= t[1:] != t[:-1]
+    new[0] = True
+    least = own[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+    late = np.zeros(len(order), bool)
+    late[order] = own[order] > least
+    first = late & ~np.r_[False, late[:-1] & (nth[1:] > 0)]
+    last = late & ~np.r_[late[1:] & (nth[1:] > 0), False]
+    a, b = np.flatnonzero(first), np.flatnonzero(last)
+    yield pa.RecordBatch.from_arrays([pa.array(uid[which[a]]), pa.array((begin[which[a]] + nth[a]) << 5 | (b - a + 1))], names=["uid", "span"])
+
+
 def _window_rows(splitters: list[np.ndarray] | None, with_uid: bool):
     """Rows (bucket, t0.., begin, doc, uid if needed) of the open windows of each text: columns doc, uid, text, spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = _texts(batch, 2)
-            spans = batch.column(3)
-            counts = np.diff(np.asarray(spans.offsets))
-            flat = spans.flatten().to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(batch.num_rows), counts)
-            runs = flat & 31
-            which = np.repeat(np.arange(len(flat)), runs)
+            row, span, _ = _open_spans(batch)
+            runs = span & 31
+            which = np.repeat(np.arange(len(span)), runs)
             nth = np.arange(len(which)) - np.repeat(np.cumsum(runs) - runs, runs)
-            begin = (flat >> 5)[which] + nth
-            row = row[which]
+            begin, row = (span >> 5)[which] + nth, row[which]
             doc = batch.column(0).to_numpy(zero_copy_only=False)[row]
             tokens = window_tokens(data, begin + offsets[row])
             bucket = _bucket_of(splitters, [*tokens, doc]) if splitters is not None else np.zeros(len(doc), np.int64)
@@ -355,36 +415,49 @@ def removed_spans(docs: DataFrame, with_uid: bool, bucket_bytes: int = BUCKET_BY
     cut_anchors = np.unique(splitters[0] >> np.uint64(16))
     suffixes = docs.mapInArrow(_suffix_rows(splitters, None, with_uid), ddl)
     compared = suffixes.repartitionById(buckets, F.col("bucket")).mapInArrow(
-        _compare_suffixes(cut_anchors), "doc long, uid long, span long, open boolean"
+        _compare_suffixes(cut_anchors), "doc long, uid long, span long, anchor long"
     )
     round1 = stored(compared, "suffixes")
-    return round1.filter(~F.col("open")).select("uid", "span").unionByName(_round2(docs, round1.filter("open"), with_uid, bucket_windows))
+    found = round1.filter("anchor is null").select("uid", "span")
+    return found.unionByName(_round2(docs, round1.filter("anchor is not null"), with_uid, bucket_windows))
 
 
 def _round2(docs: DataFrame, open_rows: DataFrame, with_uid: bool, bucket_windows: int) -> DataFrame:
-    (windows,) = open_rows.agg(F.sum(F.col("span").bitwiseAND(F.lit(31)))).first()
+    """uid, span of the windows of open stretches (doc, uid, span, anchor) that an earlier document has."""
+    n_windows = F.sum(F.col("span").bitwiseAND(F.lit(31)))
+    (windows,) = open_rows.agg(n_windows).first()
     buckets = max(1, -(-(windows or 0) // bucket_windows))
+    # anchors that fill a bucket alone: no more than there are buckets
+    frequent = [r["anchor"] for r in open_rows.groupBy("anchor").agg(n_windows.alias("n")).filter(F.col("n") > bucket_windows).collect()]
+    is_frequent = F.col("anchor").isin(frequent) if frequent else F.lit(False)
+    usual = open_rows.filter(~is_frequent)
+    picked = sorted(r["anchor"] for r in bounded_sample(usual, F.struct("uid", "span"), max(SAMPLES, SAMPLES_PER_BUCKET * buckets)).select("anchor").collect())
+    splitters = np.unique(np.array([picked[i * len(picked) // buckets] for i in range(1, buckets)] if picked else [], np.int64))
+    rows = _with_text(docs, usual).mapInArrow(_stretch_rows(splitters, with_uid), _STRETCH_DDL + _UID_DDL * with_uid)
+    found = stored(rows.repartitionById(len(splitters) + 1, F.col("bucket")).mapInArrow(_compare_stretches, "uid long, span long"), "stretches")
+    if frequent:
+        found = found.unionByName(_single_windows(docs, open_rows.filter(is_frequent), with_uid, bucket_windows))
+    return found
+
+
+def _with_text(docs: DataFrame, some: DataFrame, small: bool = False) -> DataFrame:
+    """doc, uid, text, spans (span and anchor of each stretch in ``some``)."""
+    spans = some.groupBy(F.col("uid").alias("open_uid")).agg(F.collect_list(F.struct("span", "anchor")).alias("spans"))
+    joined = docs.join(F.broadcast(spans) if small else spans, docs["uid"] == F.col("open_uid"))
+    return joined.select(F.coalesce("doc", F.lit(_LAST_ID)).alias("doc"), "uid", "text", "spans")
+
+
+def _single_windows(docs: DataFrame, open_rows: DataFrame, with_uid: bool, bucket_windows: int) -> DataFrame:
+    """As ``_round2``, for anchors too frequent for one bucket: windows are dealt to buckets one by one."""
     ddl = _WINDOWS_DDL + _UID_DDL * with_uid
-
-    def with_text(some: DataFrame, splitters: list[np.ndarray] | None) -> DataFrame:
-        joined = docs.join(some, docs["uid"] == some["open_uid"])
-        return joined.select(F.coalesce("doc", F.lit(_LAST_ID)).alias("doc"), "uid", "text", "spans").mapInArrow(_window_rows(splitters, with_uid), ddl)
-
-    def spans_of(some: DataFrame) -> DataFrame:
-        return some.groupBy(F.col("uid").alias("open_uid")).agg(F.collect_list("span").alias("spans"))
-
-    rows: list = []
-    if buckets > 1:
-        wanted = max(SAMPLES, SAMPLES_PER_BUCKET * buckets)
-        some = bounded_sample(open_rows, F.struct("uid", "span"), wanted // 8)
-        got = with_text(F.broadcast(spans_of(some)), None).select(*[f"t{k}" for k in range(_TOKENS)], "doc").collect()
-        rows = [(*(x % (1 << 64) for x in r[:-1]), r[-1]) for r in got]
-    splitters = _splitters(rows, buckets, [*[np.uint64] * _TOKENS, np.int64])
+    (windows,) = open_rows.agg(F.sum(F.col("span").bitwiseAND(F.lit(31)))).first()
+    buckets = max(1, -(-(windows or 0) // bucket_windows))
+    some = bounded_sample(open_rows, F.struct("uid", "span"), max(SAMPLES, SAMPLES_PER_BUCKET * buckets) // 8)
+    got = _with_text(docs, some, small=True).mapInArrow(_window_rows(None, with_uid), ddl).select(*[f"t{k}" for k in range(_TOKENS)], "doc").collect()
+    splitters = _splitters([(*(x % (1 << 64) for x in r[:-1]), r[-1]) for r in got], buckets, [*[np.uint64] * _TOKENS, np.int64])
+    rows = _with_text(docs, open_rows).mapInArrow(_window_rows(splitters, with_uid), ddl)
     compared = stored(
-        with_text(spans_of(open_rows), splitters).repartitionById(buckets, F.col("bucket")).mapInArrow(
-            _compare_windows(splitters), "doc long, uid long, span long, cut long"
-        ),
-        "windows",
+        rows.repartitionById(buckets, F.col("bucket")).mapInArrow(_compare_windows(splitters), "doc long, uid long, span long, cut long"), "windows"
     )
     pending = compared.filter("cut >= 0")
     # one row per splitter at most
