@@ -50,7 +50,9 @@ from accrualkit.llm.common import bounded_sample, stored
 
 LENGTH, ANCHOR = 50, 24
 #: Text bytes per bucket of round 1, and window rows per bucket of round 2, about.
-BUCKET_BYTES, BUCKET_WINDOWS = 16 << 20, 1 << 20
+BUCKET_BYTES, BUCKET_WINDOWS = 8 << 20, 1 << 19
+#: Text that a task takes apart at once, about.
+PART_BYTES = 4 << 20
 #: Rows sampled for the splitters: so many per bucket, and at least.
 SAMPLES_PER_BUCKET, SAMPLES = 8, 20_000
 _SLICE = 1 << 18
@@ -67,13 +69,12 @@ def _words(data: np.ndarray) -> np.ndarray:
     return np.ndarray((max(0, len(data) - 7),), "<u8", data, 0, (1,))
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Sampled suffixes of the texts ``data[offsets[i]:offsets[i + 1]]``.
+def anchors(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Sampled suffixes of the texts ``data[offsets[i]:offsets[i + 1]]``, slice by slice.
 
     For each run of windows with one anchor: (text, first window, windows,
     anchor token, stretch token).  The stretch token includes the number of windows.
     """
-    found = []
     for low in range(0, len(data), _SLICE):
         part = data[low : low + _SLICE + LENGTH - 1]
         n = len(part) - LENGTH + 1
@@ -115,10 +116,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         anchor = (h[at[start]] * _M[1]) >> np.uint64(16)
         begin = start + low
         text = np.searchsorted(offsets, begin, side="right") - 1
-        found.append((text, begin - offsets[text], runs, anchor, token))
-    if not found:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
-    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+        yield text, begin - offsets[text], runs, anchor, token
 
 
 def multikey_quicksort(tokens: list[np.ndarray]) -> np.ndarray:
@@ -183,26 +181,38 @@ def _signed(x: np.ndarray) -> np.ndarray:
 # --- round 1: suffixes by anchor and stretch --------------------------------
 
 
-def _suffix_rows(splitters: list[np.ndarray] | None, per_text: int | None, with_uid: bool):
-    """Rows (bucket, k1, k2, doc, uid if needed): k1 = anchor and head of the stretch token, k2 = its rest and the position."""
+def _parts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The rows in parts of about ``PART_BYTES`` of text, one row at least."""
+    for batch in batches:
+        sizes = np.cumsum(_texts(batch, column)[1][1:])
+        low = 0
+        while low < batch.num_rows:
+            high = int(np.searchsorted(sizes, (sizes[low - 1] if low else 0) + PART_BYTES, side="right"))
+            high = min(batch.num_rows, max(low + 1, high))
+            yield batch.slice(low, high - low)
+            low = high
+
+
+def _suffix_rows(splitters: list[np.ndarray] | None, nth: int, with_uid: bool):
+    """Rows (bucket, k1, k2, doc, uid if needed) of every ``nth`` suffix.
+
+    k1 = anchor and head of the stretch token, k2 = its rest and the position.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = _texts(batch, 2)
-            text, begin, _, anchor, stretch = anchors(data, offsets)
-            if per_text is not None and len(text):  # an even pick of each text's suffixes
-                first = np.searchsorted(text, text)
-                nth, n = np.arange(len(text)) - first, np.bincount(text)[text]
-                keep = (nth * per_text // n) != ((nth - 1) * per_text // n)
-                text, begin, anchor, stretch = text[keep], begin[keep], anchor[keep], stretch[keep]
-            doc = batch.column(0).fill_null(_LAST_ID).to_numpy(zero_copy_only=False)[text]
-            k1 = anchor << np.uint64(16) | stretch >> np.uint64(32)
-            k2 = (stretch & np.uint64(0xFFFFFFFF)) << np.uint64(32) | begin.astype(np.uint64)
-            bucket = _bucket_of(splitters, [k1, k2 >> np.uint64(32), doc]) if splitters is not None else np.zeros(len(doc), np.int64)
-            columns = {"bucket": bucket.astype(np.int32), "k1": _signed(k1), "k2": _signed(k2), "doc": doc}
-            if with_uid:
-                columns["uid"] = batch.column(1).to_numpy(zero_copy_only=False)[text]
-            yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
+        for batch in _parts(batches, 2):
+            docs = batch.column(0).fill_null(_LAST_ID).to_numpy(zero_copy_only=False)
+            uids = batch.column(1).to_numpy(zero_copy_only=False)
+            for found in anchors(*_texts(batch, 2)):
+                text, begin, _, anchor, stretch = (c[::nth] for c in found)
+                doc = docs[text]
+                k1 = anchor << np.uint64(16) | stretch >> np.uint64(32)
+                k2 = (stretch & np.uint64(0xFFFFFFFF)) << np.uint64(32) | begin.astype(np.uint64)
+                bucket = _bucket_of(splitters, [k1, k2 >> np.uint64(32), doc]) if splitters is not None else np.zeros(len(doc), np.int64)
+                columns = {"bucket": bucket.astype(np.int32), "k1": _signed(k1), "k2": _signed(k2), "doc": doc}
+                if with_uid:
+                    columns["uid"] = uids[text]
+                yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
 
     return run
 
@@ -283,7 +293,7 @@ def _stretch_rows(splitters: np.ndarray, with_uid: bool):
     """Rows (bucket, stretch, begin, doc, uid if needed) of the open stretches; buckets are ranges of anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches, 2):
             data, offsets = _texts(batch, 2)
             row, span, anchor = _open_spans(batch)
             begin = span >> 5
@@ -336,7 +346,7 @@ def _window_rows(splitters: list[np.ndarray] | None, with_uid: bool):
     """Rows (bucket, t0.., begin, doc, uid if needed) of the open windows of each text: columns doc, uid, text, spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches, 2):
             data, offsets = _texts(batch, 2)
             row, span, _ = _open_spans(batch)
             runs = span & 31
@@ -409,11 +419,11 @@ def removed_spans(docs: DataFrame, with_uid: bool, bucket_bytes: int = BUCKET_BY
     rows: list = []
     if buckets > 1:
         wanted = max(SAMPLES, SAMPLES_PER_BUCKET * buckets)
-        sample = bounded_sample(docs, F.col("uid"), wanted // 16).mapInArrow(_suffix_rows(None, 16, with_uid), ddl)
+        sample = bounded_sample(docs, F.col("uid"), wanted // 16).mapInArrow(_suffix_rows(None, 16, with_uid), ddl).limit(4 * wanted)
         rows = [(r["k1"] % (1 << 64), r["k2"] % (1 << 64) >> 32, r["doc"]) for r in sample.select("k1", "k2", "doc").collect()]
     splitters = _splitters(rows, buckets, [np.uint64, np.uint64, np.int64])
     cut_anchors = np.unique(splitters[0] >> np.uint64(16))
-    suffixes = docs.mapInArrow(_suffix_rows(splitters, None, with_uid), ddl)
+    suffixes = docs.mapInArrow(_suffix_rows(splitters, 1, with_uid), ddl)
     compared = suffixes.repartitionById(buckets, F.col("bucket")).mapInArrow(
         _compare_suffixes(cut_anchors), "doc long, uid long, span long, anchor long"
     )
