@@ -10,10 +10,11 @@ same derivations as portable SQL for the DuckDB cross-check.
 
 Every derivation is a narrow projection/filter/aggregate over a whole base
 table, so its size grows with the scale factor like the real tables.  The
-modulo expressions derive attributes and decide which synthetic rows exist
-(e.g. only every other user gets an aggregate-location mapping, every
-97th setting value is malformed) — they shape the data model, they are not
-row caps; no stand-in samples or truncates its base table.
+modulo expressions derive attributes: event types that the operators have to
+skip, malformed values, keys without a partner.  Where a stand-in takes some
+event types of ``events`` only, another stand-in or key takes the others.  Two
+stand-ins have no row for some base rows, since a missing partner is what they
+are for: practices without a daily row and professionals without a contact.
 Snapshot tables are fanned out over a handful of snapshot dates with
 ``explode`` (a generator, not a join).
 """
@@ -26,6 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from accrualkit.constants import AGG_CREATE_TYPES, AGG_UPDATE_TYPES
 from accrualkit.sources.testdata import BaseTables
 
 # Fixed values of the stand-in data: snapshot months and days.
@@ -50,7 +52,10 @@ PMS_ROWS = (
     (17, "CAPI_PrognoCIS"),
 )
 
-BACKFILL_CREATE = "PROD_manual_backfill_20201119_create"
+CREATE, BACKFILL_CREATE = AGG_CREATE_TYPES
+UPDATE = AGG_UPDATE_TYPES[0]
+#: Event types that no report reads.
+OTHER_SETTING_EVENT, OTHER_MAPPING_EVENT = "Viewed", "review"
 
 
 def _s(c: Column) -> Column:
@@ -73,9 +78,8 @@ def _explode_dates(values) -> Column:
 
 def setting(b: BaseTables, fx) -> DataFrame:
     ev = b.events
-    location_events = ev.filter(
-        F.col("event_type").isin("view", "click") | ((F.col("event_type") == "error") & (F.col("user_id") % 4 < 3))
-    ).select(
+    db = _floor_div("user_id", 3)
+    location_events = ev.filter(F.col("event_type").isin("view", "click", "error")).select(
         F.lit(16).alias("setting_key_id"),
         _s(F.col("user_id")).alias("entity_id"),
         F.when(F.col("event_id") % 97 == 0, F.lit("n/a"))
@@ -83,16 +87,18 @@ def setting(b: BaseTables, fx) -> DataFrame:
         .alias("setting_value"),
         F.when(F.col("event_type") == "view", "Added")
         .when(F.col("event_type") == "click", "Updated")
-        .otherwise("Deleted")
+        .when(F.col("user_id") % 4 < 3, "Deleted")
+        .otherwise(OTHER_SETTING_EVENT)
         .alias("event_type"),
         (F.col("ts") + F.make_dt_interval(days=(F.col("event_id") % 120).cast("int"))).alias("event_timestamp_utc"),
     )
     pms_events = ev.filter(F.col("event_type").isin("signup", "purchase")).select(
         F.lit(18).alias("setting_key_id"),
-        _s(_floor_div("user_id", 3)).alias("entity_id"),
-        _s(F.lit(10) + F.col("event_id") % 8).alias("setting_value"),
+        _s(db).alias("entity_id"),
+        F.when(F.col("event_id") % 89 == 0, F.lit("n/a")).otherwise(_s(F.lit(10) + F.col("event_id") % 8)).alias("setting_value"),
         F.when(F.col("event_type") == "signup", "Added").otherwise("Updated").alias("event_type"),
-        F.col("ts").alias("event_timestamp_utc"),
+        # some databases log whole days only, so their latest events tie
+        F.when(db % 5 == 0, F.date_trunc("day", "ts").cast("timestamp_ntz")).otherwise(F.col("ts")).alias("event_timestamp_utc"),
     )
     return location_events.unionByName(pms_events)
 
@@ -113,10 +119,8 @@ def practice(b: BaseTables, fx) -> DataFrame:
 
 def location(b: BaseTables, fx) -> DataFrame:
     c = F.col("c_custkey")
-    users = b.events.select(F.col("user_id").alias("c_custkey"))
     geo = b.nation.join(b.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    cust = b.customer.join(users, "c_custkey", "left_semi")
-    return cust.join(geo, F.col("c_nationkey") == F.col("n_nationkey")).select(
+    return b.customer.join(geo, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.concat(F.lit("L"), _s(c)).alias("location_id"),
         _s(c).alias("monolith_provider_location_id"),
         _s(_floor_div(c * 2, 3)).alias("practice_id"),
@@ -137,7 +141,8 @@ def provider(b: BaseTables, fx) -> DataFrame:
     c = F.col("c_custkey")
     return b.customer.select(
         F.concat(F.lit("P"), _s(c)).alias("provider_id"),
-        c.alias("monolith_professional_id"),
+        # some professionals are unknown, some are listed twice
+        F.when(c % 13 == 5, F.lit(None).cast("bigint")).when(c % 17 == 3, c - 1).otherwise(c).alias("monolith_professional_id"),
         _s(_floor_div(c, 15)).alias("practice_id"),
         _floor_div(c, 15).alias("monolith_provider_id"),
         F.concat(F.lit("F"), _s(c)).alias("first_name"),
@@ -146,7 +151,10 @@ def provider(b: BaseTables, fx) -> DataFrame:
         _s(F.lit(1000000000) + c).alias("npi"),
         F.concat(F.lit("Practice "), _s(_floor_div(c, 15))).alias("practice_name"),
         F.when(c % 7 == 0, _ts(None)).otherwise(_ts("2023-01-01 00:00:00")).alias("latest_activation_start_timestamp_utc"),
-        F.when(c % 5 == 0, _ts("2024-03-15 00:00:00")).otherwise(_ts(None)).alias("latest_activation_end_timestamp_utc"),
+        # in every ninth practice all providers have ended
+        F.when((c % 5 == 0) | (_floor_div(c, 15) % 9 == 4), _ts("2024-03-15 00:00:00"))
+        .otherwise(_ts(None))
+        .alias("latest_activation_end_timestamp_utc"),
         (c % 40 == 39).alias("is_resource"),
         (c % 50 == 49).alias("is_test"),
         F.when(c % 10 == 3, "LiteProfile").otherwise("FullProfile").alias("profile_type"),
@@ -179,17 +187,20 @@ def provider_location_snapshot_summary_month(b: BaseTables, fx) -> DataFrame:
 def aggregate_location_mapping_update(b: BaseTables, fx) -> DataFrame:
     ev = b.events
     u = F.col("user_id")
-    creates = ev.filter((F.col("event_type") == "signup") & (u % 2 == 0)).select(
+    creates = ev.filter(F.col("event_type") == "signup").select(
         F.concat(F.lit("A"), _s(u)).alias("aggregate_location_id"),
         F.concat(F.lit("L"), _s(u)).alias("source_location_id"),
-        F.when(F.col("event_id") % 5 == 0, F.lit(BACKFILL_CREATE)).otherwise(F.lit("create")).alias("event_update_type"),
+        F.when(u % 2 == 1, OTHER_MAPPING_EVENT)
+        .when(F.col("event_id") % 5 == 0, BACKFILL_CREATE)
+        .otherwise(CREATE)
+        .alias("event_update_type"),
         F.col("ts").alias("created_timestamp_utc"),
         _ts(None).alias("deleted_timestamp_utc"),
     )
-    updates = ev.filter((F.col("event_type") == "purchase") & (u % 4 == 0)).select(
+    updates = ev.filter(F.col("event_type") == "purchase").select(
         F.concat(F.lit("A"), _s(u)).alias("aggregate_location_id"),
         F.concat(F.lit("L"), _s(u)).alias("source_location_id"),
-        F.lit("update").alias("event_update_type"),
+        F.when(u % 4 == 0, UPDATE).otherwise(OTHER_MAPPING_EVENT).alias("event_update_type"),
         _ts(None).alias("created_timestamp_utc"),
         F.col("ts").alias("deleted_timestamp_utc"),
     )
@@ -199,6 +210,7 @@ def aggregate_location_mapping_update(b: BaseTables, fx) -> DataFrame:
 def practice_snapshot_summary_day(b: BaseTables, fx) -> DataFrame:
     return (
         fx("practice_snapshot_summary_month")
+        # the daily table has no row where a practice had no day yet: the reports' semi join must drop those
         .filter(F.col("days_in_month_active") != 1)
         .select("practice_id", F.col("snapshot_month_eastern").alias("snapshot_date_eastern"))
     )
@@ -266,6 +278,7 @@ def contact_vw(b: BaseTables, fx) -> DataFrame:
             F.when(c % 4 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("mob"), _s(c))).alias("mobilephone"),
         )
 
+    # two thirds of the professionals have a contact, some two: the left join must keep the others
     return contacts(c % 3 != 0, "a").unionByName(contacts(c % 10 == 1, "b"))
 
 
@@ -298,10 +311,13 @@ def practice_parent_entity_mapping_vw(b: BaseTables, fx) -> DataFrame:
 
 def appointment_summary(b: BaseTables, fx) -> DataFrame:
     e = F.col("event_id")
+    # spread over the turn of the month, some exactly at midnight: the reports' bounds differ there
+    at = F.col("ts") + F.make_dt_interval(days=(e % 4).cast("int"))
+    at = F.when(e % 7 == 0, F.date_trunc("day", at).cast("timestamp_ntz")).otherwise(at)
     return b.events.filter(F.col("event_type").isin("purchase", "click")).select(
         e.alias("appointment_id"),
         F.concat(F.lit("P"), _s(F.col("user_id") * 10 + e % 10)).alias("provider_id"),
-        F.col("ts").alias("appointment_created_timestamp_local"),
+        at.alias("appointment_created_timestamp_local"),
         (e % 2 == 0).alias("is_premium_booking"),
     )
 

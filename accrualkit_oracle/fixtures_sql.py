@@ -23,12 +23,15 @@ FIXTURE_SQL["setting"] = """
 select * from (
  select 16 as setting_key_id, cast(user_id as varchar) as entity_id,
   case when event_id % 97 = 0 then 'n/a' else cast(cast(floor(user_id/3.0) as bigint) as varchar) end as setting_value,
-  case event_type when 'view' then 'Added' when 'click' then 'Updated' else 'Deleted' end as event_type,
+  case when event_type = 'view' then 'Added' when event_type = 'click' then 'Updated'
+       when user_id % 4 < 3 then 'Deleted' else 'Viewed' end as event_type,
   ts + interval '1' day * cast(event_id % 120 as int) as event_timestamp_utc
- from events where event_type in ('view','click') or (event_type='error' and user_id % 4 < 3)
+ from events where event_type in ('view','click','error')
  union all
- select 18, cast(cast(floor(user_id/3.0) as bigint) as varchar), cast(10 + event_id % 8 as varchar),
-  case event_type when 'signup' then 'Added' else 'Updated' end, ts
+ select 18, cast(cast(floor(user_id/3.0) as bigint) as varchar),
+  case when event_id % 89 = 0 then 'n/a' else cast(10 + event_id % 8 as varchar) end,
+  case event_type when 'signup' then 'Added' else 'Updated' end,
+  case when cast(floor(user_id/3.0) as bigint) % 5 = 0 then cast(date_trunc('day', ts) as timestamp) else ts end
  from events where event_type in ('signup','purchase')) s
 """
 
@@ -51,16 +54,17 @@ select 'L' || cast(c_custkey as varchar) as location_id, cast(c_custkey as varch
  case when c_custkey % 3 = 0 then 'RainTree v2' when c_custkey % 3 = 1 then 'other' end as software,
  c_custkey % 11 = 10 as is_virtual
 from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
-where c_custkey in (select user_id from events)
 """
 
 FIXTURE_SQL["provider"] = """
-select 'P' || cast(c_custkey as varchar) as provider_id, c_custkey as monolith_professional_id,
+select 'P' || cast(c_custkey as varchar) as provider_id,
+ case when c_custkey % 13 = 5 then null when c_custkey % 17 = 3 then c_custkey - 1 else c_custkey end as monolith_professional_id,
  cast(cast(floor(c_custkey/15.0) as bigint) as varchar) as practice_id, cast(floor(c_custkey/15.0) as bigint) as monolith_provider_id,
  'F' || cast(c_custkey as varchar) as first_name, c_name as last_name, case when c_custkey % 2 = 0 then 'MD' else 'DDS' end as title,
  cast(1000000000 + c_custkey as varchar) as npi, 'Practice ' || cast(cast(floor(c_custkey/15.0) as bigint) as varchar) as practice_name,
  case when c_custkey % 7 = 0 then null else timestamp '2023-01-01 00:00:00' end as latest_activation_start_timestamp_utc,
- case when c_custkey % 5 = 0 then timestamp '2024-03-15 00:00:00' end as latest_activation_end_timestamp_utc,
+ case when c_custkey % 5 = 0 or cast(floor(c_custkey/15.0) as bigint) % 9 = 4
+      then timestamp '2024-03-15 00:00:00' end as latest_activation_end_timestamp_utc,
  c_custkey % 40 = 39 as is_resource, c_custkey % 50 = 49 as is_test,
  case when c_custkey % 10 = 3 then 'LiteProfile' else 'FullProfile' end as profile_type,
  case when c_custkey % 9 = 1 then 'Pending' else 'Approved Application' end as status,
@@ -84,12 +88,13 @@ from customer cross join fx_months
 FIXTURE_SQL["aggregate_location_mapping_update"] = """
 select * from (
  select 'A' || cast(user_id as varchar) as aggregate_location_id, 'L' || cast(user_id as varchar) as source_location_id,
-  case when event_id % 5 = 0 then 'PROD_manual_backfill_20201119_create' else 'create' end as event_update_type,
+  case when user_id % 2 = 1 then 'review' when event_id % 5 = 0 then 'PROD_manual_backfill_20201119_create' else 'create' end as event_update_type,
   ts as created_timestamp_utc, cast(null as timestamp) as deleted_timestamp_utc
- from events where event_type = 'signup' and user_id % 2 = 0
+ from events where event_type = 'signup'
  union all
- select 'A' || cast(user_id as varchar), 'L' || cast(user_id as varchar), 'update', cast(null as timestamp), ts
- from events where event_type = 'purchase' and user_id % 4 = 0) u
+ select 'A' || cast(user_id as varchar), 'L' || cast(user_id as varchar),
+  case when user_id % 4 = 0 then 'update' else 'review' end, cast(null as timestamp), ts
+ from events where event_type = 'purchase') u
 """
 
 FIXTURE_SQL["practice_snapshot_summary_day"] = """
@@ -160,7 +165,8 @@ select cast(s_suppkey as varchar) as practice_id, 'Entity ' || cast(s_nationkey
 
 FIXTURE_SQL["appointment_summary"] = """
 select event_id as appointment_id, 'P' || cast(user_id * 10 + event_id % 10 as varchar) as provider_id,
- ts as appointment_created_timestamp_local, event_id % 2 = 0 as is_premium_booking
+ case when event_id % 7 = 0 then cast(date_trunc('day', ts + interval '1' day * cast(event_id % 4 as int)) as timestamp)
+      else ts + interval '1' day * cast(event_id % 4 as int) end as appointment_created_timestamp_local, event_id % 2 = 0 as is_premium_booking
 from events where event_type in ('purchase','click')
 """
 
