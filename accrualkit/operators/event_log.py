@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from accrualkit.constants import ADDED, DELETED, LOCATION_SETTING_KEY, PMS_SETTING_KEY, UPDATED  # noqa: F401
 from accrualkit.functions.casts import try_bigint
-from accrualkit.operators.ordinal import DEFAULT_BUCKET, occurrence_number
+from accrualkit.operators.ordinal import occurrence_number
 
 ENTITY = "entity_id"
 VALUE = "setting_value"
@@ -84,23 +84,26 @@ def mapping_history_flat(
     setting: DataFrame,
     created_types: Sequence[str] = (ADDED,),
     deleted_types: Sequence[str] = (DELETED,),
-    bucket_unit: str = DEFAULT_BUCKET,
+    sync_dbs: DataFrame | None = None,
 ) -> DataFrame:
     """Pair the n-th create with the n-th delete of each (sync DB, location).
 
     Output ``(sync_db_id, location_id, created_date_utc, deleted_date_utc)``,
     one row per create; ``deleted_date_utc`` is NULL when there is no n-th
     delete.  Pairing is by ordinal only, so a delete may predate its create.
-    A NULL sync DB (malformed value) never pairs.
+    A NULL sync DB (malformed value) never pairs.  ``sync_dbs`` (a column
+    ``sync_db_id``) restricts the log to those databases before it is
+    numbered; the database is part of the numbering key, so the rows of the
+    remaining ones are the same.
     """
-    return paired_occurrences(setting, created_types, deleted_types, bucket_unit).drop("occurrence")
+    return paired_occurrences(setting, created_types, deleted_types, sync_dbs).drop("occurrence")
 
 
 def paired_occurrences(
     setting: DataFrame,
     created_types: Sequence[str] = (ADDED,),
     deleted_types: Sequence[str] = (DELETED,),
-    bucket_unit: str = DEFAULT_BUCKET,
+    sync_dbs: DataFrame | None = None,
 ) -> DataFrame:
     """``mapping_history_flat`` keeping the pairing ordinal as ``occurrence``.
 
@@ -110,6 +113,8 @@ def paired_occurrences(
     one create and one delete — instead of a join between two separately
     numbered streams.  Equality never matches a NULL sync DB or location,
     so those creates keep a NULL delete, as in the equi-join formulation.
+    Numbering, pairing and the collapse of the history all accept a
+    partitioning by (sync DB, location), so the log is shuffled once.
     """
     if set(created_types) & set(deleted_types):
         raise ValueError("created and deleted event types must be disjoint")
@@ -123,7 +128,10 @@ def paired_occurrences(
         F.col(TS).alias("ts"),
         F.col("event_type").isin(*created_types).alias("_is_create"),
     )
-    numbered = occurrence_number(events, ["_is_create", *keys], "ts", "occurrence", bucket_unit)
+    if sync_dbs is not None:
+        chosen = sync_dbs.select(F.col("sync_db_id").alias("_chosen_db"))
+        events = events.join(chosen, events["sync_db_id"] == chosen["_chosen_db"], "left_semi")
+    numbered = occurrence_number(events, ["_is_create", *keys], "ts", "occurrence", co_locate=keys)
     create, delete = F.col("_is_create"), ~F.col("_is_create")
     paired = numbered.groupBy(*keys, "occurrence").agg(
         F.count(F.when(create, F.lit(1))).alias("_creates"),
@@ -140,13 +148,13 @@ def paired_occurrences(
     )
 
 
-def mapping_history_collapsed(setting: DataFrame, bucket_unit: str = DEFAULT_BUCKET) -> DataFrame:
+def mapping_history_collapsed(setting: DataFrame, sync_dbs: DataFrame | None = None) -> DataFrame:
     """One row per (sync DB, location): first create and last paired delete.
 
     Creates include updates.  ``deleted_date_utc`` stays set once any create
     was paired with a delete, even if the location was re-added later.
     """
-    flat = mapping_history_flat(setting, created_types=(ADDED, UPDATED), bucket_unit=bucket_unit)
+    flat = mapping_history_flat(setting, created_types=(ADDED, UPDATED), sync_dbs=sync_dbs)
     return flat.groupBy("sync_db_id", "location_id").agg(
         F.min("created_date_utc").alias("created_date_utc"),
         F.max("deleted_date_utc").alias("deleted_date_utc"),

@@ -1,4 +1,4 @@
-"""Occurrence numbers (ROW_NUMBER per key, ascending in time) without hot keys.
+"""Occurrence numbers (ROW_NUMBER per key, ordered in time) without hot keys.
 
 The mapping history pairs the n-th create with the n-th delete of a
 (sync DB, location) key, so every event needs its ordinal within its key.
@@ -6,100 +6,40 @@ A plain ``row_number() over (partition by key order by ts)`` sends a whole
 key to one task; if one key holds a third of the log, one task sorts a
 third of the log.
 
-Keys are therefore split in two classes:
-
-* **cold** keys — at most ``threshold`` rows — are numbered by a plain
-  window in one task each (a bounded amount of work);
-* **hot** keys — more rows than that — are split into time buckets:
-
-  1. ``local``  = row number within (key, bucket)        — the one big shuffle,
-     hash-partitioned by (key, bucket), so a hot key spans many tasks
-  2. ``counts`` = rows per (hot key, bucket)              — partial aggregation
-  3. ``offset`` = running sum of earlier buckets per key  — window over the
-     counts table (one row per bucket, not per event)
-  4. ``n = offset + local``                               — join back on (key, bucket);
-     the numbered side is already partitioned by that key, so only the
-     offsets side moves
-
-``threshold = max(min_hot_rows, total_rows / max_hot_keys)``, so at most
-``max_hot_keys`` keys can be hot: the hot-key list has a proven size bound
-and is broadcast, which flags rows without shuffling them.  Both classes go
-through the same single big shuffle (a cold key is one bucket), and the
-offsets branch only ever sees hot rows.
-
-Bucket width (``bucket_unit='auto'``, the default) adapts per hot key: the
-hot-key aggregate also yields the key's first and last timestamp, and the
-key's span is cut into about sqrt(rows) equal slices.  So both the offsets
-window of a key (one row per bucket) and each local window (the rows of one
-bucket, when they are spread over time) hold about sqrt(rows) rows instead
-of one of them growing with the key.  Fixed units ('day', 'hour', 'minute')
-are available too.
-
-A group of copies — one instant of a hot key holding more than ``threshold``
-rows — is split too: its rows are spread over ceil(rows / threshold) runs
-that sit exactly where the instant sorts in the key.  Tied rows are
-interchangeable in a ROW_NUMBER, so any spread is valid, but the numbering
-and the run counts must agree; since the spread comes from each row's
-position, those rows are salted once and written as a reliable checkpoint
-(only when such an instant exists).
-
-Rows tied on the timestamp otherwise fall into the same bucket, so the
-result is a valid ROW_NUMBER.  Tied rows carry identical (key, timestamp) values, so
-which of them gets which number never changes a report.  NULL keys form
-their own group (as in ``PARTITION BY``) because the key is wrapped in a
-struct, which compares NULL fields as equal; NULL timestamps sort last.
+A key is *hot* above ``threshold = max(min_hot_rows, total_rows /
+max_hot_keys)`` rows, so at most ``max_hot_keys`` keys are hot, and the list
+of them has a proven size bound.  It is found by one aggregation over the log
+and written to the shared folder with the rows of each key.
+
+* No key is hot: one plain window over the keys.
+* Otherwise the log is read once more and written to the shared folder, hot
+  and cold rows apart.  Cold keys are numbered by the plain window.  The rows
+  of hot keys are range-partitioned by (key, time, position), with splitters
+  that Spark samples from the rows themselves, so ranges hold about
+  ``threshold`` rows each however the rows are spread in time: a burst is cut
+  as finely as it is dense, and rows on one instant are cut by their position
+  in the written copy.  Each range numbers its rows alone, and the running sum
+  of the rows that earlier ranges have of the key (one row per range and hot
+  key) is added.
+
+Rows tied on the order column are interchangeable in a ROW_NUMBER: tied rows
+carry identical (key, time) values, so which of them gets which number never
+changes a report.  NULL keys form their own group, as in ``PARTITION BY``;
+NULL times sort last in either direction.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from accrualkit.plans.materialize import reuse
+from accrualkit.plans.materialize import reuse, write_result
 
-DEFAULT_BUCKET = "auto"
 MIN_HOT_ROWS = 100_000
 MAX_HOT_KEYS = 100_000
-_LONG_MAX = 2**63 - 1
-_LONG_MIN = -(2**63)
-
-_BUCKET_FIELDS = {
-    "day": (),
-    "hour": (F.hour,),
-    "minute": (F.hour, F.minute),
-}
-
-
-def time_bucket(ts: str, unit: str = "hour"):
-    """(date, hour[, minute]) of ``ts`` — monotone in ``ts`` and computed from
-    its own fields, so it does not depend on the session time zone.  A DATE
-    column only has the date part."""
-    if unit not in _BUCKET_FIELDS:
-        raise ValueError(f"bucket_unit must be 'auto' or one of {sorted(_BUCKET_FIELDS)}")
-    c = F.col(ts)
-    # NULL (not a struct of NULLs) for a NULL timestamp, so that NULLs-last
-    # ordering of the buckets agrees with NULLs-last ordering of the rows
-    return F.when(c.isNotNull(), F.struct(F.to_date(c).alias("d"), *[f(c).alias(f.__name__) for f in _BUCKET_FIELDS[unit]]))
-
-
-def order_micros(ts: str) -> Column:
-    """Microseconds since 1970-01-01 of the wall-clock value of ``ts``.
-
-    Built from the value's own fields (date, hour, minute, seconds with
-    fraction), so it is monotone in ``ts`` and independent of the session
-    time zone.  DATE values count from midnight.
-    """
-    c = F.col(ts).cast("timestamp_ntz")
-    days = F.datediff(F.to_date(c), F.lit(dt.date(1970, 1, 1))).cast("long")
-    return (
-        days * F.lit(86_400_000_000)
-        + F.hour(c).cast("long") * F.lit(3_600_000_000)
-        + F.minute(c).cast("long") * F.lit(60_000_000)
-        + (F.extract(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("long")
-    )
 
 
 def hot_key_threshold(total_rows: int, min_hot_rows: int = MIN_HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS) -> int:
@@ -107,136 +47,79 @@ def hot_key_threshold(total_rows: int, min_hot_rows: int = MIN_HOT_ROWS, max_hot
     return max(min_hot_rows, -(-total_rows // max_hot_keys))
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], min_hot_rows: int, max_hot_keys: int) -> tuple[DataFrame | None, int, int]:
+    """(hot keys with their rows as ``_occ_rows``, rows of hot keys, threshold); None if no key is hot.
+
+    One aggregation over ``df``: rows per key, with the keys of up to
+    ``min_hot_rows`` rows summed up in one row.  Its result is written once.
+    """
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_occ_rows"))
+    large = F.col("_occ_rows") > min_hot_rows
+    listed = sizes.select(large.alias("_occ_large"), *[F.when(large, F.col(k)).alias(k) for k in keys], "_occ_rows")
+    listed = reuse(listed.groupBy("_occ_large", *keys).agg(F.sum("_occ_rows").alias("_occ_rows")))
+    total = listed.agg(F.sum("_occ_rows")).first()[0] or 0
+    threshold = hot_key_threshold(int(total), min_hot_rows, max_hot_keys)
+    hot = listed.filter(F.col("_occ_large") & (F.col("_occ_rows") > threshold)).select(*keys, "_occ_rows")
+    rows = hot.agg(F.sum("_occ_rows")).first()[0]
+    return (hot, int(rows), threshold) if rows else (None, 0, threshold)
+
+
+def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_occ_{k}"]) for k in keys])
+
+
 def occurrence_number(
     df: DataFrame,
     keys: Sequence[str],
     order_col: str,
     out: str = "occurrence",
-    bucket_unit: str = DEFAULT_BUCKET,
     min_hot_rows: int = MIN_HOT_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
     descending: bool = False,
+    co_locate: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Append ``out`` = 1, 2, ... per ``keys`` in ascending ``order_col``
+    """Append ``out`` = 1, 2, ... (BIGINT) per ``keys`` in ascending ``order_col``
     (newest first with ``descending=True``; NULLs last either way).
 
-    ``bucket_unit``: 'auto' (about sqrt(rows) buckets per hot key) or a fixed
-    'day', 'hour' or 'minute' slice.
+    ``co_locate``: some of ``keys`` by which the rows are partitioned, for a
+    caller that goes on by those columns and then needs no further shuffle.
 
-    Runs one small job eagerly (rows per key, to fix the hot-key threshold
-    and to see whether any key is hot); with no hot key the result is a plain
-    window.  Everything else stays lazy.
+    Building the result runs one aggregation over ``df`` (rows per key); if a
+    key is hot, also the writes described above.  The result itself is lazy.
     """
-    gk = "_occ_key"
-    gb = "_occ_bucket_key"
-    auto = bucket_unit == "auto"
-    staged = df.withColumn(gk, F.struct(*[F.col(k) for k in keys]))
-
-    def direction(c):
-        return c.desc_nulls_last() if descending else c.asc_nulls_last()
-
-    # One small job: rows per key (partial aggregation), then total and largest.
-    sizes = staged.groupBy(gk).agg(F.count(F.lit(1)).alias("_occ_rows"))
-    profile = sizes.agg(F.sum("_occ_rows").alias("total"), F.max("_occ_rows").alias("largest")).first()
-    threshold = hot_key_threshold(int(profile["total"] or 0), min_hot_rows, max_hot_keys)
-    if int(profile["largest"] or 0) <= threshold:
-        # no hot key: every key holds at most `threshold` rows, a bounded
-        # amount of work for one task — a plain window, one shuffle
-        w = Window.partitionBy(gk).orderBy(direction(F.col(order_col)))
-        return staged.withColumn(out, F.row_number().over(w).cast("int")).drop(gk)
-
-    # NULL timestamps sort last in either direction: give them the extreme value
-    last = _LONG_MIN if descending else _LONG_MAX
-    if auto:
-        staged = staged.withColumn("_occ_v", F.coalesce(order_micros(order_col), F.lit(last)))
-    stats = [F.count(F.lit(1)).alias("_occ_rows")]
-    if auto:
-        real = F.when(F.col(order_col).isNotNull(), F.col("_occ_v"))
-        stats += [F.min(real).alias("_occ_first"), F.max(real).alias("_occ_last")]
-    hot = staged.groupBy(gk).agg(*stats).filter(F.col("_occ_rows") > threshold)
-    if auto:
-        slices = F.ceil(F.sqrt(F.col("_occ_rows").cast("double"))).cast("long")
-        span = F.col("_occ_last") - F.col("_occ_first") + F.lit(1)
-        width = F.greatest(F.lit(1).cast("long"), F.ceil(span / slices).cast("long"))
-        hot = hot.select(F.col(gk).alias("_occ_hot"), "_occ_first", F.coalesce(width, F.lit(1).cast("long")).alias("_occ_width"))
-        # instants of a hot key holding more than `threshold` tied rows (at most
-        # total / threshold of them): each is split into ceil(rows / threshold) runs
-        hot_rows = staged.join(F.broadcast(hot.select("_occ_hot")), staged[gk] == F.col("_occ_hot"), "left_semi")
-        flat_instants = (
-            hot_rows.groupBy(gk, "_occ_v")
-            .agg(F.count(F.lit(1)).alias("_occ_tied"))
-            .filter(F.col("_occ_tied") > threshold)
-            .select(
-                F.col(gk).alias("_occ_ikey"),
-                F.col("_occ_v").alias("_occ_iv"),
-                F.ceil(F.col("_occ_tied") / F.lit(threshold)).cast("long").alias("_occ_runs"),
-            )
-        )
-        per_key = flat_instants.groupBy("_occ_ikey").agg(
-            F.collect_list(F.struct(F.col("_occ_iv").alias("v"), F.col("_occ_runs").alias("s"))).alias("_occ_instants")
-        )
-        hot = hot.join(per_key, F.col("_occ_hot") == F.col("_occ_ikey"), "left").drop("_occ_ikey")
-        has_instants = bool(flat_instants.limit(1).count())  # hot keys only: rare path
-    else:
-        hot = hot.select(F.col(gk).alias("_occ_hot"))
-        has_instants = False
-    # hot keys and hot instants each number at most total / threshold <= max_hot_keys: a proven bound
-    flagged = staged.join(F.broadcast(hot), staged[gk] == F.col("_occ_hot"), "left").withColumn(
-        "_occ_is_hot", F.col("_occ_hot").isNotNull()
+    order = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_last()
+
+    def plain(rows: DataFrame) -> DataFrame:
+        placed = rows.repartition(*[F.col(k) for k in co_locate]) if co_locate else rows
+        return placed.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(order)).cast("bigint"))
+
+    hot, hot_rows, threshold = hot_keys(df, keys, min_hot_rows, max_hot_keys)
+    if hot is None:
+        return plain(df)
+
+    # at most max_hot_keys rows: broadcast
+    listed = F.broadcast(hot.select(*[F.col(k).alias(f"_occ_{k}") for k in keys], F.lit(True).alias("_occ_hot")))
+    flagged = df.join(listed, _same_key(df, listed, keys), "left").select(
+        *df.columns, F.coalesce("_occ_hot", F.lit(False)).alias("_occ_hot"), F.monotonically_increasing_id().alias("_occ_at")
     )
-    if has_instants:
-        # Tied rows are interchangeable in a ROW_NUMBER, so any spread over the
-        # runs is valid — but the numbering and the run counts must see the
-        # same spread.  The spread comes from each row's position, so the tied
-        # rows are salted once and written as a reliable checkpoint.
-        marked = flagged.join(
-            F.broadcast(flat_instants),
-            (flagged[gk] == F.col("_occ_ikey")) & (F.col("_occ_v") == F.col("_occ_iv")),
-            "left",
-        ).drop("_occ_ikey", "_occ_iv")
-        tied_rows = marked.filter(F.col("_occ_runs").isNotNull()).withColumn(
-            "_occ_salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_occ_runs"))
+    copy = write_result(flagged, "numbering", partition_by=["_occ_hot"])
+    cold = copy.filter(~F.col("_occ_hot")).select(*df.columns)
+
+    ranges = max(1, -(-hot_rows // threshold))
+    spread = copy.filter("_occ_hot").repartitionByRange(ranges, *[F.col(k).asc_nulls_last() for k in keys], order, F.col("_occ_at"))
+    placed = reuse(spread.select(*df.columns, "_occ_at", F.spark_partition_id().alias("_occ_range")))
+    inside = F.row_number().over(Window.partitionBy("_occ_range", *keys).orderBy(order, "_occ_at"))
+    before = Window.partitionBy(*keys).orderBy("_occ_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy("_occ_range", *keys).agg(F.count(F.lit(1)).alias("_occ_rows"))
+    # one row per range and key in it: at most ranges + hot keys
+    offsets = F.broadcast(
+        sizes.select(
+            F.col("_occ_range").alias("_occ_r"), *[F.col(k).alias(f"_occ_{k}") for k in keys],
+            F.coalesce(F.sum("_occ_rows").over(before), F.lit(0)).alias("_occ_offset"),
         )
-        rest = marked.filter(F.col("_occ_runs").isNull()).withColumn("_occ_salt", F.lit(0).cast("long"))
-        flagged = rest.unionByName(reuse(tied_rows)).drop("_occ_runs")
-    else:
-        flagged = flagged.withColumn("_occ_salt", F.lit(0).cast("long"))
-    if auto:
-        v = F.col("_occ_v")
-        tied = F.coalesce(F.col("_occ_instants"), F.array().cast("array<struct<v:bigint,s:bigint>>"))
-        slice_no = F.when(F.col(order_col).isNull(), F.lit(last)).otherwise(
-            F.floor((v - F.col("_occ_first")) / F.col("_occ_width")).cast("long")
-        )
-        bucket = F.when(
-            F.col("_occ_is_hot"),
-            F.struct(
-                slice_no.alias("slice"),
-                F.size(F.filter(tied, lambda x: x["v"] < v)).alias("before"),
-                F.exists(tied, lambda x: x["v"] == v).alias("at"),
-                F.col("_occ_salt").alias("salt"),
-            ),
-        )
-        helpers = ["_occ_hot", "_occ_v", "_occ_first", "_occ_width", "_occ_instants", "_occ_salt"]
-    else:
-        bucket = F.when(F.col("_occ_is_hot"), time_bucket(order_col, bucket_unit))
-        helpers = ["_occ_hot", "_occ_salt"]
-    staged = flagged.withColumn(gb, F.struct(F.col(gk).alias("k"), bucket.alias("b"))).drop(*helpers)
-
-    # buckets are monotone in the order column, so descending numbering just
-    # walks the buckets, and the rows inside each bucket, the other way round
-    local_w = Window.partitionBy(gb).orderBy(direction(F.col(order_col)))
-    numbered = staged.withColumn("_occ_local", F.row_number().over(local_w))
-
-    per_bucket = staged.filter(F.col("_occ_is_hot")).groupBy(gb).agg(F.count(F.lit(1)).alias("_occ_rows"))
-    before = (
-        Window.partitionBy(F.col(f"{gb}.k"))
-        .orderBy(direction(F.col(f"{gb}.b")))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = per_bucket.select(gb, F.coalesce(F.sum("_occ_rows").over(before), F.lit(0)).alias("_occ_offset"))
-
-    return (
-        numbered.join(offsets, gb, "left")
-        .withColumn(out, (F.coalesce(F.col("_occ_offset"), F.lit(0)) + F.col("_occ_local")).cast("int"))
-        .drop(gk, gb, "_occ_is_hot", "_occ_local", "_occ_offset")
+    )
+    local = placed.withColumn("_occ_inside", inside)
+    numbered = local.join(offsets, (local["_occ_range"] == F.col("_occ_r")) & _same_key(local, offsets, keys)).select(
+        *df.columns, (F.col("_occ_offset") + F.col("_occ_inside")).cast("bigint").alias(out)
     )
+    return plain(cold).unionByName(numbered)

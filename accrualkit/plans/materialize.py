@@ -1,42 +1,35 @@
 """Session tables and result sinks.
 
 ``temp_table`` is the Spark form of ``CREATE TEMP TABLE … AS SELECT``: the
-rows are written once to the shared checkpoint folder (a reliable
-checkpoint, so the lineage is cut and a lost executor does not force a
-recompute from the sources) and exposed under a session view name.
-``write_result`` writes a report to a shared folder and reads it back.
+rows are written once to the shared checkpoint folder (so the lineage is cut
+and a lost executor does not force a recompute from the sources) and exposed
+under a session view name.  ``write_result`` writes rows to a shared folder
+and reads them back.
+
+Files in the shared folder belong to the run that wrote them.  They stay until
+the folder is cleaned, like checkpoints of a finished application.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from accrualkit.session import checkpoint_dir
 
 
 def reuse(df: DataFrame) -> DataFrame:
-    """Materialise a small intermediate that a plan reads several times.
+    """Materialise an intermediate that a plan reads several times.
 
     Each use of a shared sub-plan would otherwise be recomputed (column
     pruning gives every use a different projection, so exchange reuse does
-    not apply).  A reliable checkpoint computes it once, writes it to the
-    shared checkpoint folder and cuts the lineage, so later stages — and any
-    retry after a lost executor — read the files instead of re-deriving them
-    from the event log.
-
-    Writing a checkpoint re-runs the plan unless it is cached, so the rows
-    are held in the cache only while the checkpoint is written and released
-    right after; from then on the files are the only copy.
+    not apply).  The rows are computed once and written as Parquet to the
+    shared folder; later readers, and any retry after a lost executor, read
+    the columns that they need from the files.
     """
-    checkpoint_dir(df.sparkSession)
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+    return write_result(df, "reuse")
 
 
 def temp_table(df: DataFrame, name: str) -> DataFrame:
@@ -44,10 +37,12 @@ def temp_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
-def write_result(df: DataFrame, name: str, root: str | None = None, fmt: str = "parquet") -> DataFrame:
+def write_result(
+    df: DataFrame, name: str, root: str | None = None, fmt: str = "parquet", partition_by: Sequence[str] = ()
+) -> DataFrame:
     """Write ``df`` under ``root`` (default: the shared checkpoint folder)."""
     spark = df.sparkSession
     root = (root or checkpoint_dir(spark)).rstrip("/")
     path = f"{root}/results/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.mode("overwrite").format(fmt).save(path)
-    return spark.read.format(fmt).load(path)
+    df.write.mode("overwrite").format(fmt).partitionBy(*partition_by).save(path)
+    return spark.read.schema(df.schema).format(fmt).load(path)

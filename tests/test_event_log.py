@@ -101,8 +101,8 @@ def test_occurrence_number_matches_row_number_on_hot_key(spark):
         data.append((key if rnd.random() > 0.02 else None, ts(day, hour), i))
     df = spark.createDataFrame(data, "k string, t timestamp_ntz, id long")
     # 'hot' holds 60% of the rows: with a threshold of 100 rows it is split
-    # into fixed hour buckets here, the other keys (and the NULL key) stay cold
-    mine = occurrence_number(df, ["k"], "t", "n", bucket_unit="hour", min_hot_rows=100)
+    # into ranges here, the other keys (and the NULL key) stay cold
+    mine = occurrence_number(df, ["k"], "t", "n", min_hot_rows=100)
     w = Window.partitionBy("k").orderBy("t")
     plain = df.withColumn("n", F.row_number().over(w).cast("int"))
     # ties share (k, t), so compare the multiset of (k, t, n)
@@ -179,7 +179,7 @@ def test_occurrence_number_null_timestamps_in_hot_key_sort_last(spark):
         assert rows(mine, "k", "t", "n") == rows(plain, "k", "t", "n"), desc
 
 
-def test_adaptive_buckets_match_row_number_on_hot_key(spark):
+def test_ranges_match_row_number_on_hot_key(spark):
     rnd = random.Random(17)
     data = []
     for i in range(4000):
@@ -208,26 +208,57 @@ def test_tied_copies_in_hot_key_match_row_number(spark):
         assert rows(mine, "k", "t", "n") == rows(plain, "k", "t", "n"), desc
 
 
-def test_order_micros_is_monotone_and_zone_free(spark):
-    from accrualkit.operators.ordinal import order_micros
+def range_sizes(spark):
+    """Largest number of rows that one range of the last split numbering held."""
+    from accrualkit.session import checkpoint_dir
+
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark) + "/results")
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)
+    for f in sorted(files, key=lambda f: -f.getModificationTime()):
+        df = spark.read.parquet(f.getPath().toString())
+        if "_occ_range" in df.columns:
+            return sorted(r["count"] for r in df.groupBy("_occ_range").count().collect())
+    raise AssertionError("no numbering was split")
+
+
+def test_a_burst_is_cut_by_rows_not_by_time(spark):
+    rnd = random.Random(3)
+    start = dt.datetime(2024, 1, 1)
+    # nine tenths of the key's rows lie in a thousandth of its span, a third on one instant
+    data = [("hot", start + dt.timedelta(seconds=rnd.randint(0, 80_000)), i) for i in range(4000)]
+    data += [("hot", start + dt.timedelta(seconds=100), i) for i in range(4000)]
+    data += [("hot", start + dt.timedelta(seconds=rnd.randint(0, 80_000_000)), i) for i in range(800)]
+    df = spark.createDataFrame(data, "k string, t timestamp_ntz, id long").repartition(5)
+    mine = occurrence_number(df, ["k"], "t", "n", min_hot_rows=500)
+    plain = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("t")))
+    assert rows(mine, "k", "t", "n") == rows(plain, "k", "t", "n")
+    sizes = range_sizes(spark)
+    assert len(sizes) >= 10 and sizes[-1] <= 2.5 * 500
 
-    stamps = [
-        dt.datetime(1969, 12, 31, 23, 59, 59, 999999),
-        dt.datetime(1970, 1, 1),
-        dt.datetime(2024, 3, 10, 2, 30, 0, 1),  # inside a US DST gap
-        dt.datetime(2024, 3, 10, 3, 15),
-        dt.datetime(2024, 11, 3, 1, 30, 0, 500000),
-    ]
-    df = spark.createDataFrame([(t, t.date()) for t in stamps], "t timestamp_ntz, d date")
-    old = spark.conf.get("spark.sql.session.timeZone")
-    try:
-        results = []
-        for zone in ("UTC", "America/New_York"):
-            spark.conf.set("spark.sql.session.timeZone", zone)
-            results.append([(r.v, r.dv) for r in df.select(order_micros("t").alias("v"), order_micros("d").alias("dv")).collect()])
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", old)
-    assert results[0] == results[1]
-    epoch = dt.datetime(1970, 1, 1)
-    assert [v for v, _ in results[0]] == [(t - epoch) // dt.timedelta(microseconds=1) for t in stamps]
-    assert [dv for _, dv in results[0]] == [(dt.datetime.combine(t.date(), dt.time()) - epoch) // dt.timedelta(microseconds=1) for t in stamps]
+
+def test_a_hot_day_of_a_date_column_is_split(spark):
+    data = [("a" if i % 3 else "b", dt.date(2024, 1, 1 + (i % 20 == 0) * (i % 28)), i) for i in range(3000)]
+    df = spark.createDataFrame(data, "k string, t date, id long")
+    mine = occurrence_number(df, ["k"], "t", "n", min_hot_rows=200, descending=True)
+    plain = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(F.col("t").desc())))
+    assert rows(mine, "k", "t", "n") == rows(plain, "k", "t", "n")
+    assert range_sizes(spark)[-1] <= 2.5 * 200
+
+
+def test_numbers_are_bigint_and_null_keys_are_a_group(spark):
+    df = spark.createDataFrame([(None, ts(1)), (None, ts(2)), ("a", ts(1))] * 20, "k string, t timestamp_ntz")
+    for hot in (5, 1000):
+        mine = occurrence_number(df, ["k"], "t", "n", min_hot_rows=hot)
+        assert dict(mine.dtypes)["n"] == "bigint"
+        assert sorted(r.n for r in mine.filter("k is null").collect()) == list(range(1, 41))
+
+
+def test_history_of_chosen_databases_is_the_chosen_part_of_the_history(spark):
+    rnd = random.Random(8)
+    kinds = ["Added", "Updated", "Deleted", "Viewed"]
+    data = [(16, rnd.choice("xyz"), rnd.choice(["1", "2", "3", "n/a"]), rnd.choice(kinds), ts(rnd.randint(1, 9))) for _ in range(400)]
+    log = setting_df(spark, data)
+    chosen = spark.createDataFrame([(1,), (3,), (9,)], "sync_db_id long")
+    for history in (mapping_history_flat, mapping_history_collapsed):
+        assert rows(history(log, sync_dbs=chosen)) == rows(history(log).filter("sync_db_id in (1, 3)"))

@@ -73,11 +73,32 @@ def test_snapshot_period_filters_reach_the_scan(plans):
     assert "EqualTo(snapshot_date_eastern,2024-03-01)" in plans["report_active_locations_denticon"]
 
 
-def test_numbering_without_hot_keys_is_one_plain_window(spark):
-    from accrualkit.operators.event_log import mapping_history_flat
+def shuffles(tree: str) -> int:
+    return sum("Exchange" in line and "Broadcast" not in line for line in tree.splitlines())
+
+
+def test_the_log_is_shuffled_once_for_numbering_pairing_and_collapse(spark):
+    from accrualkit.operators.event_log import mapping_history_collapsed, mapping_history_flat
 
     setting = SourceCatalog.from_testdata(spark, SF)("setting")
-    plan = plan_text(mapping_history_flat(setting))
-    tree = plan.split("\n\n")[0]
-    assert tree.count("Window (") == 1
-    assert "BroadcastExchange" not in tree and "BroadcastHashJoin" not in tree
+    for history in (mapping_history_flat, mapping_history_collapsed):
+        tree = plan_text(history(setting)).split("\n\n")[0]
+        assert tree.count("Window (") == 1
+        assert "BroadcastExchange" not in tree and "BroadcastHashJoin" not in tree
+        assert shuffles(tree) == 1
+
+
+@pytest.mark.parametrize("report", ["report_api_practices_athena", "report_active_locations_nextech"])
+def test_databases_are_chosen_before_the_log_is_numbered(spark, report, monkeypatch):
+    from accrualkit.operators import event_log
+
+    seen = []
+
+    def spy(events, *args, **kwargs):
+        seen.append(plan_text(events).split("\n\n")[0])
+        return numbered(events, *args, **kwargs)
+
+    numbered = event_log.occurrence_number
+    monkeypatch.setattr(event_log, "occurrence_number", spy)
+    all_queries()[report](spark, SF)
+    assert len(seen) == 1 and "LeftSemi" in seen[0] and "Window" not in seen[0]
