@@ -125,7 +125,7 @@ def q_provider_enrichment(spark, sf_dir):
     """Roster ⟕ latest explorer ⟕ latest active opportunity ⟕ CRM contacts."""
     cat = _cat(spark, sf_dir)
     enriched = reuse(R.provider_enrichment(cat, R.bookable_provider_roster(cat, "is_bookable")))
-    return R.with_contacts(cat, enriched)
+    return R.with_contacts(cat, enriched).distinct()
 
 
 def q_npi_lookup(spark, sf_dir):

@@ -37,8 +37,8 @@ from accrualkit.params import DateWindow, PmsSelector
 from accrualkit.plans import reports as RP
 from accrualkit.plans import roster as R
 from accrualkit.plans import syncs as S
-from accrualkit.plans.materialize import temp_table, write_result
-from accrualkit.plans.registry_params import ADDRESS_WINDOW, ATHENA_APPS
+from accrualkit.plans.materialize import reuse, temp_table, write_result
+from accrualkit.plans.registry_params import ADDRESS_WINDOW, ATHENA_APPS, NO_AVAILABILITY_EXCLUDED
 from accrualkit.sources.catalog import SourceCatalog, normalise_flags
 
 # Operator-query parameters (dates inside the generated data).
@@ -51,6 +51,8 @@ PARAM_WINDOW = DateWindow.of("2024-01-01", "2024-01-15")
 OI_WINDOW = DateWindow.of("2024-01-01", "2024-01-02")
 LATE_SHIP_DAYS = 90
 COERCION_BOUND = "2024-03-01"
+#: Rows above which a key counts as hot in the query that shows it.
+HOT_ROWS = 300
 
 OPERATOR_QUERIES: dict = {}
 
@@ -84,7 +86,9 @@ def scan_qualified_quoted(spark, d):
 
 @query("scan_view")
 def scan_view(spark, d):
-    return _cat(spark, d).table("sync.sync_overview_vw")
+    """The relation is a view here: a registered plan over other relations, resolved by name."""
+    view = SourceCatalog.from_testdata(spark, d, store=False).view("sync.sync_overview_vw")
+    return spark.sql(f"SELECT * FROM {view}")
 
 
 @query("temp_table")
@@ -112,10 +116,9 @@ def cte(spark, d):
 def cte_shared(spark, d):
     """The collapsed history is read twice: as rows and as the still-synced set."""
     cat = _cat(spark, d)
-    history = mapping_history_collapsed(cat("setting"))
     dbs = S.selected_sync_dbs(cat, PmsSelector.by_name(*ATHENA_APPS)).select("sync_db_id").distinct()
-    rows = history.join(dbs.withColumnRenamed("sync_db_id", "_db"), F.col("sync_db_id") == F.col("_db"), "left_semi")
-    marked = mark_members(rows, S.still_synced_locations(history, dbs), "location_id", "location_id", "_still")
+    rows = reuse(mapping_history_collapsed(cat("setting"), dbs))
+    marked = mark_members(rows, S.still_synced_locations(rows, dbs), "location_id", "location_id", "_still")
     return marked.select(
         "sync_db_id", "location_id", "created_date_utc", "deleted_date_utc", F.col("_still").isNotNull().alias("still_synced")
     )
@@ -156,9 +159,16 @@ def param_tuple(spark, d):
 
 @query("param_from_query")
 def param_from_query(spark, d):
-    m = F.col("snapshot_month_eastern")
-    months = _cat(spark, d)("practice_snapshot_summary_month").select(m).distinct()
-    return months.select(m, F.last_day(m).alias("last_day_of_month"), days_in_month(m).alias("total_days_in_month"))
+    """The first reported month comes from a query and bounds the bookings that are counted."""
+    cat = _cat(spark, d)
+    m = F.min("snapshot_month_eastern")
+    month = cat("practice_snapshot_summary_month").agg(
+        m.alias("first_day"), F.last_day(m).alias("last_day"), days_in_month(m).alias("total_days_in_month")
+    )
+    booked_on = F.col("appointment_created_timestamp_local").cast("date")
+    # one row: broadcast
+    inside = cat("appointment_summary").join(F.broadcast(month), booked_on.between(F.col("first_day"), F.col("last_day")))
+    return inside.groupBy("provider_id", "last_day", "total_days_in_month").agg(F.count_distinct("appointment_id").alias("n_bookings"))
 
 
 @query("result_set")
@@ -186,7 +196,7 @@ def project_star(spark, d):
 @query("project_qualified_star")
 def project_qualified_star(spark, d):
     cat = _cat(spark, d)
-    return R.roster_labels(R.provider_enrichment(cat, R.bookable_provider_roster(cat, "is_bookable_legacy")))
+    return R.roster_labels(R.provider_enrichment(cat, R.bookable_provider_roster(cat, "is_bookable_legacy")).distinct())
 
 
 @query("project_literal")
@@ -229,7 +239,7 @@ def lateral_alias_window(spark, d):
     ex = _cat(spark, d)("provider_explorer_day_week_vw").select(
         F.col("provider_id").alias("c_docter_id"), "snapshot_date_eastern"
     )
-    return occurrence_number(ex, ["c_docter_id"], "snapshot_date_eastern", "rownum", bucket_unit="day", descending=True)
+    return occurrence_number(ex, ["c_docter_id"], "snapshot_date_eastern", "rownum", descending=True)
 
 
 @query("unqualified_resolution")
@@ -273,6 +283,13 @@ def filter_in_ints(spark, d):
 
 @query("filter_not_in")
 def filter_not_in(spark, d):
+    """NOT IN a literal list of providers."""
+    asd = _cat(spark, d)("provider_location_availability_summary_day").select("provider_id", "practice_id", "snapshot_date_eastern")
+    return asd.filter(~F.col("provider_id").isin(*NO_AVAILABILITY_EXCLUDED))
+
+
+@query("filter_not_in_relation")
+def filter_not_in_relation(spark, d):
     """Exclusion list given as a DataFrame (providers who had appointments): anti join."""
     cat = _cat(spark, d)
     asd = cat("provider_location_availability_summary_day").select("provider_id", "practice_id", "snapshot_date_eastern")
@@ -629,6 +646,13 @@ def win_row_number_asc(spark, d):
     return occurrence_number(ev, ["sync_db_id", "location_id"], "ts", "occurrence")
 
 
+@query("win_row_number_hot")
+def win_row_number_hot(spark, d):
+    """Few keys with very many rows each: every key is split into ranges."""
+    ev = _cat(spark, d).base.events.select("event_type", "ts")
+    return occurrence_number(ev, ["event_type"], "ts", "occurrence", min_hot_rows=HOT_ROWS)
+
+
 @query("win_partition_expr")
 def win_partition_expr(spark, d):
     """Partition key is an expression (try_cast of the text value)."""
@@ -640,7 +664,7 @@ def win_partition_expr(spark, d):
 def win_row_number_desc(spark, d):
     """Rank each provider's opportunity snapshots, newest first."""
     oi = _cat(spark, d)("opportunity_index").select("provider_id", "snapshot_date_est")
-    return occurrence_number(oi, ["provider_id"], "snapshot_date_est", "rownum", bucket_unit="day", descending=True)
+    return occurrence_number(oi, ["provider_id"], "snapshot_date_est", "rownum", descending=True)
 
 
 @query("qualify_inline")

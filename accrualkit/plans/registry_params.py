@@ -22,4 +22,4 @@ BOOKING_START = "2024-01-01"
 BOOKING_END_NEXT_MONTH = "2024-02-01"
 BOOKING_END_LAST_DAY = "2024-01-31"
 NO_AVAILABILITY_SINCE = "2023-12-01"
-NO_AVAILABILITY_EXCLUDED = ("",)
+NO_AVAILABILITY_EXCLUDED = ("P3", "P27", "P105", "")

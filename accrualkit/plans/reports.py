@@ -63,7 +63,7 @@ def report_api_practices(
         .distinct()
     )
     if history is None:
-        history = mapping_history_collapsed(setting)
+        history = mapping_history_collapsed(setting, dbs.select(F.col("_db").alias("sync_db_id")))
     # Mapping rows of the selected PMS: read twice (rows to report and the
     # still-synced location set), so materialised once.
     mapped = reuse(
@@ -125,7 +125,9 @@ def report_active_locations(
     m = ReportMonth.of(month)
     boundary = at_midnight(m.next_start)
     if history is None:
-        history = mapping_history_flat(cat("setting"))
+        if pms_latest is None:
+            pms_latest = latest_setting(cat("setting"), cat("practice_management_software"), value_type="int")
+        history = mapping_history_flat(cat("setting"), sync_dbs=pms_latest.filter(S.pms_predicate(pms)).select("sync_db_id"))
     # Read three times (report rows, live aggregate mappings, primary
     # location), so materialised once.
     syncs = reuse(S.active_syncs_as_of(cat, history, pms, boundary, pms_latest=pms_latest))
@@ -240,8 +242,8 @@ def report_provider_roster(
     rows = R.with_contacts(cat, enriched, include_crm_practice_id=with_npi)
     if with_npi:
         npi = R.npi_lookup(cat)
-        rows = rows.join(npi, rows["docter_id"] == npi["_npi_prof"]).drop("_npi_prof").distinct()
-    return R.roster_labels(rows)
+        rows = rows.join(npi, rows["docter_id"] == npi["_npi_prof"]).drop("_npi_prof")
+    return R.roster_labels(rows.distinct())
 
 
 # --------------------------------------------------------------------- R5
@@ -338,11 +340,12 @@ def report_no_availability(
     cat: SourceCatalog,
     since: dt.date | str,
     software_pattern: str = RAINTREE_PATTERN,
-    excluded_provider_ids: Sequence[str] | DataFrame | None = ("",),
+    excluded_provider_ids: Sequence[str | int] | DataFrame | None = None,
 ) -> DataFrame:
     """Integrated (non-manual sync) providers without availability.
 
-    ``excluded_provider_ids`` is either a short literal list (NOT IN) or a
+    ``excluded_provider_ids`` is either a short literal list (NOT IN, compared
+    as text; empty strings and None exclude nothing) or a
     DataFrame with a ``provider_id`` column (anti join; e.g. the providers
     who already had appointments).
 
@@ -379,8 +382,10 @@ def report_no_availability(
         # (e.g. one row per booked provider, not per booking) before the shuffle
         ex = excluded_provider_ids.select(F.col("provider_id").alias("_ex")).distinct()
         rows = rows.join(ex, rows["provider_id"] == ex["_ex"], "left_anti")
-    elif excluded_provider_ids:
-        rows = rows.filter(~F.col("provider_id").isin(*excluded_provider_ids))
+    else:
+        listed = [str(x) for x in excluded_provider_ids or () if x is not None and x != ""]
+        if listed:
+            rows = rows.filter(~F.col("provider_id").cast("string").isin(*listed))
     return rows.select(
         "provider_id",
         "practice_id",

@@ -88,7 +88,10 @@ def latest_active_opportunity_row(cat: SourceCatalog) -> DataFrame:
 def provider_enrichment(
     cat: SourceCatalog, roster: DataFrame, explorer: DataFrame | None = None, opportunity: DataFrame | None = None
 ) -> DataFrame:
-    """Roster ⟕ latest explorer row ⟕ latest active opportunity row (DISTINCT).
+    """Roster ⟕ latest explorer row ⟕ latest active opportunity row.
+
+    Both right sides hold one row per provider, so nothing is multiplied and
+    a DISTINCT belongs only at the end of the report.
 
     ``explorer`` / ``opportunity`` may pass precomputed results of
     ``latest_explorer_row`` / ``latest_active_opportunity_row`` (one row per
@@ -109,7 +112,7 @@ def provider_enrichment(
         "provider_tenure_months",
         "bookable_status_beginning_of_week",
         "was_ever_previously_mp_bookable",
-    ).distinct()
+    )
     ov = opportunity if opportunity is not None else latest_active_opportunity_row(cat)
     return (
         with_segment.join(ov, with_segment["c_docter_id"] == ov["provider_id"], "left")
@@ -134,7 +137,6 @@ def provider_enrichment(
             "bookable_status_beginning_of_week",
             "was_ever_previously_mp_bookable",
         )
-        .distinct()
     )
 
 
@@ -180,7 +182,7 @@ CONTACT_ROW_TAIL = (
 
 
 def with_contacts(cat: SourceCatalog, enriched: DataFrame, include_crm_practice_id: bool = False) -> DataFrame:
-    """Enriched roster ⟕ CRM contacts by professional id, DISTINCT.
+    """Enriched roster ⟕ CRM contacts by professional id (not distinct).
 
     Several contacts per professional fan out (one row each).  The join is
     fan-out-safe (``fanout_left_join``), so a professional with a huge
@@ -189,7 +191,7 @@ def with_contacts(cat: SourceCatalog, enriched: DataFrame, include_crm_practice_
     """
     joined = fanout_left_join(enriched, crm_contacts(cat), "docter_id", "professional_id__c")
     middle = ("provider_id__c",) if include_crm_practice_id else ()
-    return joined.select(*CONTACT_ROW_HEAD, *middle, *CONTACT_ROW_TAIL).distinct()
+    return joined.select(*CONTACT_ROW_HEAD, *middle, *CONTACT_ROW_TAIL)
 
 
 def npi_lookup(cat: SourceCatalog) -> DataFrame:

@@ -73,19 +73,24 @@ class SourceCatalog:
         self.base = base
         self.token = uuid.uuid4().hex[:8]
 
+    @staticmethod
+    def resolve(name: str) -> str:
+        """Logical relation of a plain, schema-qualified or three-part name."""
+        key = name.replace('"', "").replace("`", "").strip().lower()
+        if key in WAREHOUSE_NAMES:
+            return key
+        for short, qualified in WAREHOUSE_NAMES.items():
+            if key == qualified or key.count(".") == 2 and key.endswith("." + qualified):
+                return short
+        raise KeyError(f"unknown relation {name!r}")
+
     def __call__(self, name: str) -> DataFrame:
         return self.table(name)
 
     def table(self, name: str) -> DataFrame:
         # Three-part, double-quoted or back-quoted upper-case names resolve
         # to the same logical relation (identifiers are case-insensitive).
-        key = name.replace('"', "").replace("`", "").strip().lower()
-        for short, qualified in WAREHOUSE_NAMES.items():
-            if key == qualified or key.endswith("." + short):
-                key = short
-                break
-        if key not in WAREHOUSE_NAMES:
-            raise KeyError(f"unknown relation {name!r}")
+        key = self.resolve(name)
         if key not in self._cache:
             self._cache[key] = normalise_flags(key, self._loader(key))
         return self._cache[key]
@@ -96,8 +101,7 @@ class SourceCatalog:
         Returns the (catalog-unique) view name to use in ``spark.sql``.
         """
         df = self.table(name)
-        key = name.replace('"', "").split(".")[-1].lower()
-        view = f"{key}_{self.token}"
+        view = f"{self.resolve(name)}_{self.token}"
         df.createOrReplaceTempView(view)
         return view
 

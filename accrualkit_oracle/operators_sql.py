@@ -51,9 +51,12 @@ where appointment_created_timestamp_local between timestamp '2024-01-01 00:00:00
 group by provider_id
 """,
     "param_from_query": """
-select distinct snapshot_month_eastern, last_day(snapshot_month_eastern) as last_day_of_month,
-       cast(day(last_day(snapshot_month_eastern)) as integer) as total_days_in_month
-from practice_snapshot_summary_month
+with m as (select min(snapshot_month_eastern) as first_day from practice_snapshot_summary_month)
+select provider_id, last_day(first_day) as last_day, cast(day(last_day(first_day)) as integer) as total_days_in_month,
+       count(distinct appointment_id) as n_bookings
+from appointment_summary, m
+where cast(appointment_created_timestamp_local as date) between first_day and last_day(first_day)
+group by all
 """,
     "result_set": R.r5_parent_entities(["CernerMillenniumAPI", "CernerMillenniumR4"]),
     # 2.2 projections
@@ -84,7 +87,7 @@ from provider group by practice_id
 """,
     "lateral_alias_window": """
 select provider_id as c_docter_id, snapshot_date_eastern,
-       cast(row_number() over (partition by provider_id order by snapshot_date_eastern desc) as integer) as rownum
+       row_number() over (partition by provider_id order by snapshot_date_eastern desc) as rownum
 from provider_explorer_day_week_vw
 """,
     "unqualified_resolution": """
@@ -102,6 +105,10 @@ with {R._latest_pms('integer')}
 select db as sync_db_id, app as pms_application, pms_id from pms_now where pms_id in (11, 12)
 """,
     "filter_not_in": """
+select provider_id, practice_id, snapshot_date_eastern from provider_location_availability_summary_day
+where provider_id not in ('P3', 'P27', 'P105', '')
+""",
+    "filter_not_in_relation": """
 select a.provider_id, a.practice_id, a.snapshot_date_eastern
 from provider_location_availability_summary_day a
 where not exists (select 1 from appointment_summary b where b.provider_id = a.provider_id)
@@ -167,7 +174,7 @@ from practice pt left join provider pv on pv.practice_id = pt.practice_id
 """,
     "join_left_multikey_ordinal": f"""
 with {R._history("'Added', 'Updated'")}
-select db as sync_db_id, loc as location_id, cast(k as integer) as occurrence, created as created_date_utc,
+select db as sync_db_id, loc as location_id, k as occurrence, created as created_date_utc,
        deleted as deleted_date_utc
 from pairs
 """,
@@ -271,16 +278,19 @@ select pms_application, count(distinct location_id) as num_locations from sync_o
 """,
     # 2.6 windows
     "win_row_number_asc": f"""
-with {R._history("'Added'")}
-select db as sync_db_id, loc as location_id, ts, cast(k as integer) as occurrence from adds
+select try_cast(setting_value as bigint) as sync_db_id, entity_id as location_id, event_timestamp_utc as ts,
+       row_number() over (partition by try_cast(setting_value as bigint), entity_id order by event_timestamp_utc) as occurrence
+from setting where setting_key_id = 16 and event_type = 'Added'
 """,
     "win_partition_expr": f"""
-with {R._history("'Added'")}
-select db as sync_db_id, loc as location_id, ts, cast(k as integer) as occurrence from removes
+select try_cast(setting_value as bigint) as sync_db_id, entity_id as location_id, event_timestamp_utc as ts,
+       row_number() over (partition by try_cast(setting_value as bigint), entity_id order by event_timestamp_utc) as occurrence
+from setting where setting_key_id = 16 and event_type = 'Deleted'
 """,
+    "win_row_number_hot": "select event_type, ts, row_number() over (partition by event_type order by ts) as occurrence from events",
     "win_row_number_desc": """
 select provider_id, snapshot_date_est,
-       cast(row_number() over (partition by provider_id order by snapshot_date_est desc) as integer) as rownum
+       row_number() over (partition by provider_id order by snapshot_date_est desc) as rownum
 from opportunity_index
 """,
     "qualify_inline": "with "

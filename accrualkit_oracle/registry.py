@@ -21,7 +21,7 @@ REPORT_SQL: dict[str, str] = {
     "report_parent_entities": R.r5_parent_entities(["CernerMillenniumAPI", "CernerMillenniumR4"]),
     "report_bookings_np": R.r6_bookings("2024-01-01", "2024-02-01", "%raintree%"),
     "report_bookings_ep": R.r6_bookings("2024-01-01", "2024-01-31", "%raintree%"),
-    "report_no_availability": R.r7_no_availability("2023-12-01", "%raintree%", [""]),
+    "report_no_availability": R.r7_no_availability("2023-12-01", "%raintree%", ["P3", "P27", "P105", ""]),
 }
 
 
@@ -30,10 +30,11 @@ REPORT_SQL: dict[str, str] = {
 # list against the Spark schemas.
 DATE_COLUMNS: dict[str, tuple[str, ...]] = {
     "latest_snapshot_per_key": ("snapshot_date_est",),
-    "param_from_query": ("snapshot_month_eastern", "last_day_of_month"),
+    "param_from_query": ("last_day",),
     "project_predicate": ("snapshot_date_est",),
     "lateral_alias_window": ("snapshot_date_eastern",),
     "filter_not_in": ("snapshot_date_eastern",),
+    "filter_not_in_relation": ("snapshot_date_eastern",),
     "filter_not_equal": ("snapshot_date_eastern",),
     "filter_numeric_gt": ("snapshot_month_eastern",),
     "filter_period_eq": ("snapshot_month_eastern",),
