@@ -5,7 +5,7 @@ event-log derivations: the mapping history (flat and collapsed) and the
 latest PMS per sync database.  Run one by one, each re-numbers the whole
 location-mapping log.  The two roster runs both reduce the whole explorer
 and opportunity snapshot history to the latest row per provider.  Here
-those intermediates are derived once, written as reliable checkpoints, and
+those intermediates are derived once, written as Parquet to the shared folder, and
 handed to every run that needs them.
 """
 
@@ -40,7 +40,7 @@ ACTIVE_LOCATION_RUNS = {
 
 class Shared:
     """Intermediates shared by the runs of one month, each derived (and
-    checkpointed) on first use only."""
+    written) on first use only."""
 
     def __init__(self, cat: SourceCatalog):
         self.cat = cat
@@ -71,7 +71,11 @@ class Shared:
 
 
 def month_end_runs(cat: SourceCatalog, month: dt.date | str) -> dict[str, Callable[[], DataFrame]]:
-    """Named report builders for ``month`` (each returns a lazy DataFrame)."""
+    """Named report builders for ``month``.
+
+    Calling a builder derives the shared intermediates that it needs and are
+    not there yet (Spark jobs); the DataFrame that it returns is lazy.
+    """
     m = ReportMonth.of(month)
     sh = Shared(cat)
     runs: dict[str, Callable[[], DataFrame]] = {}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -69,6 +70,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     current = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if current:
+        if sc and not sc.master.startswith("local") and current.startswith("file:"):
+            warnings.warn(f"{current} must be mounted on every machine of the cluster", stacklevel=2)
         if sc and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from accrualkit.plans.registry import all_queries
-from accrualkit_oracle.registry import all_sql
+from accrualkit_oracle.registry import DATE_COLUMNS, all_sql
 from tools.oracle_check import compare, duck
 
 SF_SMALL = "/root/testdata/sf0.001"
@@ -58,3 +58,13 @@ def test_results_do_not_depend_on_session_time_zone(spark, duck_check, name):
         spark.conf.set("spark.sql.session.timeZone", old)
     ok, msg = compare(name, sdf, duck_check.execute(SQL[name]).df())
     assert ok, msg
+
+
+def test_raw_types_of_date_columns(spark, duck_small):
+    """Before delivery as timestamps, both sides have DATE columns."""
+    raw_sql, raw = all_sql(raw_dates=True), all_queries()
+    for name, columns in DATE_COLUMNS.items():
+        described = {r[0]: r[1] for r in duck_small.execute(f"describe {raw_sql[name]}").fetchall()}
+        types = dict(raw[name](spark, SF_SMALL).dtypes)
+        for c in columns:
+            assert (described[c], types[c]) == ("DATE", "date"), (name, c)
