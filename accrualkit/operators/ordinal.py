@@ -57,11 +57,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_hot_rows: int, max_hot_keys
     large = F.col("_occ_rows") > min_hot_rows
     listed = sizes.select(large.alias("_occ_large"), *[F.when(large, F.col(k)).alias(k) for k in keys], "_occ_rows")
     listed = reuse(listed.groupBy("_occ_large", *keys).agg(F.sum("_occ_rows").alias("_occ_rows")))
-    total = listed.agg(F.sum("_occ_rows")).first()[0] or 0
-    threshold = hot_key_threshold(int(total), min_hot_rows, max_hot_keys)
+    total, largest = listed.agg(F.sum("_occ_rows"), F.max(F.when(F.col("_occ_large"), F.col("_occ_rows")))).first()
+    threshold = hot_key_threshold(int(total or 0), min_hot_rows, max_hot_keys)
+    if (largest or 0) <= threshold:
+        return None, 0, threshold
     hot = listed.filter(F.col("_occ_large") & (F.col("_occ_rows") > threshold)).select(*keys, "_occ_rows")
-    rows = hot.agg(F.sum("_occ_rows")).first()[0]
-    return (hot, int(rows), threshold) if rows else (None, 0, threshold)
+    return hot, int(hot.agg(F.sum("_occ_rows")).first()[0]), threshold
 
 
 def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
