@@ -129,7 +129,7 @@ def shard(df: DataFrame, by: list[Column], shards: int, seed: int = 29, block_ro
     fields = ", ".join(f"{i} {f.dataType.simpleString()}" for i, f in zip(inner, df.schema.fields, strict=True))
     dealt = (
         plain.withColumn("block", block)
-        .repartition(blocks, "block")
+        .repartitionById(blocks, F.col("block").cast("int"))
         .sortWithinPartitions("block", "h")
         .mapInArrow(_deal(starts, cells, seed, len(inner) + 1), f"h long, {fields}, block long, cell long, key long")
     )
@@ -138,7 +138,7 @@ def shard(df: DataFrame, by: list[Column], shards: int, seed: int = 29, block_ro
     start = k * F.floor(size / per_shard) + F.least(k, size % per_shard)
     nth = F.row_number().over(Window.partitionBy("cell").orderBy("key", "h"))
     placed = (
-        dealt.repartition(max(1, min(blocks, len(cells))), "cell")
+        dealt.withColumn("cell", F.col("cell").cast("int")).repartitionById(len(cells), F.col("cell"))
         .withColumn("shard", F.floor(F.col("cell") / per_shard).cast("int"))
         .withColumn("slot", (start + nth - 1).cast("long"))
     )

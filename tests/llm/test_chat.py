@@ -4,7 +4,6 @@ import random
 
 import duckdb
 import pytest
-from cases import document_frame  # noqa: F401
 from pyspark.sql import types as T
 
 from accrualkit.llm import chat, queries
