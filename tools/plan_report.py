@@ -77,12 +77,12 @@ def main() -> None:
         "",
         "## Reading the table",
         "",
-        "* **R1 (api_practices).** The mapping rows of the selected PMS are read twice from one checkpoint "
+        "* **R1 (api_practices).** The mapping rows of the selected PMS are read twice from one written copy "
         "(the rows to report, and the still-synced set). Shuffles come from the distinct-count aggregate "
         "(grouped by practice and location first, then by practice), the per-practice provider count, the "
         "distinct still-synced locations and the final ordering. No window appears here: the occurrence "
         "numbering runs inside the checkpointed intermediate.",
-        "* **R2 (active_locations).** The active syncs are read three times from one checkpoint. The anti "
+        "* **R2 (active_locations).** The active syncs are read three times from one written copy. The anti "
         "join of superseded mappings has a build side that is already aggregated to one row per key. The "
         "provider/location union is distinct once, then counted per location.",
         "* **R3 (synced_addresses).** Top-1 per practice runs as a partial WindowGroupLimit below the single "
