@@ -10,13 +10,15 @@ window; two numbers fitted on whole training texts turn that into a
 probability.
 
 Labels belong to texts, not windows.  So training alternates: the worst window
-of each toxic text and some windows of clean texts (the worst of a few among
-them) make the examples, and after a few epochs they are picked again.  The
-embeddings start from the log-odds of words and n-grams in toxic texts.
+of every text and random windows of clean texts make the examples, and after a
+few epochs they are picked again.  The embeddings start from the log-odds of
+words and n-grams in toxic texts.
 
-Learning uses a bounded sample (``TRAIN_ROWS`` texts, ``TRAIN_WINDOWS`` evenly
-spread windows of each); scoring reads every window of every text, in chunks
-of bounded size however long a text is.
+Learning uses a bounded sample of rows (``TRAIN_ROWS`` texts).  Its texts stay
+whole and with Spark: tasks go through all windows of a text and return the
+worst one (by the log-odds of its words at first, by the network later) and the
+random ones that were drawn; the driver holds only these.  Scoring reads every
+window of every text as well, in chunks of bounded size however long a text is.
 
 Defined cases: a text that is null or has no word gets the score of an empty
 window; without labels of both kinds all scores are the share of toxic ones
@@ -29,14 +31,14 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accrualkit.llm.common import fresh, labelled_texts
+from accrualkit.llm.common import MASK64, fresh, labelled_texts, stored
 from accrualkit.llm.grams import WordRows
 from accrualkit.llm.grams import char_grams as grams_of_words
 
@@ -46,7 +48,7 @@ HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION = 8, 6, 8, 8
 GRAM_BITS = 15
 GRAM_BUCKETS = 1 << GRAM_BITS
 #: Bounds of the training sample.
-TRAIN_ROWS, TRAIN_WINDOWS, VOCABULARY = 4_000, 256, 30_000
+TRAIN_ROWS, VOCABULARY = 4_000, 30_000
 EPOCHS, STEPS, BATCH, RATE = 24, 400, 128, 0.01  # so many epochs and steps at least
 #: Words, and windows, that are handled at once in scoring.
 CHUNK_WORDS, CHUNK_WINDOWS, CACHE_WORDS = 1 << 17, 4096, 1 << 18
@@ -186,13 +188,12 @@ class Scorer:
     """Window log-odds of whole texts, with a bounded cache of projected words."""
 
     def __init__(self, net: Network):
-        self.net = net
+        self.net, self.empty = net, float(net.p["bias"][0])
         self.rows = WordRows(lambda words: np.concatenate(net.project(net.inputs(words)), axis=1), 6 * HIDDEN, CACHE_WORDS)
 
     def windows(self, pieces: list[list[str]]) -> list[np.ndarray]:
         """Log-odds of the windows of each word list (up to ``CHUNK_WORDS`` words altogether)."""
         flat = self.rows.indices([w for p in pieces for w in p])
-        tables = self.rows.table[:, : 3 * HIDDEN], self.rows.table[:, 3 * HIDDEN :]
         begins = np.cumsum([0, *map(len, pieces)])
         starts = [window_starts(len(p)) for p in pieces]
         first = np.concatenate([s + b for s, b in zip(starts, begins[:-1], strict=True)]).astype(np.int64)
@@ -202,11 +203,17 @@ class Scorer:
             part = slice(low, low + CHUNK_WINDOWS)
             at = first[part, None] + np.arange(WINDOW)
             mask = at < last[part, None]
-            out[part] = self.net.forward(tables, flat[np.minimum(at, len(flat) - 1)], mask)
+            out[part] = self.values(flat[np.minimum(at, len(flat) - 1)], mask)
         return np.split(out, np.cumsum([len(s) for s in starts])[:-1])
 
-    def worst(self, texts: Iterator[str | None]) -> np.ndarray:
-        """Log-odds of the worst window of each text; of an empty window where there is none."""
+    def values(self, ids: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        return self.net.forward((self.rows.table[:, : 3 * HIDDEN], self.rows.table[:, 3 * HIDDEN :]), ids, mask)
+
+    def worst(self, texts: Iterator[str | list[str] | None], found: list[list[str]] | None = None) -> np.ndarray:
+        """Log-odds of the worst window of each text (or its words); of an empty window where there is none.
+
+        ``found`` gets the words of these windows.
+        """
         best: list[float] = []
         waiting: list[tuple[int, list[str]]] = []
         held = 0
@@ -214,14 +221,20 @@ class Scorer:
         def flush():
             nonlocal held
             if waiting:
-                for (doc, _), logits in zip(waiting, self.windows([p for _, p in waiting]), strict=True):
-                    best[doc] = max(best[doc], float(logits.max()))
+                for (doc, piece), logits in zip(waiting, self.windows([p for _, p in waiting]), strict=True):
+                    at = int(logits.argmax())
+                    if logits[at] > best[doc]:
+                        best[doc] = float(logits[at])
+                        if found is not None:
+                            found[doc] = piece[at * STRIDE : at * STRIDE + WINDOW]
             waiting.clear()
             held = 0
 
         for doc, text in enumerate(texts):
-            words = words_of(text)
-            best.append(-math.inf if words else float(self.net.p["bias"][0]))
+            words = text if isinstance(text, list) else words_of(text)
+            best.append(-math.inf if words else self.empty)
+            if found is not None:
+                found.append([])
             step = CHUNK_WORDS // 2 // STRIDE * STRIDE
             for low in range(0, len(words), step):
                 piece = words[low : low + step + WINDOW - STRIDE]
@@ -253,85 +266,178 @@ def _association(with_it: np.ndarray, without: np.ndarray, n1: int, n0: int) ->
     return np.clip(np.sign(odds) * np.minimum(np.abs(odds), evidence), -2, 4)
 
 
+class Hints(Scorer):
+    """Values of windows before there is a network: the two strongest hints among the words."""
+
+    def __init__(self, known: dict[str, float], other: float, gram_odds: np.ndarray):
+        def hints(words: list[str]) -> np.ndarray:
+            bucket, owner = char_grams(words)
+            own = np.zeros(len(words))
+            np.maximum.at(own, owner, gram_odds[bucket])
+            return (own + np.fromiter((known.get(w, other) for w in words), np.float64, len(words)))[:, None]
+
+        self.empty = 0.0
+        self.rows = WordRows(hints, 1, CACHE_WORDS)
+
+    def values(self, ids: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        return np.sort(np.where(mask, self.rows.table[ids, 0], 0), axis=1)[:, -2:].sum(1)
+
+
+class Sample:
+    """Labelled training texts (id, h, text, y) of a table; what looks at whole texts runs in its tasks."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+
+    def run(self, each: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> pa.Table:
+        return self.rows.mapInArrow(each, schema).toArrow()
+
+    def totals(self, each: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], key: str, least: int) -> pa.Table:
+        """Sums of ``toxic`` and ``clean`` by the first column ``key``, where they make ``least`` or more."""
+        got = self.rows.mapInArrow(each, f"{key}, toxic long, clean long").groupBy(key.split()[0])
+        return got.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).filter(F.col("toxic") + F.col("clean") >= least).toArrow()
+
+
+class HeldSample(Sample):
+    """The same for word lists in memory."""
+
+    def __init__(self, texts: list[list[str]], y: np.ndarray):
+        n = len(texts)
+        columns = {"id": pa.array(range(n), pa.int64()), "h": pa.array([0] * n, pa.int64()), "text": pa.array([" ".join(t) for t in texts], pa.string()), "y": pa.array(np.asarray(y, np.int32))}
+        self.batch = pa.RecordBatch.from_pydict(columns)
+
+    def run(self, each, schema):
+        return pa.Table.from_batches(each(iter([self.batch])))
+
+    def totals(self, each, key, least):
+        name = key.split()[0]
+        got = self.run(each, key).group_by(name).aggregate([("toxic", "sum"), ("clean", "sum")])
+        sums = pa.table({name: got.column(name), "toxic": got.column("toxic_sum"), "clean": got.column("clean_sum")})
+        return sums.filter(pa.array(np.add(*(sums.column(c).to_numpy() for c in ("toxic", "clean"))) >= least))
+
+
+def _rows_of(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], int, list[str]]]:
+    """((id, h), y, words) of each text."""
+    for i, h, y, text in zip(*(batch.column(c).to_pylist() for c in ("id", "h", "y")), batch.column("text"), strict=True):
+        yield (i, h), y, words_of(text.as_py())
+
+
+def _about(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id, h and y of each text, and whether it has a word."""
+    for batch in batches:
+        has = pa.array([bool(_WORD.search(t.as_py() or "")) for t in batch.column("text")], pa.bool_())
+        yield pa.RecordBatch.from_arrays([*map(batch.column, ("id", "h", "y")), has], names=["id", "h", "y", "has"])
+
+
+def _word_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for _, y, words in _rows_of(batch):
+            own = pa.array(list(dict.fromkeys(words)), pa.string())
+            yield pa.RecordBatch.from_arrays([own, *(pa.array(np.full(len(own), n, np.int64)) for n in (y, 1 - y))], names=["word", "toxic", "clean"])
+
+
+def _gram_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros((2, GRAM_BUCKETS), np.int64)
+    for batch in batches:
+        for _, y, words in _rows_of(batch):
+            own, seen = list(dict.fromkeys(words)), np.zeros(GRAM_BUCKETS, bool)
+            for low in range(0, len(own), CHUNK_WORDS):
+                seen[char_grams(own[low : low + CHUNK_WORDS])[0]] = True
+            counts[y] += seen
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(GRAM_BUCKETS)), pa.array(counts[1]), pa.array(counts[0])], names=["bucket", "toxic", "clean"])
+
+
+CANDIDATES = "id long, h long, y int, nth int, value double, words string"
+
+
+def _candidates(scorers: Callable[[], dict[int, Scorer]], wanted: dict[tuple[int, int], int], turn: int):
+    """A pass over all windows of all texts: the worst one (nth 0) by the scorer of the text's label, and
+    as many random ones (nth 1 and on) as are ``wanted`` of the text."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_label = scorers()
+        for batch in batches:
+            labels = batch.column("y").to_numpy()
+            for label, scorer in by_label.items():
+                keys, found, random = [], [], []
+
+                def texts(own=batch.filter(pa.array(labels == label)), keys=keys, random=random):
+                    for key, _, words in _rows_of(own):
+                        keys.append(key)
+                        if words and key in wanted:
+                            starts = window_starts(len(words))
+                            drawn = np.random.default_rng([key[0] & MASK64, key[1] & MASK64, turn]).choice(starts, wanted[key])
+                            random += [(key, n, math.nan, words[s : s + WINDOW]) for n, s in enumerate(drawn.tolist(), 1)]
+                        yield words
+
+                values = scorer.worst(texts(), found)
+                out = [(k, 0, v, w) for k, v, w in zip(keys, values.tolist(), found, strict=True)] + random
+                columns = [[k[0] for k, *_ in out], [k[1] for k, *_ in out], [label] * len(out), *([r[c] for r in out] for c in (1, 2)), [" ".join(r[3]) for r in out]]
+                types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.string()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["id", "h", "y", "nth", "value", "words"])
+
+    return each
+
+
 def fit(texts: list[list[str]], y: np.ndarray, seed: int = 5) -> Network:
     """Train on word lists and their labels."""
+    return learn(HeldSample(texts, y), seed)
+
+
+def learn(sample: Sample, seed: int = 5) -> Network:
+    """Train on the texts of ``sample``."""
     rng = np.random.default_rng(seed)
-    y = np.asarray(y, np.float32)
+    about = sample.run(_about, "id long, h long, y int, has boolean").sort_by([("id", "ascending"), ("h", "ascending")])
+    y, has = about.column("y").to_numpy(), about.column("has").to_numpy()
     n1, n0 = int(y.sum()), int((1 - y).sum())
     if not n1 or not n0:
         net = Network({}, rng)
         share = min(1 - 1e-6, max(1e-6, n1 / max(1, n1 + n0)))
         net.scale, net.shift = 0.0, math.log(share / (1 - share))
         return net
-    seen = Counter(w for t in texts for w in set(t))
-    common = sorted((w for w, n in seen.items() if n >= 2), key=lambda w: (-seen[w], w))[:VOCABULARY]
-    net = Network({w: i + 1 for i, w in enumerate(common)}, rng)
-    everything = sorted(seen)
-    index = {w: i for i, w in enumerate(everything)}
-    ids = [np.fromiter(map(index.__getitem__, t), np.int64, len(t)) for t in texts]
-    bucket, owner = char_grams(everything)
-    by_owner = np.argsort(owner, kind="stable")
-    bucket, ends = bucket[by_owner], np.cumsum(np.bincount(owner, minlength=len(everything)))
-
-    def grams_of(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        lengths = ends[words] - np.where(words > 0, ends[words - 1], 0)
-        at = np.repeat(ends[words] - np.cumsum(lengths), lengths) + np.arange(lengths.sum())
-        return bucket[at], np.repeat(np.arange(len(words)), lengths)
+    keys = list(zip(about.column("id").to_pylist(), about.column("h").to_pylist(), strict=True))
+    toxic, clean = np.flatnonzero((y == 1) & has), np.flatnonzero((y == 0) & has)
 
     # embeddings start from log-odds: of words by texts, of n-grams by texts
-    word_texts, gram_texts = np.zeros((2, len(everything))), np.zeros((2, GRAM_BUCKETS))
-    for t, label in zip(ids, y.astype(int), strict=True):
-        own = np.unique(t)
-        word_texts[label, own] += 1
-        gram_texts[label, np.unique(grams_of(own)[0])] += 1
-    word_odds = _association(word_texts[1], word_texts[0], n1, n0)
-    gram_odds = _association(gram_texts[1], gram_texts[0], n1, n0)
-    for w, i in net.vocabulary.items():
-        net.p["words"][i, 0] = 0.3 * word_odds[index[w]]
+    seen = sample.totals(_word_texts, "word string", 2)
+    words, with_it, without = seen.column("word").to_pylist(), *(seen.column(c).to_numpy() for c in ("toxic", "clean"))
+    word_odds = _association(with_it, without, n1, n0)
+    common = sorted(range(len(words)), key=lambda i: (-with_it[i] - without[i], words[i]))[:VOCABULARY]
+    net = Network({words[w]: i + 1 for i, w in enumerate(common)}, rng)
+    net.p["words"][1:, 0] = 0.3 * word_odds[common]
+    grams = sample.totals(_gram_texts, "bucket long", 0).sort_by("bucket")
+    gram_odds = _association(*(grams.column(c).to_numpy() for c in ("toxic", "clean")), n1, n0)
     net.p["grams"][:, 0] = 0.6 * gram_odds
-    hint = np.clip(word_odds, 0, None)
-    char_hint = np.zeros(len(everything))
-    np.maximum.at(char_hint, np.repeat(np.arange(len(everything)), np.diff(ends, prepend=0)), gram_odds[bucket])
-    hint = hint + np.clip(char_hint, 0, None)
-
-    starts = [window_starts(len(t)) for t in ids]
-    toxic, clean = np.flatnonzero((y == 1) & [len(s) > 0 for s in starts]), np.flatnonzero((y == 0) & [len(s) > 0 for s in starts])
+    known = {w: max(0.0, odds) for w, odds in zip(words, word_odds.tolist(), strict=True)}
+    # any other word is in no other text, so the label of its text tells its odds
+    other = max(0.0, float(_association(np.ones(1), np.zeros(1), n1, n0)[0]))
 
-    def batch_of(picked: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(distinct words, their positions by window, mask) of (text, start) windows."""
+    def batch_of(picked: list[list[str]]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(distinct words, their positions by window, mask) of windows."""
+        index: dict[str, int] = {}
         at, mask = np.zeros((len(picked), WINDOW), np.int64), np.zeros((len(picked), WINDOW), bool)
-        for k, (t, s) in enumerate(picked):
-            part = ids[t][s : s + WINDOW]
-            at[k, : len(part)], mask[k, : len(part)] = part, True
-        distinct, where = np.unique(at, return_inverse=True)
-        return distinct, where.reshape(at.shape), mask
-
-    def logits(picked: list[tuple[int, int]]) -> np.ndarray:
-        out = []
-        for low in range(0, len(picked), CHUNK_WINDOWS):
-            distinct, at, mask = batch_of(picked[low : low + CHUNK_WINDOWS])
-            x = net.inputs([everything[i] for i in distinct], grams_of(distinct))
-            out.append(net.forward(net.project(x), at, mask))
-        return np.concatenate(out) if out else np.zeros(0)
-
-    def worst_of(which: np.ndarray, per_text: int | None, by_hint: bool) -> list[tuple[int, int]]:
-        some = [(int(t), int(s)) for t in which for s in (starts[t] if per_text is None or len(starts[t]) <= per_text else rng.choice(starts[t], per_text, replace=False))]
-        value = np.array([np.sort(hint[ids[t][s : s + WINDOW]])[-2:].sum() for t, s in some]) if by_hint else logits(some)
-        best: dict[int, tuple[float, int]] = {}
-        for (t, s), v in zip(some, value.tolist(), strict=True):
-            if t not in best or v > best[t][0]:
-                best[t] = (v, s)
-        return [(t, s) for t, (_, s) in best.items()]
+        for k, part in enumerate(picked):
+            at[k, : len(part)], mask[k, : len(part)] = [index.setdefault(w, len(index)) for w in part], True
+        return list(index), at, mask
 
     per_epoch = max(1, -(-min(5 * len(toxic), 4 * len(toxic) + len(clean)) // BATCH))
     epochs = max(EPOCHS, -(-STEPS // per_epoch))
+    turn = max(4, epochs // 6)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
     for epoch in range(epochs):
-        if epoch % max(4, epochs // 6) == 0:
-            positive = worst_of(toxic, None, epoch == 0)
-            hard = worst_of(clean, 8, epoch == 0)
-        easy = [(int(t), int(rng.choice(starts[t]))) for t in rng.choice(clean, min(len(clean), len(positive)), replace=False)]
+        if epoch % turn == 0:
+            drawn = [rng.choice(clean, min(len(clean), len(toxic)), replace=False) for _ in range(turn)]
+            scorers = (lambda: {0: Hints(known, 0.0, gram_odds), 1: Hints(known, other, gram_odds)}) if epoch == 0 else (lambda: dict.fromkeys((0, 1), Scorer(net)))
+            got = sample.run(_candidates(scorers, dict(Counter(keys[t] for d in drawn for t in d)), epoch), CANDIDATES)
+            got = got.sort_by([("id", "ascending"), ("h", "ascending"), ("nth", "ascending")])
+            positive, hard, random = [], [], {}
+            for *key, label, nth, part in zip(*(got.column(c).to_pylist() for c in ("id", "h", "y", "nth", "words")), strict=True):
+                if nth:
+                    random.setdefault(tuple(key), []).append(part.split())
+                elif part:
+                    (positive if label else hard).append(part.split())
+        easy = [random[keys[t]].pop() for t in drawn[epoch % turn]]
         hard_now = [hard[i] for i in rng.choice(len(hard), min(len(hard), 3 * len(positive)), replace=False)]
         windows = positive + hard_now + easy
         target = np.r_[np.ones(len(positive)), np.zeros(len(windows) - len(positive))].astype(np.float32)
@@ -340,7 +446,7 @@ def fit(texts: list[list[str]], y: np.ndarray, seed: int = 5) -> Network:
             part = order[low : low + BATCH]
             distinct, at, mask = batch_of([windows[i] for i in part])
             weight = np.where(target[part] == 1, 2.0, 1.0).astype(np.float32)
-            grads = net.gradients([everything[i] for i in distinct], grams_of(distinct), at, mask, target[part], weight)
+            grads = net.gradients(distinct, char_grams(distinct), at, mask, target[part], weight)
             step += 1
             rate = RATE * min(1.0, step / 50) * (1 - 0.9 * epoch / epochs)
             norm = math.sqrt(sum(float((g.astype(np.float64) ** 2).sum()) for g in grads.values()))
@@ -350,13 +456,13 @@ def fit(texts: list[list[str]], y: np.ndarray, seed: int = 5) -> Network:
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
                 net.p[k] -= (rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
-    _calibrate(net, texts, y)
+    got = sample.run(_candidates(lambda: dict.fromkeys((0, 1), Scorer(net)), {}, epochs), CANDIDATES).sort_by([("id", "ascending"), ("h", "ascending")])
+    _calibrate(net, got.column("value").to_numpy(), got.column("y").to_numpy())
     return net
 
 
-def _calibrate(net: Network, texts: list[list[str]], y: np.ndarray) -> None:
-    """Scale and shift of the worst window's log-odds, by logistic regression on whole texts."""
-    x = Scorer(net).worst(" ".join(t) for t in texts)
+def _calibrate(net: Network, x: np.ndarray, y: np.ndarray) -> None:
+    """Scale and shift of the log-odds ``x`` of the worst windows of whole texts, by logistic regression."""
     mean, spread = x.mean(), max(1e-6, x.std())
     z, a, b = (x - mean) / spread, 1.0, 0.0
     for _ in range(50):
@@ -369,26 +475,11 @@ def _calibrate(net: Network, texts: list[list[str]], y: np.ndarray) -> None:
     net.scale, net.shift = a / spread, b - a * mean / spread
 
 
-def _training_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of up to TRAIN_WINDOWS windows, evenly spread over the whole text, as one text."""
-    for batch in batches:
-        texts = []
-        for t in batch.column(0):
-            words = words_of(t.as_py())
-            n = -(-len(words) // STRIDE)
-            if n > TRAIN_WINDOWS:
-                kept = (np.arange(TRAIN_WINDOWS) * n) // TRAIN_WINDOWS * STRIDE
-                words = [w for s in kept for w in words[s : s + STRIDE]]
-            texts.append(" ".join(words))
-        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column(1), batch.column(2)], names=["text", "y", "id"])
-
-
 def train(docs: DataFrame, labels: DataFrame, label: str, divisor: int, held_out: int, rows: int = TRAIN_ROWS) -> Network:
     """The network for ``label``, learned where crc32(doc_id) mod ``divisor`` is not ``held_out``."""
     sample = labelled_texts(docs, labels, label, divisor, held_out, rows)
-    got = sample.select("text", "y", "id").mapInArrow(_training_words, "text string, y int, id long").toArrow()
-    got = got.sort_by([("id", "ascending"), ("text", "ascending")])
-    return fit([t.split() for t in got.column("text").to_pylist()], got.column("y").to_numpy())
+    rows = sample.select("id", F.xxhash64("text").alias("h"), "text", "y").repartition(docs.sparkSession.sparkContext.defaultParallelism)
+    return learn(Sample(stored(rows, "toxicity-sample")))
 
 
 def scorer(net: Network):

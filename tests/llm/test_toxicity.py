@@ -91,3 +91,22 @@ def test_without_labels(spark):
     docs = document_frame(spark, odd_texts())
     net = toxicity.train(docs, spark.createDataFrame([], "doc_id long, toxic int"), "toxic", 5, 0)
     assert toxicity.without_toxic(docs, net).count() == len(odd_texts())
+
+
+def test_training_reads_every_window_of_long_texts(spark):
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(60)]
+    texts = [list(rng.choice(words, 6000)) for _ in range(60)]
+    # 256 evenly spread fragments of 16 words would miss these places
+    spread = set((np.arange(256) * 375 // 256).tolist())
+    places = [f for f in range(375) if f not in spread]
+    for t in texts[::2]:
+        t[16 * rng.choice(places) + rng.integers(16)] = "nastyone"
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(60)], "doc_id long, toxic int")
+    net = toxicity.train(docs, labels, "toxic", 1, 1)
+    clean = " ".join(words * 20)
+    s = toxicity.Scorer(net).scores([clean, clean + " nastyone " + clean])
+    assert s[0] < 0.5 < s[1]
+    x = toxicity.Scorer(net).worst(" ".join(t) for t in texts)
+    assert (x[::2].min() > x[1::2].max()) and ((net.scale * x + net.shift > 0) == (np.arange(60) % 2 == 0)).all()
