@@ -6,9 +6,8 @@ common words, the word itself, as log-probabilities learned per language.
 Viterbi over the words, with a penalty for switching, labels spans; the
 language of a text is the one whose spans have the most letters.
 
-Languages are learned from a bounded sample of labelled texts (``TEXTS``
-texts of each of the ``LANGUAGES`` most frequent languages) reduced to the
-``WORDS`` most frequent words of each.  Labels belong to texts and texts are
+Every labelled language is learned, from a bounded sample (``TEXTS`` of its
+texts) reduced to its ``WORDS`` most frequent words.  Labels belong to texts and texts are
 mixed, so the counts are taken twice: the second time without the words that
 the first model gives to another language.  Every text is labelled as a whole.
 
@@ -36,13 +35,14 @@ from accrualkit.llm.grams import WordRows, char_grams
 
 UNKNOWN = "und"
 #: Bounds of what is learned from.
-LANGUAGES, TEXTS, WORDS = 64, 2_000, 30_000
+TEXTS, WORDS = 2_000, 30_000
 GRAM_LOW, GRAM_HIGH, GRAM_BITS = 1, 4, 16
 #: Log-odds that a switch of language costs, and the most that one word says against a language.
 SWITCH, WORST = 8.0, 12.0
 #: Share of a language's words that a script needs to count as its script.
 SCRIPT_SHARE = 0.02
-CHUNK_WORDS = 1 << 19
+#: Words handled at once with up to ``CHUNK_LANGUAGES`` languages (fewer words with more), and words scored at once with one.
+CHUNK_WORDS, CHUNK_LANGUAGES, SCORED_WORDS = 1 << 19, 64, 1 << 22
 
 _WORD = re.compile(r"[^\W\d_]+")
 # First code points of script blocks and the script from there on
@@ -78,17 +78,36 @@ class LanguageModel:
     scripts: list[set[str]] = field(default_factory=list)
     grams: np.ndarray = field(default_factory=lambda: np.zeros((1 << GRAM_BITS, 0), np.float32))
     words: dict[str, int] = field(default_factory=dict)
-    word_scores: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
+    #: Log-share of an unseen word in each language, and the best log-share of each of ``words``.
+    unseen: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    best: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    #: (begin in ``seen_in`` by word, languages the word was seen in, log-shares there).
+    begins: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    seen_in: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    shares: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+    def word_scores(self, known: np.ndarray) -> np.ndarray:
+        """Log-scores of some of ``words`` as wholes, by language."""
+        out = np.clip(self.unseen - self.best[known, None], -6, 0)
+        n = self.begins[known + 1] - self.begins[known]
+        at = np.repeat(self.begins[known + 1] - np.cumsum(n), n) + np.arange(n.sum())
+        row = np.repeat(np.arange(len(known)), n)
+        out[row, self.seen_in[at]] = np.clip(self.shares[at] - self.best[known][row], -6, 0)
+        return out
 
     def scores(self, words: list[str]) -> np.ndarray:
         """Log-score of each word in each language, 0 for the best; then its number of letters."""
+        step = max(1, SCORED_WORDS // max(1, len(self.languages)))
+        return np.concatenate([self._scores(words[low : low + step]) for low in range(0, max(1, len(words)), step)])
+
+    def _scores(self, words: list[str]) -> np.ndarray:
         n, k = len(words), len(self.languages)
         bucket, owner = char_grams(words, GRAM_LOW, GRAM_HIGH, GRAM_BITS)
         count = np.bincount(owner, minlength=n)
         picked = self.grams[bucket]
         out = np.stack([np.bincount(owner, picked[:, j], n) for j in range(k)], 1) / np.sqrt(np.maximum(1, count))[:, None]
         known = np.fromiter((self.words.get(w, -1) for w in words), np.int64, n)
-        out[known >= 0] += self.word_scores[known[known >= 0]]
+        out[known >= 0] += self.word_scores(known[known >= 0])
         letters = np.fromiter((sum(map(str.isalpha, w)) for w in words), np.float32, n)
         own = [script_of(w) for w in words]
         for j, scripts in enumerate(self.scripts):
@@ -107,30 +126,39 @@ def learn(counts: list[tuple[str, str, int]], languages: list[str]) -> LanguageM
     place = {name: j for j, name in enumerate(languages)}
     vocabulary = sorted({w for _, w, _ in counts})
     index = {w: i for i, w in enumerate(vocabulary)}
-    table = np.zeros((len(vocabulary), len(languages)))
-    for name, word, n in counts:
-        table[index[word], place[name]] += n
-    scripts = np.array([script_of(w) for w in vocabulary])
-    bucket, owner = char_grams(vocabulary, GRAM_LOW, GRAM_HIGH, GRAM_BITS)
+    word = np.fromiter((index[w] for _, w, _ in counts), np.int64, len(counts))
+    lang = np.fromiter((place[name] for name, _, _ in counts), np.int32, len(counts))
+    order = np.lexsort((lang, word))
+    word, lang, n = word[order], lang[order], np.fromiter((n for *_, n in counts), np.float64, len(counts))[order]
+    scripts, script = np.unique([script_of(w) for w in vocabulary], return_inverse=True)
+    own = [np.flatnonzero(lang == j) for j in range(len(languages))]
 
     def model(weights: np.ndarray) -> LanguageModel:
-        total = np.maximum(1.0, weights.sum(0))
-        in_script = {s: weights[scripts == s].sum(0) / total for s in set(scripts.tolist())}
-        used = [{s for s, share in in_script.items() if share[j] >= SCRIPT_SHARE} for j in range(len(languages))]
-        # frequent words should not drown the rest: n-grams count word types by the root of their tokens
-        root = np.sqrt(weights)
-        grams = np.stack([np.bincount(bucket, root[owner, j], 1 << GRAM_BITS) for j in range(len(languages))], 1)
-        grams = np.log((grams + 0.2) / (grams.sum(0) + 0.2 * (1 << GRAM_BITS)))
-        frequent = np.flatnonzero(weights.sum(1) >= 3)
-        share = np.log((weights[frequent] + 0.2) / (total + 0.2 * len(vocabulary)))
-        word_scores = np.clip(share - share.max(1, keepdims=True), -6, 0)
-        return LanguageModel(languages, used, grams.astype(np.float32), {vocabulary[i]: k for k, i in enumerate(frequent)}, word_scores.astype(np.float32))
-
-    first = model(table)
-    better = np.empty_like(table)
-    for low in range(0, len(vocabulary), 1 << 16):
-        better[low : low + (1 << 16)] = first.scores(vocabulary[low : low + (1 << 16)])[:, : len(languages)]
-    return model(np.where(better > -SWITCH / 2, table, 0.05 * table))
+        total = np.maximum(1.0, np.bincount(lang, weights, len(languages)))
+        used, grams = [], np.empty((1 << GRAM_BITS, len(languages)), np.float32)
+        for j, at in enumerate(own):
+            share = np.bincount(script[word[at]], weights[at], len(scripts)) / total[j]
+            used.append(set(scripts[share >= SCRIPT_SHARE].tolist()))
+            # frequent words should not drown the rest: n-grams count word types by the root of their tokens
+            bucket, owner = char_grams([vocabulary[i] for i in word[at]], GRAM_LOW, GRAM_HIGH, GRAM_BITS)
+            g = np.bincount(bucket, np.sqrt(weights[at])[owner], 1 << GRAM_BITS)
+            grams[:, j] = np.log((g + 0.2) / (g.sum() + 0.2 * (1 << GRAM_BITS)))
+        common = np.bincount(word, weights, len(vocabulary)) >= 3
+        kept = common[word]
+        frequent = np.flatnonzero(common)
+        room = total + 0.2 * len(vocabulary)
+        shares, unseen = np.log((weights[kept] + 0.2) / room[lang[kept]]), np.log(0.2 / room)
+        begins = np.r_[0, np.cumsum(np.bincount(word[kept], minlength=len(vocabulary))[frequent])]
+        best = np.maximum(np.maximum.reduceat(shares, begins[:-1]), unseen.max()) if len(frequent) else np.zeros(0)
+        return LanguageModel(languages, used, grams, {vocabulary[i]: k for k, i in enumerate(frequent)}, unseen, best, begins, lang[kept], shares)
+
+    first = model(n)
+    kept = np.empty(len(n), bool)
+    step = max(1, SCORED_WORDS // len(languages))
+    for low in range(0, len(vocabulary), step):
+        part = slice(*np.searchsorted(word, (low, low + step)))
+        kept[part] = first.scores(vocabulary[low : low + step])[word[part] - low, lang[part]] > -SWITCH / 2
+    return model(np.where(kept, n, 0.05 * n))
 
 
 def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float = SWITCH) -> np.ndarray:
@@ -138,7 +166,7 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float = SWITCH) ->
     begins = np.cumsum(lengths) - lengths
     order = np.argsort(-lengths, kind="stable")
     begins, lengths = begins[order], lengths[order]
-    labels = np.zeros(len(scores), np.int16)
+    labels = np.zeros(len(scores), np.int32)
     if not len(lengths) or not lengths[0]:
         return labels
     active = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right")  # texts with more than t words
@@ -150,11 +178,11 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float = SWITCH) ->
             best = v.argmax(1)
             jump = v[np.arange(n), best, None] - np.float32(penalty)
             switched.append(jump > v)
-            source.append(best.astype(np.int16))
+            source.append(best.astype(np.int32))
             v = np.maximum(v, jump)
             v -= v.max(1, keepdims=True)
         value[:n] = v + scores[begins[:n] + t]
-    current = value.argmax(1).astype(np.int16)
+    current = value.argmax(1).astype(np.int32)
     for t in range(len(active) - 1, -1, -1):
         n = int(active[t])
         labels[begins[:n] + t] = current[:n]
@@ -165,18 +193,19 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float = SWITCH) ->
 
 
 class Labeller:
-    """Labels whole texts, in chunks of about ``CHUNK_WORDS`` words."""
+    """Labels whole texts, in chunks of about ``CHUNK_WORDS`` words (fewer if there are many languages)."""
 
     def __init__(self, model: LanguageModel):
         self.model = model
-        self.rows = WordRows(model.scores, len(model.languages) + 2, CHUNK_WORDS)
+        self.chunk = max(1, CHUNK_WORDS * CHUNK_LANGUAGES // max(CHUNK_LANGUAGES, len(model.languages)))
+        self.rows = WordRows(model.scores, len(model.languages) + 2, self.chunk)
 
     def _chunk(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(labels of all words, letters that count, letters)."""
         flat = [w for t in texts for w in t]
         parts = []
-        for low in range(0, len(flat), CHUNK_WORDS):  # a text may be longer than a chunk
-            at = self.rows.indices(flat[low : low + CHUNK_WORDS])
+        for low in range(0, len(flat), self.chunk):  # a text may be longer than a chunk
+            at = self.rows.indices(flat[low : low + self.chunk])
             parts.append(self.rows.table[at])
         scored = np.concatenate(parts) if parts else np.zeros((0, len(self.model.languages) + 2), np.float32)
         labels = viterbi(scored[:, :-2], np.array([len(t) for t in texts], np.int64))
@@ -220,7 +249,7 @@ class Labeller:
 
         for text in texts:
             words = words_of(text)
-            if held + len(words) > CHUNK_WORDS:
+            if held + len(words) > self.chunk:
                 flush()
                 waiting, held = [], 0
             waiting.append(words)
@@ -229,15 +258,16 @@ class Labeller:
         return names, scores
 
 
-def train(docs: DataFrame, languages: int = LANGUAGES, texts: int = TEXTS, words: int = WORDS) -> LanguageModel:
+def train(docs: DataFrame, texts: int = TEXTS, words: int = WORDS) -> LanguageModel:
     """The model of the labelled ``docs`` (text, lang); rows without a language are ignored."""
     known = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter("lang is not null and text is not null")
-    frequent = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
+    frequent = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     if not frequent:
         return LanguageModel()
     grain = 1 << 30
-    share = F.create_map(*[F.lit(x) for r in frequent for x in (r["lang"], min(grain, int(grain * texts / r["count"]) + 1))])
-    sample = known.filter(F.pmod(F.xxhash64("text", F.lit(11)), F.lit(grain)) < share[F.col("lang")])
+    shares = docs.sparkSession.createDataFrame([(r["lang"], min(grain, int(grain * texts / r["count"]) + 1)) for r in frequent], "lang string, share long")
+    picked = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(grain)) < F.col("share")
+    sample = known.join(F.broadcast(shares), "lang").filter(picked).select("text", "lang")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -78,3 +78,14 @@ def test_long_texts_in_chunks(monkeypatch, spark):
     whole = langid.Labeller(model).predict(texts)
     monkeypatch.setattr(langid, "CHUNK_WORDS", 256)
     assert langid.Labeller(model).predict(texts) == whole
+
+
+def test_every_language_is_learned(spark):
+    rng = random.Random(6)
+    syllables = ["".join(p) for p in zip(*[iter(rng.choices("bcdfghjklmnpqrstvwxyz", k=630))] * 3)]
+    own = {f"l{i:02d}": syllables[3 * i : 3 * i + 3] for i in range(70)}
+    text = lambda lang: " ".join("".join(rng.choices(own[lang], k=2)) for _ in range(30))
+    seen = [(lang, text(lang)) for lang in own for _ in range(4 if lang > "l03" else 2)]
+    model = langid.train(document_frame(spark, [(i, t, lang) for i, (lang, t) in enumerate(seen)]))
+    assert sorted(model.languages) == sorted(own)
+    assert langid.Labeller(model).predict([text(lang) for lang in own])[0] == list(own)
