@@ -7,7 +7,7 @@ Viterbi over the words, with a penalty for switching, labels spans; the
 language of a text is the one whose spans have the most letters.
 
 Every labelled language is learned, from a bounded sample (``TEXTS`` of its
-texts) reduced to its ``WORDS`` most frequent words.  Labels belong to texts and texts are
+distinct texts) reduced to its ``WORDS`` most frequent words.  Labels belong to texts and texts are
 mixed, so the counts are taken twice: the second time without the words that
 the first model gives to another language.  Every text is labelled as a whole.
 
@@ -261,13 +261,15 @@ class Labeller:
 def train(docs: DataFrame, texts: int = TEXTS, words: int = WORDS) -> LanguageModel:
     """The model of the labelled ``docs`` (text, lang); rows without a language are ignored."""
     known = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter("lang is not null and text is not null")
-    frequent = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
+    hashed = F.xxhash64("text", F.lit(11))
+    distinct = known.groupBy("lang", hashed.alias("h")).agg(F.count("*").alias("n"))
+    frequent = distinct.groupBy("lang").agg(F.sum("n").alias("rows"), F.count("*").alias("texts")).orderBy(F.desc("rows"), "lang").collect()
     if not frequent:
         return LanguageModel()
     grain = 1 << 30
-    shares = docs.sparkSession.createDataFrame([(r["lang"], min(grain, int(grain * texts / r["count"]) + 1)) for r in frequent], "lang string, share long")
-    picked = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(grain)) < F.col("share")
-    sample = known.join(F.broadcast(shares), "lang").filter(picked).select("text", "lang")
+    shares = docs.sparkSession.createDataFrame([(r["lang"], min(grain, int(grain * texts / r["texts"]) + 1)) for r in frequent], "lang string, share long")
+    picked = F.pmod(hashed, F.lit(grain)) < F.col("share")
+    sample = known.join(F.broadcast(shares), "lang").filter(picked).select("text", "lang").distinct()
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -89,3 +89,14 @@ def test_every_language_is_learned(spark):
     model = langid.train(document_frame(spark, [(i, t, lang) for i, (lang, t) in enumerate(seen)]))
     assert sorted(model.languages) == sorted(own)
     assert langid.Labeller(model).predict([text(lang) for lang in own])[0] == list(own)
+
+
+def test_copies_count_once(spark, monkeypatch):
+    rng = random.Random(7)
+    names = "abcdefghijkl"
+    seen = [(f"copy{'x' * i} {name}", name) for i, name in enumerate(names, 1) for _ in range(100)]
+    seen += [(text_of("aa", 8, rng), name) for name in names for _ in range(100)]
+    monkeypatch.setattr(langid, "learn", lambda counts, languages: counts)
+    counts = langid.train(document_frame(spark, [(i, *r) for i, r in enumerate(seen)]), texts=50)
+    copied = [n for _, word, n in counts if word.startswith("copy")]
+    assert copied and max(copied) == 1
