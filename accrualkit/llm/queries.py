@@ -5,10 +5,11 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accrualkit.llm import ann, chat, decontaminate, langid, mixing, quality, sharding, simhash, substring, toxicity
+from accrualkit.llm import ann, bytebpe, chat, decontaminate, langid, mixing, quality, sharding, simhash, substring, toxicity
 from accrualkit.llm.common import documents, remainder, stored, table
 
 SHARDS = 8
@@ -92,6 +93,17 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op11_bytebpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encode, decode = bytebpe.encoder(ranks, public_tokenizers.PATTERN), bytebpe.decoder(ranks)
+    ids = documents(spark, sf_dir).select("doc_id", encode(F.col("text")).alias("ids"))
+    both = ids.select("doc_id", "ids", decode(F.col("ids")).alias("decoded"))
+    return both.select(
+        "doc_id", bytebpe.id_count(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_quality": op2_quality,
@@ -103,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring": op8_substring,
     "op9_sharding": op9_sharding,
     "op10_ann": op10_ann,
+    "op11_bytebpe": op11_bytebpe,
 }
 
 ORACLES: dict[str, str] = {
