@@ -52,7 +52,7 @@ WHITE = "\t-\r \x85\xa0  -     　"
 STRETCH = re.compile(rf"[{WHITE}]*[^\W_]+(?=[!-/:-@\[-`{{-~])|[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 #: Stretches of up to so many characters are remembered, and so many of them.
 SHORT = 48
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 PAIRS = 1_000_000
 #: Stretches that are joined at a time.
 SLICE = 1 << 16

@@ -30,8 +30,8 @@ def shuffles_released(spark: SparkSession):
         spark.conf.set(RELEASE, before)
 
 
-def stored(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back.
+def stored(df: DataFrame, tag: str, **options: str) -> DataFrame:
+    """``df`` written once to the shared folder (Parquet, with the writer's ``options``) and read back.
 
     Cuts the lineage: whatever is lost later is read again from the files,
     which every executor reaches.
@@ -39,7 +39,7 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, tag)
     with shuffles_released(spark):
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accrualkit.llm import ann, bytebpe, chat, decontaminate, langid, mixing, quality, sharding, simhash, substring, toxicity
+from accrualkit.llm import align, ann, bytebpe, chat, decontaminate, langid, merkle, mixing, quality, sharding, simhash, substring, toxicity
 from accrualkit.llm.common import documents, remainder, stored, table
 
 SHARDS = 8
@@ -104,6 +104,24 @@ def op11_bytebpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bytes_, pieces = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    rows = align.align(documents(spark, sf_dir), F.col("text"), [F.col("doc_id")], bytes_, pieces, digest=True)
+    return rows.withColumnRenamed("grouping", "groups_sha256")
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = lambda n_chars: [F.col("doc_id"), F.col("source"), F.col("lang"), n_chars, F.col("text")]
+    leaf = merkle.leaf_digest(*fields(F.col("n_chars")))
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, merkle.leaf_digest(*fields(F.col("n_chars") + 1)))
+    tree = merkle.manifest(documents(spark, sf_dir), F.col("lang"), [F.col("doc_id")], leaf, [F.col("doc_id"), tampered.alias("tampered")])
+    proven = tree.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root", merkle.digest(merkle.siblings(F.col("path"))).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_quality": op2_quality,
@@ -116,6 +134,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_ann": op10_ann,
     "op11_bytebpe": op11_bytebpe,
+    "op12_align": op12_align,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLES: dict[str, str] = {
@@ -156,4 +176,66 @@ ORACLES: dict[str, str] = {
         FROM doc_shingles JOIN item_shingles USING (k, s) JOIN sizes USING (item_id)
         GROUP BY doc_id, item_id HAVING count(*) >= 0.8 * any_value(shingles)
     """,
+    "op13_merkle": r"""
+        WITH RECURSIVE fields AS (
+            SELECT *,
+                list_reduce([4294967295::UBIGINT] || flatten([
+                    [ord(c)::UBIGINT, 0, 0, 0, 0, 0, 0, 0] FOR c IN string_split(doc_id::VARCHAR, '')
+                ]), lambda crc, b: xor(xor(crc, b) >> 1, (xor(crc, b) % 2) * 3988292384::UBIGINT)) AS crc,
+                concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                    coalesce(strlen(lang) || ':' || lang, '-')) AS head,
+                coalesce(strlen(text) || ':' || text, '-') AS tail
+            FROM documents
+        ), hashed AS (
+            SELECT doc_id, lang, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+                CASE WHEN xor(crc, 4294967295::UBIGINT) % 7 = 0
+                    THEN sha256(head || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || tail) END AS tampered
+            FROM fields
+        ), leaves AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n
+            FROM hashed
+        ), nodes(lang, level, idx, n, digest) AS (
+            SELECT lang, 0, idx, n, leaf FROM leaves
+            UNION ALL
+            SELECT lang, level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY idx))
+            FROM nodes WHERE n > 1 GROUP BY lang, level, idx // 2, n
+        ), subroots AS (
+            SELECT lang, level AS height, digest, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, count(*) OVER () AS n
+            FROM nodes WHERE n = 1
+        ), tops(level, idx, n, digest) AS (
+            SELECT 0, idx, n, digest FROM subroots
+            UNION ALL
+            SELECT level + 1, idx // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY idx))
+            FROM tops WHERE n > 1 GROUP BY level, idx // 2, n
+        ), steps AS (
+            SELECT w.lang, w.idx, w.at AS level, (w.idx >> w.at) % 2 AS own, s.digest AS sibling
+            FROM (SELECT l.lang, l.idx, unnest(range(r.height)) AS at FROM leaves l JOIN subroots r ON l.lang IS NOT DISTINCT FROM r.lang) w
+            LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM w.lang AND s.level = w.at AND s.idx = xor(w.idx >> w.at, 1)
+        ), heights AS (SELECT max(level) AS height FROM tops),
+        upper_steps AS (
+            SELECT w.lang, w.height + w.at AS level, (w.idx >> w.at) % 2 AS own, t.digest AS sibling
+            FROM (SELECT r.lang, r.idx, r.height, unnest(range(h.height)) AS at FROM subroots r, heights h) w
+            LEFT JOIN tops t ON t.level = w.at AND t.idx = xor(w.idx >> w.at, 1)
+        ), paths AS (
+            SELECT * FROM steps
+            UNION ALL
+            SELECT l.lang, l.idx, u.level, u.own, u.sibling FROM leaves l JOIN upper_steps u ON l.lang IS NOT DISTINCT FROM u.lang
+        ), proofs AS (
+            SELECT lang, idx, sha256(string_agg(coalesce(sibling, ''), '' ORDER BY level)) AS proof_sha256 FROM paths GROUP BY lang, idx
+        ), folds(lang, idx, level, digest) AS (
+            SELECT lang, idx, 0, coalesce(tampered, leaf) FROM leaves
+            UNION ALL
+            SELECT f.lang, f.idx, f.level + 1,
+                sha256(CASE WHEN p.own = 0 THEN f.digest || coalesce(p.sibling, '') ELSE p.sibling || f.digest END)
+            FROM folds f JOIN paths p ON f.lang IS NOT DISTINCT FROM p.lang AND f.idx = p.idx AND f.level = p.level
+        ), ends AS (
+            SELECT lang, idx, arg_max(digest, level) AS folded_root FROM folds GROUP BY lang, idx
+        )
+        SELECT l.doc_id, l.leaf, r.digest AS subroot, (SELECT digest FROM tops WHERE n = 1) AS root,
+            coalesce(p.proof_sha256, sha256('')) AS proof_sha256, e.folded_root,
+            e.folded_root = (SELECT digest FROM tops WHERE n = 1) AS verified
+        FROM leaves l JOIN subroots r ON l.lang IS NOT DISTINCT FROM r.lang
+        LEFT JOIN proofs p ON p.lang IS NOT DISTINCT FROM l.lang AND p.idx = l.idx
+        JOIN ends e ON e.lang IS NOT DISTINCT FROM l.lang AND e.idx = l.idx
+    """,
 }
