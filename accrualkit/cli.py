@@ -17,6 +17,7 @@ import json
 
 from accrualkit.params import DateWindow, PmsSelector
 from accrualkit.plans import monthly
+from accrualkit.plans.materialize import run_scope
 from accrualkit.plans import reports as R
 from accrualkit.session import build_session
 from accrualkit.sources.catalog import SourceCatalog
@@ -95,15 +96,16 @@ def main(argv: list[str] | None = None) -> int:
         for name, path in monthly.run_month_end(cat, args.month, args.out, args.format, args.only).items():
             print(f"{name}\t{path}")
         return 0
-    df = REPORTS[args.report](cat, args)
-    if args.out:
-        writer = df.write.mode("overwrite")
-        if args.format == "csv":
-            writer.option("header", "true").csv(args.out)
-        else:
-            writer.parquet(args.out)
-    if args.show:
-        df.show(args.show, truncate=False)
+    with run_scope(spark):
+        df = REPORTS[args.report](cat, args)
+        if args.out:
+            writer = df.write.mode("overwrite")
+            if args.format == "csv":
+                writer.option("header", "true").csv(args.out)
+            else:
+                writer.parquet(args.out)
+        if args.show:
+            df.show(args.show, truncate=False)
     return 0
 
 

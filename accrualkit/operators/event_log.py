@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from accrualkit.constants import ADDED, DELETED, LOCATION_SETTING_KEY, PMS_SETTING_KEY, UPDATED  # noqa: F401
 from accrualkit.functions.casts import try_bigint
+from accrualkit.operators.bloom import choose
 from accrualkit.operators.ordinal import occurrence_number
 
 ENTITY = "entity_id"
@@ -99,6 +100,30 @@ def mapping_history_flat(
     return paired_occurrences(setting, created_types, deleted_types, sync_dbs).drop("occurrence")
 
 
+def location_events(setting: DataFrame, event_types: Sequence[str] | None = None) -> DataFrame:
+    """``(sync_db_id, location_id, ts, event_type)`` of the location mapping log."""
+    wanted = F.col("setting_key_id") == LOCATION_SETTING_KEY
+    if event_types is not None:
+        wanted &= F.col("event_type").isin(*event_types)
+    return setting.filter(wanted).select(
+        try_bigint(VALUE).alias("sync_db_id"), F.col(ENTITY).alias("location_id"), F.col(TS).alias("ts"), "event_type"
+    )
+
+
+def store_location_events(setting: DataFrame, table: str, buckets: int, path: str | None = None) -> DataFrame:
+    """The mapping log as a table bucketed by (sync DB, location) and sorted by time.
+
+    ``pair_events(..., placed=True)`` then numbers, pairs and collapses it
+    without any shuffle, as often as it is read.  One key is in one bucket, so
+    buckets are as uneven as the keys; ``path`` is a shared folder.
+    """
+    spark = setting.sparkSession
+    writer = location_events(setting).repartition(buckets, "sync_db_id", "location_id").write.mode("overwrite").format("parquet")
+    writer = writer.bucketBy(buckets, "sync_db_id", "location_id").sortBy("sync_db_id", "location_id", "ts")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return spark.table(table)
+
+
 def paired_occurrences(
     setting: DataFrame,
     created_types: Sequence[str] = (ADDED,),
@@ -107,6 +132,19 @@ def paired_occurrences(
 ) -> DataFrame:
     """``mapping_history_flat`` keeping the pairing ordinal as ``occurrence``.
 
+    ``sync_dbs`` (pass it materialised) chooses databases where the log is read.
+    """
+    events = location_events(setting, [*created_types, *deleted_types])
+    if sync_dbs is not None:
+        events = choose(events, "sync_db_id", sync_dbs, "sync_db_id")
+    return pair_events(events, created_types, deleted_types)
+
+
+def pair_events(
+    events: DataFrame, created_types: Sequence[str] = (ADDED,), deleted_types: Sequence[str] = (DELETED,), placed: bool = False
+) -> DataFrame:
+    """The n-th create with the n-th delete of each (sync DB, location) of ``location_events``.
+
     Creates and deletes are numbered in one pass (the event kind is part of
     the numbering key), and the n-th create meets the n-th delete in one
     aggregation on (sync DB, location, n) — each such group holds at most
@@ -114,24 +152,16 @@ def paired_occurrences(
     numbered streams.  Equality never matches a NULL sync DB or location,
     so those creates keep a NULL delete, as in the equi-join formulation.
     Numbering, pairing and the collapse of the history all accept a
-    partitioning by (sync DB, location), so the log is shuffled once.
+    partitioning by (sync DB, location), so the log is shuffled once, and not
+    at all if it is ``placed`` so already.
     """
     if set(created_types) & set(deleted_types):
         raise ValueError("created and deleted event types must be disjoint")
     keys = ["sync_db_id", "location_id"]
-    events = setting.filter(
-        (F.col("setting_key_id") == LOCATION_SETTING_KEY)
-        & F.col("event_type").isin(*created_types, *deleted_types)
-    ).select(
-        try_bigint(VALUE).alias("sync_db_id"),
-        F.col(ENTITY).alias("location_id"),
-        F.col(TS).alias("ts"),
-        F.col("event_type").isin(*created_types).alias("_is_create"),
+    kinds = events.filter(F.col("event_type").isin(*created_types, *deleted_types)).select(
+        *keys, "ts", F.col("event_type").isin(*created_types).alias("_is_create")
     )
-    if sync_dbs is not None:
-        chosen = sync_dbs.select(F.col("sync_db_id").alias("_chosen_db"))
-        events = events.join(chosen, events["sync_db_id"] == chosen["_chosen_db"], "left_semi")
-    numbered = occurrence_number(events, ["_is_create", *keys], "ts", "occurrence", co_locate=keys)
+    numbered = occurrence_number(kinds, ["_is_create", *keys], "ts", "occurrence", co_locate=None if placed else keys)
     create, delete = F.col("_is_create"), ~F.col("_is_create")
     paired = numbered.groupBy(*keys, "occurrence").agg(
         F.count(F.when(create, F.lit(1))).alias("_creates"),

@@ -34,12 +34,16 @@ def not_superseded(
 
 
 def mark_members(df: DataFrame, members: DataFrame, left_key: str, member_key: str, out: str) -> DataFrame:
-    """Left join to the DISTINCT member keys; ``out`` = matched key or NULL.
+    """``out`` = the key of a row that has a member, else NULL.
 
-    Members are de-duplicated first, so the join never multiplies rows.
+    An existence join: it asks whether a member exists and never multiplies
+    rows, so members need no DISTINCT.
     """
-    keys = members.select(F.col(member_key).alias(out)).distinct()
-    return df.join(keys, df[left_key] == keys[out], "left")
+    member = members.select(F.col(member_key).alias("_mark_member"))
+    # names of their own: a column that members have too would be taken for theirs
+    asked = df.withColumn("_mark_key", F.col(left_key))
+    found = member.filter(F.col("_mark_member") == F.col("_mark_key").outer()).exists()
+    return asked.select(*df.columns, F.when(found, F.col("_mark_key")).alias(out))
 
 
 def fanout_left_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

@@ -7,11 +7,17 @@ key to one task; if one key holds a third of the log, one task sorts a
 third of the log.
 
 A key is *hot* above ``threshold = max(min_hot_rows, total_rows /
-max_hot_keys)`` rows, so at most ``max_hot_keys`` keys are hot, and the list
-of them has a proven size bound.  It is found by one aggregation over the log
-and written to the shared folder with the rows of each key.
-
-* No key is hot: one plain window over the keys.
+max_hot_keys)`` rows, so about ``max_hot_keys`` keys are hot at most, and the
+list of them has a proven size bound.  It comes from a mergeable summary of
+frequent keys (Spark's ``approx_top_k`` sketch, of the Misra-Gries family) over
+a 64-bit hash of the key: every task summarises its rows in a table of bounded
+size, and only these tables are shuffled and merged.  A summary that tracks m
+keys of n rows is off by 3.5 n / m at most and lists every key of more than
+7 n / m rows; m is seven times ``max_hot_keys``, so no key above the threshold
+is missed.  (A key that is not hot may be listed too, as may one that shares a
+hash with a hot one; that costs nothing but the cut below.)
+
+* No key is hot: one plain window over the keys, the only shuffle of the rows.
 * Otherwise the log is read once more and written to the shared folder, hot
   and cold rows apart.  Cold keys are numbered by the plain window.  The rows
   of hot keys are range-partitioned by (key, time, position), with splitters
@@ -40,6 +46,11 @@ from accrualkit.plans.materialize import reuse, write_result
 
 MIN_HOT_ROWS = 100_000
 MAX_HOT_KEYS = 100_000
+#: Keys that the summary tracks for each key that may be hot, and the most that Spark's sketch takes.
+TRACKED_PER_HOT = 7
+MOST_TRACKED = 1_000_000
+#: Tasks that merge the summaries before the last one does.
+MERGERS = 64
 
 
 def hot_key_threshold(total_rows: int, min_hot_rows: int = MIN_HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS) -> int:
@@ -47,22 +58,36 @@ def hot_key_threshold(total_rows: int, min_hot_rows: int = MIN_HOT_ROWS, max_hot
     return max(min_hot_rows, -(-total_rows // max_hot_keys))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_hot_rows: int, max_hot_keys: int) -> tuple[DataFrame | None, int, int]:
-    """(hot keys with their rows as ``_occ_rows``, rows of hot keys, threshold); None if no key is hot.
+def key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(k) for k in keys])
+
+
+def frequent_keys(df: DataFrame, keys: Sequence[str], tracked: int) -> DataFrame:
+    """One row: n, the rows of ``df``, and found, the ``key_hash`` and about the rows of frequent keys.
 
-    One aggregation over ``df``: rows per key, with the keys of up to
-    ``min_hot_rows`` rows summed up in one row.  Its result is written once.
+    Counts are never too low; ``found`` has every key of more than 7 n / ``tracked`` rows.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_occ_rows"))
-    large = F.col("_occ_rows") > min_hot_rows
-    listed = sizes.select(large.alias("_occ_large"), *[F.when(large, F.col(k)).alias(k) for k in keys], "_occ_rows")
-    listed = reuse(listed.groupBy("_occ_large", *keys).agg(F.sum("_occ_rows").alias("_occ_rows")))
-    total, largest = listed.agg(F.sum("_occ_rows"), F.max(F.when(F.col("_occ_large"), F.col("_occ_rows")))).first()
-    threshold = hot_key_threshold(int(total or 0), min_hot_rows, max_hot_keys)
-    if (largest or 0) <= threshold:
-        return None, 0, threshold
-    hot = listed.filter(F.col("_occ_large") & (F.col("_occ_rows") > threshold)).select(*keys, "_occ_rows")
-    return hot, int(hot.agg(F.sum("_occ_rows")).first()[0]), threshold
+    merger = F.pmod(F.spark_partition_id(), F.lit(MERGERS))
+    hashed = df.select(key_hash(keys).alias("_occ_key"), merger.alias("_occ_merger"))
+    parts = hashed.groupBy("_occ_merger").agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k_accumulate(_occ_key, {tracked})").alias("summary")
+    )
+    # grouped, as the sketch cannot be merged from nothing: an empty ``df`` gives no row
+    whole = parts.groupBy(F.lit(0).alias("_occ_all")).agg(F.sum("n").alias("n"), F.expr("approx_top_k_combine(summary)").alias("summary"))
+    return whole.select("n", F.expr(f"approx_top_k_estimate(summary, {tracked})").alias("found"))
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], min_hot_rows: int, max_hot_keys: int) -> tuple[list[int], int, int]:
+    """(hashes of the hot keys, about how many rows they have, threshold)."""
+    tracked = TRACKED_PER_HOT * max_hot_keys
+    if tracked > MOST_TRACKED:
+        raise ValueError(f"at most {MOST_TRACKED // TRACKED_PER_HOT} hot keys can be told apart")
+    threshold = F.greatest(F.lit(min_hot_rows), F.ceil(F.col("n") / max_hot_keys))
+    summary = frequent_keys(df, keys, tracked).withColumn("threshold", threshold)
+    row = summary.select("threshold", F.filter("found", lambda x: x["count"] > F.col("threshold")).alias("hot")).first()
+    if row is None or not row["hot"]:
+        return [], 0, int((row and row["threshold"]) or min_hot_rows)
+    return [x["item"] for x in row["hot"]], sum(x["count"] for x in row["hot"]), int(row["threshold"])
 
 
 def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -85,8 +110,9 @@ def occurrence_number(
     ``co_locate``: some of ``keys`` by which the rows are partitioned, for a
     caller that goes on by those columns and then needs no further shuffle.
 
-    Building the result runs one aggregation over ``df`` (rows per key); if a
-    key is hot, also the writes described above.  The result itself is lazy.
+    Building the result runs the summary over ``df`` (one read, no shuffle of
+    its rows); if a key is hot, also the writes described above.  The result
+    itself is lazy.
     """
     order = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_last()
 
@@ -95,12 +121,12 @@ def occurrence_number(
         return placed.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(order)).cast("bigint"))
 
     hot, hot_rows, threshold = hot_keys(df, keys, min_hot_rows, max_hot_keys)
-    if hot is None:
+    if not hot:
         return plain(df)
 
-    # at most max_hot_keys rows: broadcast
-    listed = F.broadcast(hot.select(*[F.col(k).alias(f"_occ_{k}") for k in keys], F.lit(True).alias("_occ_hot")))
-    flagged = df.join(listed, _same_key(df, listed, keys), "left").select(
+    # at most about max_hot_keys hashes: broadcast
+    listed = F.broadcast(df.sparkSession.createDataFrame([(h, True) for h in hot], "_occ_key long, _occ_hot boolean"))
+    flagged = df.withColumn("_occ_key", key_hash(keys)).join(listed, "_occ_key", "left").select(
         *df.columns, F.coalesce("_occ_hot", F.lit(False)).alias("_occ_hot"), F.monotonically_increasing_id().alias("_occ_at")
     )
     copy = write_result(flagged, "numbering", partition_by=["_occ_hot"])
@@ -112,7 +138,7 @@ def occurrence_number(
     inside = F.row_number().over(Window.partitionBy("_occ_range", *keys).orderBy(order, "_occ_at"))
     before = Window.partitionBy(*keys).orderBy("_occ_range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = placed.groupBy("_occ_range", *keys).agg(F.count(F.lit(1)).alias("_occ_rows"))
-    # one row per range and key in it: at most ranges + hot keys
+    # one row per range and key in it: about ranges + hot keys at most
     offsets = F.broadcast(
         sizes.select(
             F.col("_occ_range").alias("_occ_r"), *[F.col(k).alias(f"_occ_{k}") for k in keys],

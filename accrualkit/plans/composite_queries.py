@@ -7,21 +7,39 @@ from pyspark.sql import functions as F
 
 from accrualkit.functions.dates import at_midnight
 from accrualkit.operators.dedupe import top1_per_group
-from accrualkit.operators.event_log import latest_setting, mapping_history_collapsed, mapping_history_flat
+from accrualkit.operators.event_log import (
+    DELETED,
+    latest_setting,
+    location_events,
+    mapping_history_collapsed,
+    mapping_history_flat,
+    pair_events,
+    store_location_events,
+)
+from accrualkit.operators.temporal import as_of_each
 from accrualkit.params import PmsSelector, ReportMonth
 from accrualkit.plans import reports as RP
 from accrualkit.plans import roster as R
 from accrualkit.plans import syncs as S
+from accrualkit.plans.mapping_state import MappingState
 from accrualkit.plans.materialize import reuse
+from accrualkit.plans.months import report_active_locations_of_months
 from accrualkit.plans.registry_params import (
     ACTIVE_MONTH,
+    ACTIVE_MONTH_EARLY,
     ATHENA_APPS,
     BOOKING_END_LAST_DAY,
     DENTICON,
     NO_AVAILABILITY_SINCE,
 )
+from accrualkit.session import checkpoint_dir
 from accrualkit.sources.catalog import SourceCatalog
 
+LOG_BUCKETS = 16
+#: When the second and third delivery of the mapping log begin, and how late deletes arrive.
+DELIVERIES = ("2023-07-01", "2024-01-01")
+DELETES_DELAY_DAYS = 40
+
 # Parameters that distinguish the composite runs from the
 # report runs.
 ALL_SYNC_OVERVIEW_APPS = ("CernerMillenniumAPI", "CernerMillenniumR4", "Other")
@@ -50,6 +68,39 @@ def q_mapping_history_collapsed(spark, sf_dir):
     return mapping_history_collapsed(_cat(spark, sf_dir)("setting"))
 
 
+def q_mapping_history_bucketed(spark, sf_dir):
+    """The flat history from the log stored in buckets of (sync DB, location): no shuffle."""
+    cat = _cat(spark, sf_dir)
+    table = f"mapping_log_{cat.token}"
+    log = store_location_events(cat("setting"), table, LOG_BUCKETS, f"{checkpoint_dir(spark).rstrip('/')}/{table}")
+    return pair_events(log, placed=True).drop("occurrence")
+
+
+def q_mapping_history_incremental(spark, sf_dir):
+    """The flat history merged from three deliveries; deletes arrive weeks after they happened."""
+    cat = _cat(spark, sf_dir)
+    log = location_events(cat("setting"))
+    arrived = F.col("ts") + F.when(F.col("event_type") == DELETED, F.expr(f"INTERVAL {DELETES_DELAY_DAYS} DAYS")).otherwise(F.expr("INTERVAL 0 DAYS"))
+    number = F.coalesce(sum((arrived >= at_midnight(d)).cast("int") for d in DELIVERIES), F.lit(0))
+    deliveries = log.withColumn("delivery", number)
+    part = lambda i: deliveries.filter(F.col("delivery") == i).drop("delivery")
+    state = MappingState.start(part(0), f"{checkpoint_dir(spark).rstrip('/')}/mapping-state-{cat.token}")
+    for i in range(1, len(DELIVERIES) + 1):
+        state = state.merge(part(i), deliveries.filter(F.col("delivery") <= i).drop("delivery"))
+    return state.history()
+
+
+def q_filter_as_of_each(spark, sf_dir):
+    """Mappings valid at each month start of the monthly snapshots, by a binned interval join."""
+    cat = _cat(spark, sf_dir)
+    months = cat("practice_snapshot_summary_month").select(F.col("snapshot_month_eastern").cast("timestamp_ntz").alias("boundary"))
+    return as_of_each(mapping_history_flat(cat("setting")), "created_date_utc", "deleted_date_utc", months, "boundary")
+
+
+def q_report_active_locations_of_months(spark, sf_dir):
+    return report_active_locations_of_months(_cat(spark, sf_dir), (ACTIVE_MONTH_EARLY, ACTIVE_MONTH), DENTICON, "day")
+
+
 def q_active_syncs_as_of(spark, sf_dir):
     return _syncs(_cat(spark, sf_dir))
 
@@ -154,6 +205,10 @@ COMPOSITES = {
     "latest_setting": q_latest_setting,
     "mapping_history_flat": q_mapping_history_flat,
     "mapping_history_collapsed": q_mapping_history_collapsed,
+    "mapping_history_bucketed": q_mapping_history_bucketed,
+    "mapping_history_incremental": q_mapping_history_incremental,
+    "filter_as_of_each": q_filter_as_of_each,
+    "report_active_locations_of_months": q_report_active_locations_of_months,
     "active_syncs_as_of": q_active_syncs_as_of,
     "active_practices_day": q_active_practices_day,
     "active_practices_month": q_active_practices_month,

@@ -22,7 +22,7 @@ from accrualkit.operators.event_log import latest_setting, mapping_history_colla
 from accrualkit.params import DateWindow, PmsSelector, ReportMonth
 from accrualkit.plans import reports as R
 from accrualkit.plans import roster as RO
-from accrualkit.plans.materialize import reuse
+from accrualkit.plans.materialize import reuse, run_scope
 from accrualkit.sources.catalog import SourceCatalog
 
 # The report runs of one month-end, per script family.
@@ -104,16 +104,20 @@ def month_end_runs(cat: SourceCatalog, month: dt.date | str) -> dict[str, Callab
 def run_month_end(
     cat: SourceCatalog, month: dt.date | str, out: str, fmt: str = "parquet", only: list[str] | None = None
 ) -> dict[str, str]:
-    """Build and write every report of the month under ``out/<report>``."""
+    """Build and write every report of the month under ``out/<report>``.
+
+    The shared intermediates and session views are removed at the end.
+    """
     written = {}
-    for name, build in month_end_runs(cat, month).items():
-        if only and name not in only:
-            continue
-        path = f"{out.rstrip('/')}/{name}"
-        writer = build().write.mode("overwrite")
-        if fmt == "csv":
-            writer.option("header", "true").csv(path)
-        else:
-            writer.format(fmt).save(path)
-        written[name] = path
+    with run_scope(cat.spark):
+        for name, build in month_end_runs(cat, month).items():
+            if only and name not in only:
+                continue
+            path = f"{out.rstrip('/')}/{name}"
+            writer = build().write.mode("overwrite")
+            if fmt == "csv":
+                writer.option("header", "true").csv(path)
+            else:
+                writer.format(fmt).save(path)
+            written[name] = path
     return written

@@ -19,6 +19,8 @@ from accrualkit.functions.casts import try_bigint, try_int
 from accrualkit.functions.dates import at_midnight, date_lit, days_in_month
 from accrualkit.functions.labels import resolve_pms, sync_type_label
 from accrualkit.operators.dedupe import top1_per_group
+from accrualkit.operators.bloom import choose
+from accrualkit.operators.distinct import count_distinct_each, count_distinct_integers
 from accrualkit.operators.event_log import (
     ADDED,
     DELETED,
@@ -52,6 +54,7 @@ OI_WINDOW = DateWindow.of("2024-01-01", "2024-01-02")
 LATE_SHIP_DAYS = 90
 COERCION_BOUND = "2024-03-01"
 #: Rows above which a key counts as hot in the query that shows it.
+BLOOM_WORDS = 1 << 14
 HOT_ROWS = 300
 
 OPERATOR_QUERIES: dict = {}
@@ -116,7 +119,7 @@ def cte(spark, d):
 def cte_shared(spark, d):
     """The collapsed history is read twice: as rows and as the still-synced set."""
     cat = _cat(spark, d)
-    dbs = S.selected_sync_dbs(cat, PmsSelector.by_name(*ATHENA_APPS)).select("sync_db_id").distinct()
+    dbs = reuse(S.selected_sync_dbs(cat, PmsSelector.by_name(*ATHENA_APPS)).select("sync_db_id").distinct())
     rows = reuse(mapping_history_collapsed(cat("setting"), dbs))
     marked = mark_members(rows, S.still_synced_locations(rows, dbs), "location_id", "location_id", "_still")
     return marked.select(
@@ -159,16 +162,24 @@ def param_tuple(spark, d):
 
 @query("param_from_query")
 def param_from_query(spark, d):
-    """The first reported month comes from a query and bounds the bookings that are counted."""
+    """The first reported month comes from a query and bounds the bookings that are counted.
+
+    Its bounds are uncorrelated scalar subqueries of the column's own type, so
+    they are among the filters of the scan and the bookings meet no join.
+    """
     cat = _cat(spark, d)
     m = F.min("snapshot_month_eastern")
     month = cat("practice_snapshot_summary_month").agg(
-        m.alias("first_day"), F.last_day(m).alias("last_day"), days_in_month(m).alias("total_days_in_month")
+        m.cast("timestamp_ntz").alias("begin"), F.add_months(m, 1).cast("timestamp_ntz").alias("end"),
+        F.last_day(m).alias("last_day"), days_in_month(m).alias("total_days_in_month"),
+    )
+    value = lambda c: month.select(c).scalar()
+    booked = F.col("appointment_created_timestamp_local")
+    inside = cat("appointment_summary").filter((booked >= value("begin")) & (booked < value("end")))
+    counted = inside.groupBy("provider_id").agg(F.count_distinct("appointment_id").alias("n_bookings"))
+    return counted.select(
+        "provider_id", value("last_day").alias("last_day"), value("total_days_in_month").alias("total_days_in_month"), "n_bookings"
     )
-    booked_on = F.col("appointment_created_timestamp_local").cast("date")
-    # one row: broadcast
-    inside = cat("appointment_summary").join(F.broadcast(month), booked_on.between(F.col("first_day"), F.col("last_day")))
-    return inside.groupBy("provider_id", "last_day", "total_days_in_month").agg(F.count_distinct("appointment_id").alias("n_bookings"))
 
 
 @query("result_set")
@@ -473,6 +484,15 @@ def join_mark(spark, d):
     return mark_members(loc, open_rows, "monolith_provider_location_id", "location_id", "open_mapping_location")
 
 
+@query("join_semi_bloom")
+def join_semi_bloom(spark, d):
+    """Line items of open orders, by way of a Bloom filter in the scan (as if the orders were too many to broadcast)."""
+    b = _cat(spark, d).base
+    chosen = reuse(b.orders.filter(F.col("o_orderstatus") == "O").select("o_orderkey"))
+    items = b.lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
+    return choose(items, "l_orderkey", chosen, "o_orderkey", broadcast_keys=0, words=BLOOM_WORDS)
+
+
 @query("join_preaggregated")
 def join_preaggregated(spark, d):
     cat = _cat(spark, d)
@@ -573,22 +593,25 @@ def agg_count_distinct(spark, d):
     return plm.groupBy("location_id").agg(F.count_distinct("provider_id").alias("num_providers"))
 
 
+@query("agg_count_distinct_integer")
+def agg_count_distinct_integer(spark, d):
+    """Distinct integers counted by bitmap buckets."""
+    return count_distinct_integers(_cat(spark, d)("appointment_summary"), ["provider_id"], "appointment_id", "num_appointments")
+
+
 @query("agg_multi_distinct")
 def agg_multi_distinct(spark, d):
     li = _cat(spark, d).base.lineitem
-    return li.groupBy("l_returnflag").agg(
-        F.count_distinct("l_partkey").alias("num_parts"), F.count_distinct("l_suppkey").alias("num_suppliers")
-    )
+    return count_distinct_each(li, ["l_returnflag"], {"num_parts": "l_partkey", "num_suppliers": "l_suppkey"})
 
 
 @query("agg_mixed_distinct")
 def agg_mixed_distinct(spark, d):
     li = _cat(spark, d).base.lineitem
-    return li.groupBy("l_returnflag", "l_linestatus").agg(
-        F.count_distinct("l_orderkey").alias("num_orders"),
-        F.min("l_shipdate").alias("first_ship"),
-        F.max("l_shipdate").alias("last_ship"),
-    )
+    return count_distinct_integers(
+        li, ["l_returnflag", "l_linestatus"], "l_orderkey", "num_orders",
+        {"first_ship": ("min", "l_shipdate"), "last_ship": ("max", "l_shipdate")},
+    )
 
 
 @query("agg_conditional_result")

@@ -53,11 +53,14 @@ def report_api_practices(
     mapping row before counting.  ``history`` (collapsed mapping history)
     and ``pms_latest`` (``latest_setting`` with BIGINT values) may be passed
     precomputed, e.g. shared by all runs of a month.
+
+    Building runs Spark jobs: the chosen databases and the mapping rows of the
+    report are written once, as they are read several times.
     """
     setting = cat("setting")
     if pms_latest is None:
         pms_latest = latest_setting(setting, cat("practice_management_software"), value_type="bigint")
-    dbs = (
+    dbs = reuse(
         pms_latest.filter(F.col("pms_application").isin(*pms_applications))
         .select(F.col("sync_db_id").alias("_db"), "pms_application")
         .distinct()
@@ -121,13 +124,17 @@ def report_active_locations(
     the first sync date and the number of active providers at the location.
     ``history`` (flat mapping history) and ``pms_latest`` (``latest_setting``
     with INT values) may be passed precomputed.
+
+    Building runs Spark jobs: the chosen databases and the active syncs are
+    written once, as they are read several times.
     """
     m = ReportMonth.of(month)
     boundary = at_midnight(m.next_start)
     if history is None:
         if pms_latest is None:
             pms_latest = latest_setting(cat("setting"), cat("practice_management_software"), value_type="int")
-        history = mapping_history_flat(cat("setting"), sync_dbs=pms_latest.filter(S.pms_predicate(pms)).select("sync_db_id"))
+        pms_latest = reuse(pms_latest.filter(S.pms_predicate(pms)))
+        history = mapping_history_flat(cat("setting"), sync_dbs=pms_latest)
     # Read three times (report rows, live aggregate mappings, primary
     # location), so materialised once.
     syncs = reuse(S.active_syncs_as_of(cat, history, pms, boundary, pms_latest=pms_latest))

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from accrualkit.constants import WAREHOUSE_NAMES
 from accrualkit.functions.casts import as_boolean
+from accrualkit.plans.materialize import register_view
 from accrualkit.session import application_id, checkpoint_dir
 from accrualkit.sources.fixtures import FIXTURES
 from accrualkit.sources.testdata import BaseTables
@@ -102,8 +103,7 @@ class SourceCatalog:
         """
         df = self.table(name)
         view = f"{self.resolve(name)}_{self.token}"
-        df.createOrReplaceTempView(view)
-        return view
+        return register_view(df, view)
 
     @classmethod
     def from_tables(cls, spark: SparkSession, locations: Mapping[str, str] | None = None, fmt: str = "parquet"):

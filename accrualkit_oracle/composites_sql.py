@@ -28,6 +28,25 @@ select db as sync_db_id, app as pms_application, pms_id from pms_now
     "mapping_history_flat": f"""
 with {R._history("'Added'")}
 select db as sync_db_id, loc as location_id, created as created_date_utc, deleted as deleted_date_utc from pairs
+""",
+    "mapping_history_bucketed": f"""
+with {R._history("'Added'")}
+select db as sync_db_id, loc as location_id, created as created_date_utc, deleted as deleted_date_utc from pairs
+""",
+    "mapping_history_incremental": f"""
+with {R._history("'Added'")}
+select db as sync_db_id, loc as location_id, created as created_date_utc, deleted as deleted_date_utc from pairs
+""",
+    "filter_as_of_each": f"""
+with {R._history("'Added'")},
+bounds as (select distinct cast(snapshot_month_eastern as timestamp) as boundary from practice_snapshot_summary_month)
+select db as sync_db_id, loc as location_id, created as created_date_utc, deleted as deleted_date_utc, boundary
+from pairs, bounds where created < boundary and coalesce(deleted > boundary, true)
+""",
+    "report_active_locations_of_months": f"""
+select date '2024-01-01' as report_month, * from ({R.r2_active_locations("2024-01-01", "p.app = 'Denticon'", "day")}) early
+union all
+select date '2024-03-01' as report_month, * from ({R.r2_active_locations("2024-03-01", "p.app = 'Denticon'", "day")}) late
 """,
     "mapping_history_collapsed": f"""
 with {R._history("'Added', 'Updated'")}

@@ -240,6 +240,13 @@ where setting_key_id = 18 and event_type in ('Added', 'Updated') group by entity
 """,
     "agg_count_distinct": """
 select location_id, count(distinct provider_id) as num_providers from provider_location_mapping group by location_id
+""",
+    "agg_count_distinct_integer": """
+select provider_id, count(distinct appointment_id) as num_appointments from appointment_summary group by provider_id
+""",
+    "join_semi_bloom": """
+select l_orderkey, l_linenumber, l_quantity from lineitem
+where exists (select 1 from orders where o_orderkey = l_orderkey and o_orderstatus = 'O')
 """,
     "agg_multi_distinct": """
 select l_returnflag, count(distinct l_partkey) as num_parts, count(distinct l_suppkey) as num_suppliers

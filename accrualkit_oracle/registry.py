@@ -31,6 +31,7 @@ REPORT_SQL: dict[str, str] = {
 DATE_COLUMNS: dict[str, tuple[str, ...]] = {
     "latest_snapshot_per_key": ("snapshot_date_est",),
     "param_from_query": ("last_day",),
+    "report_active_locations_of_months": ("report_month",),
     "project_predicate": ("snapshot_date_est",),
     "lateral_alias_window": ("snapshot_date_eastern",),
     "filter_not_in": ("snapshot_date_eastern",),
