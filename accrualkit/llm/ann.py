@@ -10,8 +10,11 @@ searched exactly against all rows, and the visits are widened until the
 leaves visited hold ``RECALL`` of their true neighbours (all leaves, if need
 be, which is an exact search).
 
-Rows and visits meet by leaf.  A leaf with many rows is split into blocks of
-rows and a leaf with many visitors into blocks of visits, so no task holds more
+Neighbouring leaves make up a bin of about ``BLOCK_ROWS`` rows.  A query goes
+to a bin once, with the leaves it visits there, and takes its nearest rows of
+all of them with it, so what is compared leaves as one short list for each
+query and bin.  A bin with more rows (one large leaf) is split into blocks of
+rows and one with many visitors into blocks of visits, so no task holds more
 than a block of each.  Of rows with the very same vector, only as many as can
 be among the nearest (those of the smallest ids) are compared.
 
@@ -22,7 +25,7 @@ Defined cases: vectors that are null, empty, zero or hold a null or non-finite
 component take no part, neither do rows without an id; only vectors of equal
 length are compared; a row that repeats another exactly counts once; a query
 with fewer candidates than asked for gets all of them; empty tables give an
-empty result.
+empty result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -44,6 +47,8 @@ FIT_ROWS, BRANCH, LEAF_ROWS, LEAVES = 20_000, 8, 256, 4096
 #: Calibration: queries, and the share of their true neighbours that the visits must reach.
 CALIBRATION, RECALL = 200, 0.96
 BLOCK_ROWS, BLOCK_VISITS = 4096, 4096
+#: Queries whose rough cosines with a block are held at a time.
+ROUGH_VISITS = 256
 
 
 @dataclass
@@ -213,13 +218,34 @@ def _with_leaf(tree: Tree):
     return run
 
 
-def _with_visits(tree: Tree, most: int):
+def leaf_bins(counts: dict[int, int], leaves: int, rows: int) -> np.ndarray:
+    """Bin of each leaf: neighbouring leaves up to about ``rows`` rows, a larger leaf by itself."""
+    bins, held, current = np.zeros(leaves, np.int64), 0, 0
+    for leaf in range(leaves):
+        n = counts.get(leaf, 0)
+        if held and held + n > rows:
+            current, held = current + 1, 0
+        bins[leaf] = current
+        held += n
+    return bins
+
+
+def _with_visits(tree: Tree, most: int, bins: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            visits = [list(tree.visits(u, most)) for u in _unit(_vectors(batch.column(1)))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(visits, pa.list_(pa.int64()))], names=["id", "vector", "leaves"])
+            at, where, leaves = [], [], []
+            for i, u in enumerate(_unit(_vectors(batch.column(1)))):
+                reached = np.sort(np.fromiter(tree.visits(u, most), np.int64))
+                for own in np.unique(bins[reached]):
+                    at.append(i)
+                    where.append(int(own))
+                    leaves.append(reached[bins[reached] == own])
+            columns = [c.take(pa.array(at, pa.int64())) for c in batch.columns]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(where, pa.int64()), pa.array(leaves, pa.list_(pa.int64()))], names=["id", "vector", "bin", "leaves"]
+            )
 
     return run
 
@@ -228,25 +254,32 @@ def _compare(k: int):
     def run(key: tuple, rows: pa.Table, visits: pa.Table) -> pa.Table:
         if not rows.num_rows or not visits.num_rows:
             return pa.Table.from_batches([_hits([])])
-        rows = rows.combine_chunks()
+        rows = rows.sort_by("leaf").combine_chunks()
         ids, x = rows.column("id").to_numpy(), _vectors(rows.column("vector").combine_chunks())
-        q = _vectors(visits.column("vector").combine_chunks())
+        leaf, first = np.unique(rows.column("leaf").to_numpy(), return_index=True)
+        places = dict(zip(leaf.tolist(), np.split(np.arange(len(ids)), first[1:]), strict=True))
+        q, leaves = _vectors(visits.column("vector").combine_chunks()), visits.column("leaves").to_pylist()
         unit, out = _unit(x), []
-        rough = _unit(q) @ unit.T
-        for i, own in enumerate(visits.column("id").to_pylist()):
-            at, score = nearest(q[i], x, rough[i], ids, own, k)
-            out += [(own, int(ids[j]), float(s), key[0].as_py()) for j, s in zip(at, score, strict=True)]
+        for low in range(0, len(q), ROUGH_VISITS):
+            rough = _unit(q[low : low + ROUGH_VISITS]) @ unit.T
+            for i, own in enumerate(visits.column("id").slice(low, ROUGH_VISITS).to_pylist(), low):
+                inside = [places[n] for n in leaves[i] if n in places]
+                if not inside:
+                    continue
+                here = np.concatenate(inside)
+                at, score = nearest(q[i], x[here], rough[i - low, here], ids[here], own, k)
+                out += [(own, int(ids[here[j]]), float(s), key[0].as_py()) for j, s in zip(at, score, strict=True)]
         return pa.Table.from_batches([_hits(out)])
 
     return run
 
 
 def _blocks(counts: dict[int, int], rows: int) -> Column:
-    """Number of blocks of each leaf (a leaf is at most one of LEAVES)."""
-    many = {leaf: -(-n // rows) for leaf, n in counts.items() if n > rows}
+    """Number of blocks of each bin (at most one a leaf, so ``LEAVES``)."""
+    many = {own: -(-n // rows) for own, n in counts.items() if n > 2 * rows}
     if not many:
         return F.lit(1)
-    return F.coalesce(F.create_map(*[F.lit(x) for kv in many.items() for x in kv])[F.col("leaf")], F.lit(1))
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in many.items() for x in kv])[F.col("bin")], F.lit(1))
 
 
 def search(rows: DataFrame, queries: DataFrame, k: int = NEAREST, recall: float = RECALL, leaf_rows: int = LEAF_ROWS, fit_rows: int = FIT_ROWS) -> DataFrame:
@@ -272,18 +305,27 @@ def _search_length(rows: DataFrame, queries: DataFrame, n: int, k: int, recall:
     tree = fit_tree(_unit(x), 1.0 / leaves) if len(x) else Tree(np.zeros((1, 1)), [[]], np.array([0]))
     most = calibrate(rows, tree, k, recall=recall)
     placed = stored(rows.select("id", "vector").mapInArrow(_with_leaf(tree), "id long, vector array<double>, leaf long"), "leaves")
+    counts = dict(placed.groupBy("leaf").count().collect())
+    bins = leaf_bins(counts, tree.leaves, BLOCK_ROWS)
+    # one row a leaf: at most LEAVES
+    bin_of = F.broadcast(rows.sparkSession.createDataFrame(list(enumerate(bins.tolist())), "leaf long, bin long"))
+    placed = placed.join(bin_of, "leaf")
     visits = stored(
-        queries.select("id", "vector").distinct().mapInArrow(_with_visits(tree, most), "id long, vector array<double>, leaves array<long>"), "visits"
-    ).select("id", "vector", F.explode("leaves").alias("leaf"))
-    row_blocks = _blocks(dict(placed.groupBy("leaf").count().collect()), BLOCK_ROWS)
-    visit_blocks = _blocks(dict(visits.groupBy("leaf").count().collect()), BLOCK_VISITS)
+        queries.select("id", "vector").distinct().mapInArrow(_with_visits(tree, most, bins), "id long, vector array<double>, bin long, leaves array<long>"),
+        "visits",
+    )
+    sizes: dict[int, int] = {}
+    for leaf, n in counts.items():
+        sizes[int(bins[leaf])] = sizes.get(int(bins[leaf]), 0) + n
+    row_blocks = _blocks(sizes, BLOCK_ROWS)
+    visit_blocks = _blocks(dict(visits.groupBy("bin").count().collect()), BLOCK_VISITS)
 
     def spread(df: DataFrame, own: str, own_blocks: Column, other: str, other_blocks: Column) -> DataFrame:
         return df.withColumn(own, F.pmod(F.xxhash64("id", "vector"), own_blocks).cast("int")).withColumn(
             other, F.explode(F.sequence(F.lit(0), other_blocks.cast("int") - 1))
         )
 
-    keys = ["leaf", "row_block", "visit_block"]
+    keys = ["bin", "row_block", "visit_block"]
     left = spread(placed, "row_block", row_blocks, "visit_block", visit_blocks).groupBy(*keys)
     right = spread(visits, "visit_block", visit_blocks, "row_block", row_blocks).groupBy(*keys)
     return left.cogroup(right).applyInArrow(_compare(k), _HITS_DDL).withColumn("rank", F.lit(0))
