@@ -19,8 +19,11 @@ all rows needs no more memory than another.
 
 Defined cases: a null text or role counts as empty, a null conversation id is
 one more conversation, turns go by number (nulls first), then role and text;
-repeated rows are repeated turns; records of unknown layout or invalid JSON
-have no turns and are kept apart with layout ``unknown``.
+repeated rows are repeated turns; records of unknown layout, of invalid JSON,
+nested too deeply to be read or with text that UTF-8 cannot hold (a lone
+surrogate) have no turns and are kept apart with layout ``unknown``; a null or
+non-object element of a list of turns is no turn; a very long text is one turn
+in one piece; an empty table gives no pieces; other columns are not read.
 """
 
 from __future__ import annotations
@@ -74,6 +77,10 @@ KNOWN_PATHS = frozenset().union(*map(mapping_paths, MAPPINGS.values()))
 BY_FINGERPRINT = {paths_fingerprint(mapping_paths(m)): name for name, m in MAPPINGS.items()}
 
 
+#: Objects and lists that the paths of mappings go through.
+PATH_DEPTH = 1 + max(p.count(".") + p.count("[]") for p in KNOWN_PATHS)
+
+
 def schema_paths(schema: T.DataType, prefix: str = "") -> set[str]:
     """Nested field paths of a schema: ``a``, ``a.b``, ``a[].b``."""
     if isinstance(schema, T.ArrayType):
@@ -87,16 +94,18 @@ def schema_paths(schema: T.DataType, prefix: str = "") -> set[str]:
     return out
 
 
-def value_paths(value, prefix: str = "") -> set[str]:
-    """Nested field paths of a parsed record."""
+def value_paths(value, prefix: str = "", depth: int = PATH_DEPTH) -> set[str]:
+    """Nested field paths of a parsed record, as deep as mappings look."""
+    if not depth:
+        return set()
     if isinstance(value, list):
-        return set().union(*(value_paths(v, f"{prefix}[]") for v in value)) if value else set()
+        return set().union(*(value_paths(v, f"{prefix}[]", depth - 1) for v in value)) if value else set()
     if not isinstance(value, dict):
         return set()
     out = set()
     for name, v in value.items():
         path = f"{prefix}.{name}" if prefix else str(name)
-        out |= {path} | value_paths(v, path)
+        out |= {path} | value_paths(v, path, depth - 1)
     return out
 
 
@@ -134,6 +143,16 @@ def record_turns(record, layout: str | None) -> list[tuple[str, str]]:
 _TURNS = pa.schema([("conv", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string()), ("layout", pa.string())])
 
 
+def parsed(raw: str | None):
+    """The JSON value of ``raw``; None if it is invalid, nested deeper than the parser goes, or not writable as UTF-8."""
+    try:
+        record = json.loads(raw or "")
+        json.dumps(record, ensure_ascii=False).encode()
+    except (ValueError, RecursionError):  # invalid UTF-8 is a ValueError too
+        return None
+    return record
+
+
 def turns_from_json(df: DataFrame, id_column: str, json_column: str) -> DataFrame:
     """conv, turn, role, text, layout of JSON records, each in a layout of its own.
 
@@ -144,10 +163,7 @@ def turns_from_json(df: DataFrame, id_column: str, json_column: str) -> DataFram
         for batch in batches:
             rows = []
             for conv, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                try:
-                    record = json.loads(raw or "")
-                except ValueError:
-                    record = None
+                record = parsed(raw)
                 layout = select_layout(value_paths(record)) if isinstance(record, dict) else None
                 turns = record_turns(record, layout)
                 rows += [(conv, i, role, text, layout) for i, (role, text) in enumerate(turns)] or [(conv, None, None, None, "unknown")]
@@ -170,7 +186,7 @@ def turns_from_table(df: DataFrame, id_column: str = "conv_id") -> DataFrame:
         return df.select(conv, F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     if "list" in mapping:
         name, role, content = mapping["list"]
-        each = df.select(conv, F.posexplode(name).alias("turn", "t"))
+        each = df.select(conv, F.posexplode(F.filter(name, lambda t: t.isNotNull())).alias("turn", "t"))
         return each.select("conv", F.col("turn").cast("long"), canonical(F.col("t")[role].cast("string")).alias("role"), F.coalesce(F.col("t")[content].cast("string"), F.lit("")).alias("text"))
     made = []
     for role, parts in mapping["fields"]:

@@ -89,3 +89,22 @@ def test_query_against_sql(spark):
     want = con.execute(f"SELECT conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars FROM ({queries.ORACLES['op3_chat']})").fetchall()
     got = [tuple(r) for r in queries.op3_chat(spark, sf).select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars").collect()]
     assert sorted(got) == sorted(want) and any(r[0] == -7 for r in got)
+
+
+def test_records_that_cannot_be_read_are_unknown(spark):
+    deep = '{"messages":' + '{"a":' * 3000 + "1" + "}" * 3001
+    raw = ["[" * 100_000, "[" * 100_000 + "]" * 100_000, deep, '{"prompt": "\\ud800", "response": "x"}', "{", "null", "", None, '{"instruction": "q", "output": ' + "[" * 900 + "]" * 900 + "}"]
+    good = json.dumps({"messages": [{"role": "user", "content": "q"}, None, 3, {"role": "assistant", "content": "a"}]})
+    df = spark.createDataFrame(list(enumerate([*raw, good])), "id long, record string")
+    rows = chat.turns_from_json(df, "id", "record").collect()
+    by_id = {}
+    for r in rows:
+        by_id.setdefault(r["conv"], []).append(r)
+    assert all(by_id[i][0]["layout"] == "unknown" and by_id[i][0]["turn"] is None for i in range(len(raw) - 1))
+    assert [(r["role"], r["text"]) for r in by_id[len(raw)]] == [("user", "q"), ("assistant", "a")]
+
+
+def test_null_elements_of_a_list_are_no_turns(spark):
+    df = spark.createDataFrame([(1, [("user", "q"), None, ("assistant", "a")])], "conv_id long, messages array<struct<role: string, content: string>>")
+    rows = chat.turns_from_table(df).orderBy("turn").collect()
+    assert [(r["turn"], r["role"], r["text"]) for r in rows] == [(0, "user", "q"), (1, "assistant", "a")]
