@@ -56,6 +56,18 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def set_apart(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` with its columns of these ``names`` (case-insensitive) called ``input_<name>`` (or ``input_input_...``)."""
+    taken, wanted, out = {c.lower() for c in df.columns}, {n.lower() for n in names}, []
+    for c in df.columns:
+        new = c
+        while new.lower() in wanted or (new != c and new.lower() in taken):
+            new = f"input_{new}"
+        taken.add(new.lower())
+        out.append(new)
+    return df.toDF(*out)
+
+
 def remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor`` (a null id counts as an empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % divisor
@@ -91,6 +103,8 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, divisor: int,
 
     The label is 0 or 1; rows with another, without a document or with two
     different labels are left out.  The sample of ids is of a fixed size at most, so it is broadcast.
+    An id may have many rows: where the sampled ids have more than twice
+    ``rows`` in all, rows are sampled by a hash of id and text, and equal rows count once.
     """
     y = F.col(label).cast("int")
     usable = labels.filter(F.col("doc_id").isNotNull() & y.isin(0, 1) & (remainder(F.col("doc_id"), divisor) != held_out))
@@ -98,4 +112,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, divisor: int,
     single = single.filter(F.col("y") == F.col("y2")).select("label_id", "y")
     sample = bounded_sample(stored(single, "labels"), F.col("label_id"), rows)
     plain = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
-    return plain.join(F.broadcast(sample), F.col("id") == F.col("label_id")).select("id", "text", "y")
+    found = plain.join(F.broadcast(sample), F.col("id") == F.col("label_id")).select("id", "text", "y")
+    if found.select("id").count() <= 2 * rows:
+        return found
+    return bounded_sample(stored(found.distinct(), "labelled"), F.struct("id", "text"), rows)

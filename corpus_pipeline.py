@@ -4,6 +4,12 @@ Each stage calls one operator of ``accrualkit.llm`` on all rows that the stage
 before has kept, and returns the columns of documents; the last one adds where
 each row goes.  ``run`` writes every stage's rows to the shared folder and
 reads them back, so a lost executor never repeats more than one stage.
+
+Defined cases: null ids and texts are ordinary values of documents; empty
+texts are kept (as one group of near duplicates); very long texts are read
+whole; repeated rows are near duplicates of each other; an empty table passes
+as an empty one; columns beyond those of documents are kept, whatever their
+names are.
 """
 
 from __future__ import annotations
@@ -12,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from accrualkit.llm import decontaminate, mixing, sharding, simhash, toxicity
-from accrualkit.llm.common import documents, stored, table
+from accrualkit.llm.common import documents, set_apart, stored, table
 
 SHARDS = 8
 
@@ -39,11 +45,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their shard and their place in it."""
-    digest = sharding.shard_sizes(F.col("text"))
-    added = {"size", "text_crc32", "law", "shard", "slot"}
-    own = [c for c in docs.columns if c.lower() not in added]
-    sized = docs.select(*own, *digest)
+    """Documents with their shard and their place in it; columns called like a new one become ``input_<name>``."""
+    own = set_apart(docs, "size", "text_crc32", "law", "shard", "slot")
+    sized = own.select("*", *sharding.shard_sizes(F.col("text")))
     placed = sharding.shard(sized, [F.col("doc_id"), F.col("text_crc32"), F.col("size")], SHARDS)
     return placed.withColumn("law", F.lit("rows"))
 
