@@ -33,7 +33,8 @@ Hashes of 91 bits stand for stretches in round 1; round 2 compares bytes.
 Defined cases: a null text is empty; texts under ``LENGTH`` bytes lose
 nothing; a null id is larger than any other, and such documents are not
 compared with each other, and neither are rows that repeat an id; columns
-other than doc_id and text are ignored.
+other than doc_id and text are ignored; rows alike in both are searched once; a very
+long text is taken apart in parts; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -404,10 +405,6 @@ def _compare_windows(splitters: list[np.ndarray]):
 # --- the operator -----------------------------------------------------------
 
 
-def _bucketed(rows: DataFrame, buckets: int, run: Callable, ddl: str) -> DataFrame:
-    return rows.repartitionById(buckets, F.col("bucket")).mapInArrow(run, ddl)
-
-
 def removed_spans(docs: DataFrame, with_uid: bool, bucket_bytes: int = BUCKET_BYTES, bucket_windows: int = BUCKET_WINDOWS) -> DataFrame:
     """uid, span of all removed stretches of ``docs`` (doc, uid, text): span = 32 * begin + windows.
 
@@ -512,7 +509,8 @@ def without_repeats(docs: DataFrame, with_bytes: bool = False, bucket_bytes: int
     # ids tell rows apart unless some are repeated or null
     repeated = bool(plain.groupBy("doc").count().filter((F.col("count") > 1) | F.col("doc").isNull()).head(1))
     plain = plain.select("doc", (F.xxhash64("doc", "text") if repeated else F.col("doc")).alias("uid"), "text")
-    spans = removed_spans(plain, repeated, bucket_bytes, bucket_windows)
+    # rows alike in both have the same spans: they are searched once
+    spans = removed_spans(plain.distinct() if repeated else plain, repeated, bucket_bytes, bucket_windows)
     per_text = spans.groupBy(F.col("uid").alias("cut_uid")).agg(F.collect_list("span").alias("spans"))
     joined = plain.join(per_text, plain["uid"] == F.col("cut_uid"), "left").select("doc", "text", "spans")
     ddl = "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes

@@ -107,3 +107,15 @@ def test_every_window_has_its_anchor():
     for i, t in enumerate(texts):
         covered = [w for s, n in zip(begin[text == i], runs[text == i]) for w in range(s, s + n)]
         assert covered == list(range(max(0, len(t) - substring.LENGTH + 1)))
+
+
+def test_copies_of_one_row_are_searched_once(spark):
+    rng = random.Random(9)
+    passage = "".join(rng.choice("abcdefghij ") for _ in range(300))
+    for copies in (5, 500):
+        rows = [(1, passage), *[(2, "head " + passage + " tail")] * copies]
+        df = document_frame(spark, rows)
+        plain = df.selectExpr("doc_id AS doc", "xxhash64(doc_id, text) AS uid", "text")
+        assert substring.removed_spans(plain.distinct(), True).count() < 60
+        out = substring.without_repeats(df).collect()
+        assert len(out) == copies + 1 and {r["n_removed"] for r in out if r["doc"] == 2} == {300}
