@@ -1,7 +1,9 @@
 """Language identification of mixed-language text.
 
-Script ranges narrow the candidates of each word to the languages seen in its
-script.  Each candidate scores the word: hashed character n-grams and, for
+Runs of letters are cut into words where the script changes.  Script ranges
+narrow the candidates of each word to the languages seen in its script; a
+script that is rare in a language (under ``SCRIPT_SHARE`` of its words) speaks
+against it by its share, but does not rule it out.  Each candidate scores the word: hashed character n-grams and, for
 common words, the word itself, as log-probabilities learned per language.
 Viterbi over the words, with a penalty for switching, labels spans; the
 language of a text is the one whose spans have the most letters.
@@ -15,15 +17,18 @@ Defined cases: a null text or one without a letter is ``und`` with score 0, as
 is any text if nothing could be learned; a word in a script that no language
 uses counts for no language; ties go to the more frequent language in the
 sample, then the smaller name; repeated rows are labelled alike; an empty table
-gives an empty result.
+gives an empty result; a very long text is labelled whole, in one task; other
+columns are not read.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +44,7 @@ TEXTS, WORDS = 2_000, 30_000
 GRAM_LOW, GRAM_HIGH, GRAM_BITS = 1, 4, 16
 #: Log-odds that a switch of language costs, and the most that one word says against a language.
 SWITCH, WORST = 8.0, 12.0
-#: Share of a language's words that a script needs to count as its script.
+#: Share of a language's words below which a script speaks against it, the more the rarer it is there.
 SCRIPT_SHARE = 0.02
 #: Words handled at once with up to ``CHUNK_LANGUAGES`` languages (fewer words with more), and words scored at once with one.
 CHUNK_WORDS, CHUNK_LANGUAGES, SCORED_WORDS = 1 << 19, 64, 1 << 22
@@ -60,22 +65,29 @@ SCRIPTS = (
     (0xFF21, "Latin"), (0xFF66, "Kana"), (0xFFA0, "Hangul"), (0x10000, "other"), (0x20000, "Han"),
 )
 _STARTS = [s for s, _ in SCRIPTS]
+#: A character beyond the first block, which has one script.
+_BEYOND = re.compile(f"[^\\0-{chr(SCRIPTS[1][0] - 1)}]")
 
 
 def script_of(word: str) -> str:
-    """Script of the first letter."""
+    """Script of the first letter (words have one script)."""
     return SCRIPTS[bisect_right(_STARTS, ord(word[0])) - 1][1]
 
 
 def words_of(text: str | None) -> list[str]:
-    """Lower-cased runs of letters."""
-    return _WORD.findall((text or "").lower())
+    """Lower-cased runs of letters of one script."""
+    text = (text or "").lower()
+    found = _WORD.findall(text)
+    if not _BEYOND.search(text):
+        return found
+    return ["".join(run) for w in found for _, run in (groupby(w, script_of) if _BEYOND.search(w) else [("", w)])]
 
 
 @dataclass
 class LanguageModel:
     languages: list[str] = field(default_factory=list)
-    scripts: list[set[str]] = field(default_factory=list)
+    #: Of each language: its scripts, and what a word in one loses for it (0 for a usual script).
+    scripts: list[dict[str, float]] = field(default_factory=list)
     grams: np.ndarray = field(default_factory=lambda: np.zeros((1 << GRAM_BITS, 0), np.float32))
     words: dict[str, int] = field(default_factory=dict)
     #: Log-share of an unseen word in each language, and the best log-share of each of ``words``.
@@ -110,8 +122,9 @@ class LanguageModel:
         out[known >= 0] += self.word_scores(known[known >= 0])
         letters = np.fromiter((sum(map(str.isalpha, w)) for w in words), np.float32, n)
         own = [script_of(w) for w in words]
-        for j, scripts in enumerate(self.scripts):
-            out[[s not in scripts for s in own], j] = -np.inf
+        names, script = np.unique(own, return_inverse=True) if own else (np.array([]), np.zeros(0, np.int64))
+        if len(names):
+            out += np.array([[scripts.get(s, -np.inf) for scripts in self.scripts] for s in names.tolist()])[script]
         best = out.max(1, keepdims=True)
         nowhere = ~np.isfinite(best[:, 0]) | (letters == 0)
         out = np.maximum(out - np.where(np.isfinite(best), best, 0), -WORST)
@@ -138,7 +151,7 @@ def learn(counts: list[tuple[str, str, int]], languages: list[str]) -> LanguageM
         used, grams = [], np.empty((1 << GRAM_BITS, len(languages)), np.float32)
         for j, at in enumerate(own):
             share = np.bincount(script[word[at]], weights[at], len(scripts)) / total[j]
-            used.append(set(scripts[share >= SCRIPT_SHARE].tolist()))
+            used.append({s: max(-WORST, min(0.0, math.log(x / SCRIPT_SHARE))) for s, x in zip(scripts.tolist(), share.tolist(), strict=True) if x})
             # frequent words should not drown the rest: n-grams count word types by the root of their tokens
             bucket, owner = char_grams([vocabulary[i] for i in word[at]], GRAM_LOW, GRAM_HIGH, GRAM_BITS)
             g = np.bincount(bucket, np.sqrt(weights[at])[owner], 1 << GRAM_BITS)
@@ -213,17 +226,23 @@ class Labeller:
 
     def spans(self, text: str | None) -> list[tuple[str, int, int]]:
         """(language, start, end) of maximal runs of words of one language, in characters of the text."""
-        found = list(_WORD.finditer(text or ""))
+        found = []  # (word, start, end)
+        for m in _WORD.finditer(text or ""):
+            at = m.start()
+            for _, run in groupby(m[0], lambda c: script_of(c.lower())):
+                word = "".join(run)
+                found.append((word, at, at + len(word)))
+                at += len(word)
         if not found or not self.model.languages:
             return []
-        labels, _, _ = self._chunk([[m[0].lower() for m in found]])
+        labels, _, _ = self._chunk([[w.lower() for w, _, _ in found]])
         out: list[tuple[str, int, int]] = []
-        for m, label in zip(found, labels.tolist(), strict=True):
+        for (_, start, end), label in zip(found, labels.tolist(), strict=True):
             name = self.model.languages[label]
             if out and out[-1][0] == name:
-                out[-1] = (name, out[-1][1], m.end())
+                out[-1] = (name, out[-1][1], end)
             else:
-                out.append((name, m.start(), m.end()))
+                out.append((name, start, end))
         return out
 
     def predict(self, texts: Iterator[str | None]) -> tuple[list[str], list[float]]:

@@ -44,6 +44,22 @@ def test_scripts_narrow_the_candidates(spark):
     assert scores[1, place["ru"]] == -langid.WORST
 
 
+def test_a_rare_second_script_is_a_candidate(spark):
+    rng = random.Random(7)
+    mixed = [(1000 + i, text_of("aa", 99, rng) + " " + text_of("ru", 1, rng), "aa") for i in range(40)]
+    model = langid.train(document_frame(spark, [r for r in rows(rng) if r[2] != "ru"] + mixed))
+    assert langid.Labeller(model).predict([text_of("ru", 9, rng)])[0] == ["aa"]
+    place = model.languages.index("aa")
+    assert -langid.WORST <= model.scripts[place]["Cyrillic"] < 0 == model.scripts[place]["Latin"]
+
+
+def test_runs_are_cut_where_the_script_changes(spark):
+    assert langid.words_of("Alpha中文かな beta") == ["alpha", "中文", "かな", "beta"] and langid.words_of("naïve “quoted”") == ["naïve", "quoted"]
+    rng = random.Random(8)
+    model = langid.train(document_frame(spark, rows(rng)))
+    assert langid.Labeller(model).spans("kalomikaloДадада") == [("aa", 0, 10), ("ru", 10, 16)]
+
+
 def test_viterbi_against_all_paths():
     rng = np.random.default_rng(3)
     lengths = np.array([6, 1, 0, 4, 6])
@@ -100,3 +116,23 @@ def test_copies_count_once(spark, monkeypatch):
     counts = langid.train(document_frame(spark, [(i, *r) for i, r in enumerate(seen)]), texts=50)
     copied = [n for _, word, n in counts if word.startswith("copy")]
     assert copied and max(copied) == 1
+
+
+def test_whole_texts_against_plain_scoring(spark):
+    """Scores word by word and the best of all paths by plain dynamic programming; letters of the best language."""
+    rng = random.Random(11)
+    model = langid.train(document_frame(spark, rows(rng)))
+    texts = [" ".join(text_of(rng.choice(list(SYLLABLES)), rng.randint(1, 6), rng) for _ in range(rng.randint(1, 6))) for _ in range(30)]
+    names, scores = langid.Labeller(model).predict(texts)
+    k = len(model.languages)
+    for text, name, score in zip(texts, names, scores, strict=True):
+        words = langid.words_of(text)
+        own = [[float(v) for v in model.scores([w])[0, :k]] for w in words]
+        best = [(v, [j]) for j, v in enumerate(own[0])]
+        for row in own[1:]:
+            best = [max(((v - langid.SWITCH * (path[-1] != j) + row[j], [*path, j]) for v, path in best), key=lambda x: x[0]) for j in range(k)]
+        path = max(best, key=lambda x: x[0])[1]
+        letters = [sum(len(w) for w, j in zip(words, path, strict=True) if j == lang) for lang in range(k)]
+        if sorted(letters)[-1] > sorted(letters)[-2]:
+            assert name == model.languages[letters.index(max(letters))]
+            assert abs(score - max(letters) / sum(letters)) < 1e-6
