@@ -16,12 +16,16 @@ themselves.
 
 The items are the query set.  They go to the tasks in blocks of about
 ``BLOCK_WORDS`` words, however many there are; each block meets all documents,
-and a document is handled alone, so no key gathers rows.
+and a document is handled alone, so no key gathers rows.  What a block finds is
+written before the next block is read, so the driver and the plan hold one.
 
 Defined cases: an item of fewer than five words has one shingle, its whole
 word sequence; an item without words (or null) is contained nowhere; repeated
 rows are searched and reported like any others, but an item row that repeats
-another exactly is searched once; null ids are returned as null.
+another exactly is searched once; null ids are returned as null; a null or empty text
+contains nothing, a very long one is searched whole, in one task; empty tables
+of documents or items give no finds; ``without_items`` keeps all columns,
+whatever their names are.
 """
 
 from __future__ import annotations
@@ -37,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accrualkit.llm.common import fresh, mix64
+from accrualkit.llm.common import fresh, mix64, stored
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
@@ -170,6 +174,8 @@ def contained_items(
     plain = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
     found = None
     for block in item_blocks(items, block_words):
+        if found is not None:  # one block at a time, in the plan as on the driver
+            found = stored(found, "contained")
         part = plain.mapInArrow(_search(ItemIndex(block, shingle_words, containment)), "id long, item_id long, shared long, shingles long")
         found = part if found is None else found.unionByName(part)
     return found.withColumn("containment", F.col("shared") / F.col("shingles"))
@@ -182,6 +188,8 @@ def without_items(
     (clean,) = fresh(docs, "clean")
     left = docs
     for block in item_blocks(items, block_words):
+        if left is not docs:
+            left = stored(left, "clean")
         none_of = _none_of(ItemIndex(block, shingle_words, containment))
         left = left.withColumn(clean, none_of(F.col("text").cast("string"))).filter(F.col(clean)).drop(clean)
     return left

@@ -80,3 +80,12 @@ def test_rows_with_items_go(spark):
         assert left.columns == docs.columns
         assert sorted((str(r["doc_id"]) for r in left.collect())) == sorted(str(r[0]) for r in odd_texts() if r[0] not in (1, 7, 8))
     assert dc.without_items(docs, items.limit(0)).count() == docs.count()
+
+
+def test_the_plan_does_not_grow_with_the_items(spark):
+    docs = document_frame(spark, [(i, f"alpha beta gamma delta epsilon zeta {i}") for i in range(20)])
+    items = item_frame(spark, [(i, f"alpha beta gamma delta epsilon zeta {i}") for i in range(20)])
+    nodes = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("\n")
+    sizes = [[nodes(f(docs, items, block_words=b)) for b in (30, 7)] for f in (dc.contained_items, dc.without_items)]
+    assert all(few == many for few, many in sizes)
+    assert dc.contained_items(docs, items, block_words=7).count() == 20 == docs.count() - dc.without_items(docs, items, block_words=7).count()
