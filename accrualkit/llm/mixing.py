@@ -18,7 +18,9 @@ task decides alike.
 Defined cases: a null or empty text has size 0 and is never taken beyond the
 whole part of its rate (its words are 0 anyway).  A null source is a source of
 its own, ordered last.  A source of size 0 has target 0.  Repeated rows are
-decided one by one.  An empty table gives an empty result.
+decided one by one.  A very long text counts by its words, like any other.  An
+empty table gives an empty result.  ``mix_documents`` keeps all columns,
+whatever their names are.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ sample (``TRAIN_ROWS``) of the labelled rows; every row is scored.
 
 Defined cases: a null text scores like an empty one; without labels of both
 kinds the score is the constant (0.5 if there are none); repeated rows score
-alike; an empty table gives an empty result.
+alike; a very long text is read whole, in one task; an empty table gives an
+empty result; columns beyond id, text and label are not read.
 """
 
 from __future__ import annotations

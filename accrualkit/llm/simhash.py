@@ -6,7 +6,9 @@ share 6 positional bytes.  The index therefore posts each distinct fingerprint
 under every choice of 6 positions (28 lists: position set and the bytes there):
 a list holds only fingerprints that reach the guaranteed minimum, and none
 that shares single frequent bytes.  Pairs from short lists are tallied (shared
-positional bytes), kept at 6 or more, and verified by their bit distance.
+positional bytes), kept at 6 or more, and verified by their bit distance.  As a
+list is keyed by 6 positions at once, the index has done the filtering: every
+tallied pair has 6, and the verification decides.
 
 A list has at most 2**16 members, since they can only differ in two bytes.
 Long lists are not paired: each member is posted under its remaining 16 bits
@@ -19,7 +21,9 @@ written to the shared folder.
 
 Defined cases: a text that is null or has no word has fingerprint zero; equal
 fingerprints always link; a null id never names a component (a component
-whose ids are all null has a null id); an empty table gives an empty result.
+whose ids are all null has a null id); a very long text is hashed whole, in
+one task; an empty table gives an empty result; columns beyond doc_id and text
+are not read (``one_of_each`` keeps them, whatever their names are).
 """
 
 from __future__ import annotations

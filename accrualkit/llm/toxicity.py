@@ -22,8 +22,10 @@ window of every text as well, in chunks of bounded size however long a text is.
 
 Defined cases: a text that is null or has no word gets the score of an empty
 window; without labels of both kinds all scores are the share of toxic ones
-(0 if there are none); repeated rows score alike; an empty table gives an
-empty result.
+(0 if there are none); repeated rows score alike; a very long text is read
+whole, window by window, in one task; an empty table gives an empty result;
+columns beyond id, text and label are not read (``without_toxic`` keeps them,
+whatever their names are).
 """
 
 from __future__ import annotations

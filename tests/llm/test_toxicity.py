@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from cases import document_frame, odd_texts
@@ -110,3 +112,46 @@ def test_training_reads_every_window_of_long_texts(spark):
     assert s[0] < 0.5 < s[1]
     x = toxicity.Scorer(net).worst(" ".join(t) for t in texts)
     assert (x[::2].min() > x[1::2].max()) and ((net.scale * x + net.shift > 0) == (np.arange(60) % 2 == 0)).all()
+
+
+def plain_window(net, words):
+    """Log-odds of one window, unit by unit."""
+    p, size = net.p, toxicity.HIDDEN
+    sigmoid = lambda v: 1 / (1 + math.exp(-v))
+    bucket, owner = toxicity.char_grams(words)
+    inputs = []
+    for i, w in enumerate(words):
+        own = [p["grams"][b].astype(float) for b, o in zip(bucket, owner, strict=True) if o == i]
+        inputs.append([*map(float, p["words"][net.vocabulary.get(w, 0)]), *(sum(own) / max(1, len(own)) if own else np.zeros(toxicity.CHAR_DIM))])
+
+    def states(side, xs):
+        h, out = [0.0] * size, []
+        for x in xs:
+            gx = [sum(a * b for a, b in zip(x, p[f"w{side}"][:, k].tolist(), strict=True)) + float(p[f"c{side}"][k]) for k in range(3 * size)]
+            gh = [sum(a * b for a, b in zip(h, p[f"u{side}"][:, k].tolist(), strict=True)) for k in range(3 * size)]
+            z = [sigmoid(gx[k] + gh[k]) for k in range(size)]
+            r = [sigmoid(gx[size + k] + gh[size + k]) for k in range(size)]
+            n = [math.tanh(gx[2 * size + k] + r[k] * gh[2 * size + k]) for k in range(size)]
+            h = [(1 - z[k]) * n[k] + z[k] * h[k] for k in range(size)]
+            out.append(h)
+        return out
+
+    both = [f + b for f, b in zip(states("f", inputs), states("b", inputs[::-1])[::-1], strict=True)]
+    look = [sum(math.tanh(sum(s[j] * float(p["a"][j, k]) for j in range(2 * size))) * float(p["v"][k]) for k in range(toxicity.ATTENTION)) for s in both]
+    weight = [math.exp(v - max(look)) for v in look]
+    pooled = [sum(w * s[j] for w, s in zip(weight, both, strict=True)) / sum(weight) for j in range(2 * size)]
+    return sum(a * float(b) for a, b in zip(pooled, p["o"], strict=True)) + float(p["bias"][0])
+
+
+def test_whole_texts_against_a_plain_recurrent_pass():
+    rng = np.random.default_rng(6)
+    names = [f"w{i}" for i in range(30)]
+    net = toxicity.Network({w: i + 1 for i, w in enumerate(names[:20])}, rng)
+    net.p = {k: (v * 3).astype(np.float32) for k, v in net.p.items()}
+    texts = [" ".join(rng.choice(names, n)) for n in (1, 3, toxicity.WINDOW, toxicity.WINDOW + 1, 2 * toxicity.WINDOW + 5)]
+    got = toxicity.Scorer(net).worst(iter(texts))
+    for text, value in zip(texts, got, strict=True):
+        words = text.split()
+        starts = toxicity.window_starts(len(words)).tolist()
+        assert {i for s in starts for i in range(s, min(len(words), s + toxicity.WINDOW))} == set(range(len(words)))
+        assert value == pytest.approx(max(plain_window(net, words[s : s + toxicity.WINDOW]) for s in starts), abs=2e-3)
