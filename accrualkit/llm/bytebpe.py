@@ -19,7 +19,8 @@ remembered in a bounded table; long stretches are encoded anew.  The pattern
 is one that takes a space and letters as a piece, as those of byte-level
 vocabularies do.
 
-``encoder`` and ``decoder`` are column functions; ids travel as a binary of
+``encoder`` and ``decoder`` are column functions, ``coded`` does both in one
+pass and keeps the other columns; ids travel as a binary of
 little-endian unsigned 32-bit numbers (``id_lister`` makes an array of them).
 
 Defined cases: a null text counts as empty and has no ids; an empty text has
@@ -36,24 +37,28 @@ from __future__ import annotations
 import base64
 import functools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import islice
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from accrualkit.llm.common import set_apart
+
 #: White space of Unicode, as the patterns of byte-level vocabularies understand it.
 WHITE = "\t-\r \x85\xa0  -     　"
 #: White space and the letters or digits after it if a sign follows them, else all up to the next white space.
 STRETCH = re.compile(rf"[{WHITE}]*[^\W_]+(?=[!-/:-@\[-`{{-~])|[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 #: Stretches of up to so many characters are remembered, and so many of them.
 SHORT = 48
-REMEMBERED = 400_000
-PAIRS = 1_000_000
+REMEMBERED = 250_000
+PAIRS = 300_000
+#: Bytes of ids that leave a task at a time, about.
+PART_BYTES = 1 << 23
 #: Stretches that are joined at a time.
 SLICE = 1 << 16
 
@@ -218,6 +223,16 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+@functools.lru_cache(maxsize=2)
+def token_list(path: str) -> list[bytes | None]:
+    """The bytes of each id of a rank file, which is all that decoding needs; read once a worker."""
+    ranks = read_ranks(path)
+    out: list[bytes | None] = [None] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        out[rank] = token
+    return out
+
+
 @functools.lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     """The vocabulary of a rank file, read once a worker."""
@@ -246,7 +261,7 @@ def decoder(path: str):
 
     @F.arrow_udf("binary")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokens = vocabulary(path).tokens
+        tokens = token_list(path)
         for packed in batches:
             yield pa.array([None if p is None else decoded(p, tokens) for p in (x.as_py() for x in packed)], pa.binary())
 
@@ -264,6 +279,36 @@ def decoded(packed: bytes, tokens: list[bytes | None]) -> bytes:
     return b"".join(out)
 
 
+def coded(df: DataFrame, text: Column, keep: Sequence[Column], path: str, pattern: str) -> DataFrame:
+    """``keep`` of each row, its packed ids, and the bytes decoded from them: both ways in one pass over the texts.
+
+    Kept columns called ids or decoded come out as ``input_ids`` and ``input_decoded``.
+    """
+    names = set_apart(df.select(*keep), "ids", "decoded").columns
+    plain = df.select(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(keep)]).alias("kept"), text.cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = own_encoder(path, pattern)
+        tokens = own.vocabulary.tokens
+
+        def part(kept: pa.Array, ids: list[bytes]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([kept, pa.array(ids, pa.binary()), pa.array([decoded(i, tokens) for i in ids], pa.binary())], names=["kept", "ids", "decoded"])
+
+        for batch in batches:
+            ids, held, low = [], 0, 0
+            for t in batch.column(1):
+                ids.append(own.encode(t.as_py() or ""))
+                held += len(ids[-1])
+                if held >= PART_BYTES:
+                    yield part(batch.column(0).slice(low, len(ids)), ids)
+                    ids, held, low = [], 0, low + len(ids)
+            if ids:
+                yield part(batch.column(0).slice(low), ids)
+
+    both = plain.mapInArrow(run, f"kept {plain.schema['kept'].dataType.simpleString()}, ids binary, decoded binary")
+    return both.select(*[F.col(f"kept.c{i}").alias(c) for i, c in enumerate(names)], "ids", "decoded")
+
+
 def id_count(packed: Column) -> Column:
     return (F.octet_length(packed) / 4).cast("long")
 

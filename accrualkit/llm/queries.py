@@ -95,9 +95,7 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_bytebpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encode, decode = bytebpe.encoder(ranks, public_tokenizers.PATTERN), bytebpe.decoder(ranks)
-    ids = documents(spark, sf_dir).select("doc_id", encode(F.col("text")).alias("ids"))
-    both = ids.select("doc_id", "ids", decode(F.col("ids")).alias("decoded"))
+    both = bytebpe.coded(documents(spark, sf_dir), F.col("text"), [F.col("doc_id")], ranks, public_tokenizers.PATTERN)
     return both.select(
         "doc_id", bytebpe.id_count(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -90,8 +90,18 @@ def test_odd_texts_and_clashing_columns(spark):
             assert r["listed"] == ids_of(bytes(r["ids"])) == NATIVE.encode_ordinary(text)
 
 
+def test_both_ways_in_one_pass(spark):
+    docs = document_frame(spark, odd_texts(), extra=True).withColumn("ids", F.lit("x"))
+    out = bytebpe.coded(docs, F.col("text"), [F.col(c) for c in docs.columns], RANKS, PATTERN)
+    assert out.columns == [*docs.columns[:-1], "input_ids", "ids", "decoded"]
+    rows = out.collect()
+    assert len(rows) == len(odd_texts()) and all(bytes(r["decoded"]).decode() == (r["text"] or "") and r["input_ids"] == "x" for r in rows)
+    assert [bytes(r["ids"]) for r in rows] == [bytebpe.own_encoder(RANKS, PATTERN).encode(r["text"] or "") for r in rows]
+
+
 def test_empty_table(spark):
     docs = document_frame(spark, [])
+    assert bytebpe.coded(docs, F.col("text"), [F.col("doc_id")], RANKS, PATTERN).collect() == []
     assert docs.select(bytebpe.encoder(RANKS, PATTERN)(F.col("text")).alias("ids")).collect() == []
 
 
