@@ -21,12 +21,18 @@ hash with a hot one; that costs nothing but the cut below.)
 * Otherwise the log is read once more and written to the shared folder, hot
   and cold rows apart.  Cold keys are numbered by the plain window.  The rows
   of hot keys are range-partitioned by (key, time, position), with splitters
-  that Spark samples from the rows themselves, so ranges hold about
-  ``threshold`` rows each however the rows are spread in time: a burst is cut
-  as finely as it is dense, and rows on one instant are cut by their position
-  in the written copy.  Each range numbers its rows alone, and the running sum
-  of the rows that earlier ranges have of the key (one row per range and hot
-  key) is added.
+  that Spark samples from the rows themselves, so ranges hold about as many
+  rows each however the rows are spread in time: a burst is cut as finely as
+  it is dense, and rows on one instant are cut by their position in the
+  written copy.  Each range is sorted and written with its rows' places in it.
+  A row's number is its place, counted from the first row that the range has
+  of the key, plus the rows that earlier ranges have of the key (one row per
+  range and hot key).
+
+A range holds about ``threshold`` rows, but as each is a task and a file, no
+more than ``FEW_RANGES`` are cut unless they would hold over ``range_rows``
+rows each: a low ``min_hot_rows`` on a large log would else make a task for
+every few hundred rows.
 
 Rows tied on the order column are interchangeable in a ROW_NUMBER: tied rows
 carry identical (key, time) values, so which of them gets which number never
@@ -51,6 +57,9 @@ TRACKED_PER_HOT = 7
 MOST_TRACKED = 1_000_000
 #: Tasks that merge the summaries before the last one does.
 MERGERS = 64
+#: Rows that a range may hold whatever the threshold is, and the ranges that may hold fewer.
+RANGE_ROWS = 100_000
+FEW_RANGES = 64
 
 
 def hot_key_threshold(total_rows: int, min_hot_rows: int = MIN_HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS) -> int:
@@ -58,6 +67,11 @@ def hot_key_threshold(total_rows: int, min_hot_rows: int = MIN_HOT_ROWS, max_hot
     return max(min_hot_rows, -(-total_rows // max_hot_keys))
 
 
+def range_count(hot_rows: int, threshold: int, range_rows: int = RANGE_ROWS) -> int:
+    """Ranges for ``hot_rows``: of ``threshold`` rows while they are few, else of ``range_rows`` if that is more."""
+    return max(1, min(-(-hot_rows // threshold), max(FEW_RANGES, -(-hot_rows // range_rows))))
+
+
 def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
@@ -103,6 +117,7 @@ def occurrence_number(
     max_hot_keys: int = MAX_HOT_KEYS,
     descending: bool = False,
     co_locate: Sequence[str] | None = None,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Append ``out`` = 1, 2, ... (BIGINT) per ``keys`` in ascending ``order_col``
     (newest first with ``descending=True``; NULLs last either way).
@@ -110,6 +125,9 @@ def occurrence_number(
     ``co_locate``: some of ``keys`` by which the rows are partitioned, for a
     caller that goes on by those columns and then needs no further shuffle.
 
+    ``range_rows``: rows that a range of hot rows may hold where the threshold
+    is lower and there are many ranges.
+
     Building the result runs the summary over ``df`` (one read, no shuffle of
     its rows); if a key is hot, also the writes described above.  The result
     itself is lazy.
@@ -132,21 +150,25 @@ def occurrence_number(
     copy = write_result(flagged, "numbering", partition_by=["_occ_hot"])
     cold = copy.filter(~F.col("_occ_hot")).select(*df.columns)
 
-    ranges = max(1, -(-hot_rows // threshold))
-    spread = copy.filter("_occ_hot").repartitionByRange(ranges, *[F.col(k).asc_nulls_last() for k in keys], order, F.col("_occ_at"))
-    placed = reuse(spread.select(*df.columns, "_occ_at", F.spark_partition_id().alias("_occ_range")))
-    inside = F.row_number().over(Window.partitionBy("_occ_range", *keys).orderBy(order, "_occ_at"))
+    in_order = [*[F.col(k).asc_nulls_last() for k in keys], order, F.col("_occ_at")]
+    spread = copy.filter("_occ_hot").repartitionByRange(range_count(hot_rows, threshold, range_rows), *in_order)
+    # places are consecutive in a range, so a key's rows in it have consecutive places
+    placed = reuse(
+        spread.sortWithinPartitions(*in_order).select(
+            *df.columns, F.spark_partition_id().alias("_occ_range"), F.monotonically_increasing_id().alias("_occ_place")
+        )
+    )
     before = Window.partitionBy(*keys).orderBy("_occ_range").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = placed.groupBy("_occ_range", *keys).agg(F.count(F.lit(1)).alias("_occ_rows"))
+    sizes = placed.groupBy("_occ_range", *keys).agg(F.count(F.lit(1)).alias("_occ_rows"), F.min("_occ_place").alias("_occ_first"))
     # one row per range and key in it: about ranges + hot keys at most
     offsets = F.broadcast(
         sizes.select(
-            F.col("_occ_range").alias("_occ_r"), *[F.col(k).alias(f"_occ_{k}") for k in keys],
+            F.col("_occ_range").alias("_occ_r"), *[F.col(k).alias(f"_occ_{k}") for k in keys], "_occ_first",
             F.coalesce(F.sum("_occ_rows").over(before), F.lit(0)).alias("_occ_offset"),
         )
     )
-    local = placed.withColumn("_occ_inside", inside)
-    numbered = local.join(offsets, (local["_occ_range"] == F.col("_occ_r")) & _same_key(local, offsets, keys)).select(
-        *df.columns, (F.col("_occ_offset") + F.col("_occ_inside")).cast("bigint").alias(out)
+    place = F.col("_occ_place") - F.col("_occ_first") + 1
+    numbered = placed.join(offsets, (placed["_occ_range"] == F.col("_occ_r")) & _same_key(placed, offsets, keys)).select(
+        *df.columns, (F.col("_occ_offset") + place).cast("bigint").alias(out)
     )
     return plain(cold).unionByName(numbered)

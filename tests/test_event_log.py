@@ -246,6 +246,38 @@ def test_a_hot_day_of_a_date_column_is_split(spark):
     assert range_sizes(spark)[-1] <= 2.5 * 200
 
 
+def test_a_low_threshold_on_many_rows_does_not_make_a_task_for_every_few_rows(spark):
+    # a null time in 50 and ten rows on each instant; 20,000 rows of three keys (one null) and a cold key
+    data = [([None, "a", "b"][i % 3], None if i % 50 == 0 else ts(1) + dt.timedelta(seconds=i * 7919 % 2000)) for i in range(20_000)]
+    df = spark.createDataFrame([*data, ("cold", ts(2)), ("cold", ts(1))], "k string, t timestamp_ntz").repartition(5)
+    for desc in (False, True):
+        order = F.col("t").desc_nulls_last() if desc else F.col("t").asc_nulls_last()
+        want = rows(df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy(order))), "k", "t", "n")
+        # 1,000 ranges of 20 rows before
+        mine = occurrence_number(df, ["k"], "t", "n", min_hot_rows=20, descending=desc)
+        assert rows(mine, "k", "t", "n") == want, desc
+        sizes = range_sizes(spark)
+        assert len(sizes) <= 64 and sizes[-1] <= 2.5 * 20_000 / 64
+        # more ranges where these would hold too many rows
+        finer = occurrence_number(df, ["k"], "t", "n", min_hot_rows=20, descending=desc, range_rows=100)
+        assert rows(finer, "k", "t", "n") == want, desc
+        sizes = range_sizes(spark)
+        assert 150 <= len(sizes) <= 200 and sizes[-1] <= 2.5 * 100
+
+
+def test_ranges_grow_with_the_rows_that_they_may_hold():
+    from accrualkit.operators.ordinal import FEW_RANGES, RANGE_ROWS, hot_key_threshold, range_count
+
+    assert range_count(0, 300) == 1 and range_count(1_000, 300) == 4
+    # the events of 0.1, 1 and 6 GB, cut at 300 rows: 1,200 to 100,000 ranges before
+    assert [range_count(n, hot_key_threshold(n, 300)) for n in (600_000, 6_000_000, 36_000_000)] == [FEW_RANGES, FEW_RANGES, 360]
+    for n in (10**5, 10**7, 10**9, 10**12):
+        threshold = hot_key_threshold(n)
+        # with the usual threshold, ranges of that many rows as ever
+        assert range_count(n, threshold) == -(-n // threshold)
+        assert range_count(n, 300) * max(RANGE_ROWS, 300) >= n
+
+
 def test_numbers_are_bigint_and_null_keys_are_a_group(spark):
     df = spark.createDataFrame([(None, ts(1)), (None, ts(2)), ("a", ts(1))] * 20, "k string, t timestamp_ntz")
     for hot in (5, 1000):
